@@ -1,0 +1,55 @@
+"""Named queries (one per operator of the survey) and their SQL oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from bundlelake.operators import serving as S
+from bundlelake.plans.build import Build
+from bundlelake.plans.oracle_compat import for_oracle
+from bundlelake.schemas import STAGING_SPECS
+from bundlelake.session import apply_conf
+from bundlelake.testing import oracle as O
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return run
+    return deco
+
+
+def _b(spark, sf_dir) -> Build:
+    return Build.from_tables(spark, sf_dir)
+
+
+# --- staging models --------------------------------------------------------
+for _m in STAGING_SPECS:
+    register(_m, O.staging_sql(_m))(
+        (lambda m: lambda spark, sf_dir: for_oracle(_b(spark, sf_dir).stg(m)))(_m))
+
+# --- marts -----------------------------------------------------------------
+for _m in O.MARTS:
+    register(_m, O.mart_sql(_m))(
+        (lambda m: lambda spark, sf_dir: for_oracle(_b(spark, sf_dir).mart(m)))(_m))
+
+
+# --- serving ---------------------------------------------------------------
+@register("vitals_summary", O.with_marts("""
+SELECT observation_description, round(avg(value_quantity), 6) AS avg_value, value_unit, count(*) AS sample_size
+FROM fct_vitals WHERE value_quantity IS NOT NULL
+GROUP BY observation_description, value_unit HAVING count(*) > 10
+""", "fct_vitals"))
+def _vitals_summary(spark, sf_dir):
+    """E5: average and count per vital and unit, groups of more than 10."""
+    return for_oracle(S.vitals_summary(_b(spark, sf_dir).mart("fct_vitals")), round_cols=("avg_value",))
