@@ -53,3 +53,207 @@ GROUP BY observation_description, value_unit HAVING count(*) > 10
 def _vitals_summary(spark, sf_dir):
     """E5: average and count per vital and unit, groups of more than 10."""
     return for_oracle(S.vitals_summary(_b(spark, sf_dir).mart("fct_vitals")), round_cols=("avg_value",))
+
+
+# --- entries and JSON functions ------------------------------------------------
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from bundlelake.functions.json import json_scalar, strip_ref  # noqa: E402
+from bundlelake.operators import incremental as INC  # noqa: E402
+from bundlelake.operators import marts as M  # noqa: E402
+from bundlelake.operators import quality as Q  # noqa: E402
+from bundlelake.operators.entries import bundle_entries, entries_of_type, entry_type_counts  # noqa: E402
+from bundlelake.operators.staging import flatten  # noqa: E402
+from bundlelake.schemas import STAGING_SPECS as _SPECS  # noqa: E402
+from bundlelake.testing.fixtures import fixture_landing, read_table  # noqa: E402
+
+
+@register("json_parse_props", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def _json_parse_props(spark, sf_dir):
+    """B1: parse a JSON text column and read one scalar path."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", json_scalar(F.parse_json("props"), "$.k").alias("k"))
+
+
+@register("bundle_entries", O.BUNDLE_ENTRIES)
+def _bundle_entries(spark, sf_dir):
+    """One row per bundle entry with its position and resource type."""
+    e = bundle_entries(fixture_landing(spark, sf_dir))
+    return for_oracle(e.select("file_path", "ingestion_timestamp", "pos", "resource_type",
+                               json_scalar("entry", "$.resource.id").alias("resource_id")))
+
+
+@register("entries_by_resource_type",
+          f"SELECT resource_type, count(*) AS n_entries FROM ({O.BUNDLE_ENTRIES}) e GROUP BY 1")
+def _entries_by_type(spark, sf_dir):
+    """Entries per resource type."""
+    return entry_type_counts(bundle_entries(fixture_landing(spark, sf_dir)))
+
+
+@register("json_scalar_paths", f"""
+SELECT 'pat-' || CAST(k AS VARCHAR) AS patient_id, fp AS file_path,
+  CAST(NULL AS VARCHAR) AS name_value, CAST(NULL AS VARCHAR) AS marital_value,
+  ['Married','Never Married','Divorced'][k % 3 + 1] AS marital_text,
+  ['male','female','other','unknown'][k % 4 + 1] AS gender,
+  CASE WHEN k % 7 = 0 THEN CAST(k % 3 + 1 AS VARCHAR) END AS multiple_birth_text,
+  CASE WHEN k % 3 = 0 THEN 'M' END AS middle_name,
+  CAST(NULL AS VARCHAR) AS missing_value
+FROM (SELECT c_custkey AS k, 'raw/fhir/' || rs || 'patient/pat-' || CAST(c_custkey AS VARCHAR) || '.json' AS fp
+      FROM customer, (SELECT 1 AS l, '' AS rs UNION ALL SELECT 2, 'resend/') loads
+      WHERE l = 1 OR c_custkey % 5 = 0) p
+""")
+def _json_scalar_paths(spark, sf_dir):
+    """Scalar extraction - arrays/objects and missing paths give NULL."""
+    e = entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "Patient")
+    return e.select(
+        json_scalar("entry", "$.resource.id").alias("patient_id"), "file_path",
+        json_scalar("entry", "$.resource.name").alias("name_value"),
+        json_scalar("entry", "$.resource.maritalStatus").alias("marital_value"),
+        json_scalar("entry", "$.resource.maritalStatus.text").alias("marital_text"),
+        json_scalar("entry", "$.resource.gender").alias("gender"),
+        json_scalar("entry", "$.resource.multipleBirthInteger").alias("multiple_birth_text"),
+        json_scalar("entry", "$.resource.name[0].given[1]").alias("middle_name"),
+        json_scalar("entry", "$.resource.notAField").alias("missing_value"))
+
+
+@register("reference_strip", f"""
+SELECT 'med-' || CAST(o AS VARCHAR) AS medication_request_id,
+  'urn:uuid:pat-' || CAST(c AS VARCHAR) AS subject_reference, 'pat-' || CAST(c AS VARCHAR) AS patient_id,
+  'Practitioner?identifier=' || CAST(o % 5 AS VARCHAR) AS requester_reference,
+  'Practitioner?identifier=' || CAST(o % 5 AS VARCHAR) AS requester_id
+FROM (SELECT o_orderkey AS o, o_custkey AS c FROM orders
+      WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) v,
+     (SELECT 1 AS l UNION ALL SELECT 2) loads
+WHERE l = 1 OR c % 5 = 0
+""")
+def _reference_strip(spark, sf_dir):
+    """Strip 'urn:uuid:' from references; other forms pass through."""
+    e = entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "MedicationRequest")
+    subj = json_scalar("entry", "$.resource.subject.reference")
+    req = json_scalar("entry", "$.resource.requester.reference")
+    return e.select(json_scalar("entry", "$.resource.id").alias("medication_request_id"),
+                    subj.alias("subject_reference"), strip_ref(subj).alias("patient_id"),
+                    req.alias("requester_reference"), strip_ref(req).alias("requester_id"))
+
+
+@register("dedup_latest", O.with_staging("""
+SELECT observation_id, CASE WHEN file_path LIKE 'raw/fhir/resend/%' THEN 2 ELSE 1 END AS n_copies,
+       file_path, value_quantity
+FROM stg_observations
+""", "stg_observations"))
+def _dedup_latest(spark, sf_dir):
+    """Latest copy per id; copies counted over the same key partitioning."""
+    spec = _SPECS["stg_observations"]
+    flat = flatten(entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "Observation"), spec["columns"])
+    w_all = Window.partitionBy("observation_id")
+    w = w_all.orderBy(F.col("ingestion_timestamp").desc(), F.col("file_path").desc(), F.col("_pos").desc())
+    ranked = flat.select("observation_id", "file_path", "value_quantity",
+                         F.count(F.lit(1)).over(w_all).alias("n_copies"), F.row_number().over(w).alias("_rn"))
+    return ranked.where("_rn = 1").drop("_rn")
+
+
+# --- joins / aggregates / incremental ---------------------------------------------
+
+@register("patient_encounter_stats", O.with_staging("""
+SELECT patient_id, min(start_time) AS first_encounter_date, max(start_time) AS last_encounter_date,
+       count(*) AS total_encounters FROM stg_encounters GROUP BY 1
+""", "stg_encounters"))
+def _patient_encounter_stats(spark, sf_dir):
+    """MIN/MAX/COUNT of encounters per patient."""
+    return M.patient_encounter_stats(_b(spark, sf_dir).stg("stg_encounters"))
+
+
+@register("age_in_years", O.with_staging("""
+SELECT patient_id, birth_date, date_sub('year', birth_date, DATE '2024-12-31') AS age_at_year_end,
+       date_sub('year', birth_date, DATE '1970-06-15') AS age_at_1970
+FROM stg_patients
+""", "stg_patients"))
+def _age_in_years(spark, sf_dir):
+    """Elapsed whole years, negative (truncated toward zero) before birth."""
+    from bundlelake.functions.json import age_in_years
+    p = _b(spark, sf_dir).stg("stg_patients")
+    return p.select("patient_id", "birth_date",
+                    age_in_years(F.col("birth_date"), F.lit("2024-12-31").cast("date")).alias("age_at_year_end"),
+                    age_in_years(F.col("birth_date"), F.lit("1970-06-15").cast("date")).alias("age_at_1970"))
+
+
+def _load1_build(spark, sf_dir) -> Build:
+    return Build(spark, fixture_landing(spark, sf_dir, loads=(1,)))
+
+
+@register("incremental_filter", O.with_staging("""
+SELECT observation_id, ingested_at, value_quantity FROM stg_observations
+WHERE ingested_at > TIMESTAMP '2024-02-01 00:00:00'
+""", "stg_observations"))
+def _incremental_filter(spark, sf_dir):
+    """C11: source rows newer than the target's watermark (scalar subquery)."""
+    target = _load1_build(spark, sf_dir).mart("fct_vitals")
+    src = _b(spark, sf_dir).stg("stg_observations")
+    return for_oracle(INC.incremental_filter(src, target).select("observation_id", "ingested_at", "value_quantity"))
+
+
+@register("incremental_upsert", O.mart_sql("fct_vitals"))
+def _incremental_upsert(spark, sf_dir):
+    """Keyed upsert of an incremental build onto the previous one."""
+    target = _load1_build(spark, sf_dir).mart("fct_vitals")
+    full = _b(spark, sf_dir)
+    new_rows = INC.incremental_filter(full.stg("stg_observations"), target)
+    increment = M.fct_vitals(new_rows, full.stg("stg_patients"))
+    return for_oracle(INC.upsert(target, increment, "observation_id"))
+
+
+# --- data quality -----------------------------------------------------------------
+
+@register("dq_unique", O.with_staging("""
+SELECT allergy_id, count(*) AS n_rows FROM stg_allergy_intolerances GROUP BY 1 HAVING count(*) > 1
+""", "stg_allergy_intolerances"))
+def _dq_unique(spark, sf_dir):
+    """Duplicated keys (the allergy model keeps re-sent copies)."""
+    return Q.unique(_b(spark, sf_dir).stg("stg_allergy_intolerances"), "allergy_id")
+
+
+@register("dq_not_null", O.with_marts("SELECT patient_id, race FROM dim_patients WHERE race IS NULL", "dim_patients"))
+def _dq_not_null(spark, sf_dir):
+    """Rows with a NULL in the tested column."""
+    return Q.not_null(_b(spark, sf_dir).mart("dim_patients"), "race").select("patient_id", "race")
+
+
+@register("dq_accepted_values", O.with_staging("""
+SELECT status, count(*) AS n_rows FROM stg_encounters
+WHERE status IS NOT NULL AND status NOT IN ('finished', 'in-progress', 'cancelled') GROUP BY 1
+""", "stg_encounters"))
+def _dq_accepted_values(spark, sf_dir):
+    """D3: values outside an accepted list."""
+    return Q.accepted_values(_b(spark, sf_dir).stg("stg_encounters"), "status",
+                             ["finished", "in-progress", "cancelled"])
+
+
+@register("dq_relationships", O.with_marts("""
+SELECT observation_id, patient_id FROM fct_vitals v
+WHERE patient_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_patients d WHERE d.patient_id = v.patient_id)
+""", "fct_vitals", "dim_patients"))
+def _dq_relationships(spark, sf_dir):
+    """Facts whose patient is missing from the dimension."""
+    b = _b(spark, sf_dir)
+    return Q.relationships(b.mart("fct_vitals"), "patient_id", b.mart("dim_patients"), "patient_id") \
+        .select("observation_id", "patient_id")
+
+
+@register("dq_report", O.with_all(O.audit_sql(Q.ALL_CHECKS)))
+def _dq_report(spark, sf_dir):
+    """All 61 declared tests with their violation counts."""
+    b = _b(spark, sf_dir)
+    return Q.audit({**b.staging, **b.marts})
+
+
+@register("dq_freshness", """
+SELECT CAST(max(t) AS TIMESTAMP) AS max_loaded_at,
+       CAST(date_diff('second', max(t), TIMESTAMP '2024-03-02 12:00:00') AS DOUBLE) / 3600.0 AS age_hours,
+       date_diff('second', max(t), TIMESTAMP '2024-03-02 12:00:00') / 3600.0 <= 48.0 AS is_fresh
+FROM (SELECT CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-03-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS t
+      FROM customer) l
+""")
+def _dq_freshness(spark, sf_dir):
+    """Age of the newest load against a threshold."""
+    return for_oracle(Q.freshness(fixture_landing(spark, sf_dir), "2024-03-02 12:00:00", 48.0))

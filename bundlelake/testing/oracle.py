@@ -254,3 +254,72 @@ def staging_sql(model: str) -> str:
 
 def mart_sql(mart: str) -> str:
     return with_marts(f"SELECT * FROM {mart}", mart)
+
+
+# --- entries (before dedup) --------------------------------------------------
+
+BUNDLE_ENTRIES = f"""
+WITH loads AS (SELECT 1 AS l, TIMESTAMP '2024-02-01 00:00:00' AS lts, '' AS rs
+               UNION ALL SELECT 2, TIMESTAMP '2024-03-01 00:00:00', 'resend/'),
+pat AS (SELECT c_custkey AS k FROM customer),
+vis AS (SELECT o_orderkey AS o, o_custkey AS c, pk FROM orders
+        LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS pk FROM lineitem GROUP BY l_orderkey) li ON o_orderkey = l_orderkey),
+ev AS (SELECT event_id AS e, user_id AS u, ts FROM events),
+pb AS (SELECT k, lts, 'raw/fhir/' || rs || 'patient/pat-' || CAST(k AS VARCHAR) || '.json' AS fp
+       FROM pat, loads WHERE l = 1 OR k % {RESEND} = 0),
+vb AS (SELECT o, pk, lts, 'raw/fhir/' || rs || 'visit/enc-' || CAST(o AS VARCHAR) || '.json' AS fp,
+              CAST(o % 3 = 0 AS INTEGER) AS hc, CAST(o % 4 = 1 AS INTEGER) AS hp, CAST(pk IS NOT NULL AS INTEGER) AS hm
+       FROM vis, loads WHERE l = 1 OR c % {RESEND} = 0),
+ob AS (SELECT e, lts, 'raw/fhir/' || rs || 'obs/obs-' || CAST(u AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') || '-'
+              || CAST(e // 1000 AS VARCHAR) || '.json' AS fp
+       FROM ev, loads WHERE l = 1 OR u % {RESEND} = 0)
+SELECT fp AS file_path, lts AS ingestion_timestamp, 0 AS pos, 'Patient' AS resource_type, 'pat-' || CAST(k AS VARCHAR) AS resource_id FROM pb
+UNION ALL SELECT fp, lts, 1, 'AllergyIntolerance', 'alg-' || CAST(k AS VARCHAR) FROM pb WHERE k % 6 = 0
+UNION ALL SELECT fp, lts, 0, 'Encounter', 'enc-' || CAST(o AS VARCHAR) FROM vb
+UNION ALL SELECT fp, lts, 1, 'Condition', 'cond-' || CAST(o AS VARCHAR) FROM vb WHERE hc = 1
+UNION ALL SELECT fp, lts, 1 + hc, 'Procedure', 'proc-' || CAST(o AS VARCHAR) FROM vb WHERE hp = 1
+UNION ALL SELECT fp, lts, 1 + hc + hp, 'MedicationRequest', 'med-' || CAST(o AS VARCHAR) FROM vb WHERE hm = 1
+UNION ALL SELECT fp, lts, 1 + hc + hp + hm, 'Immunization', 'imm-' || CAST(o AS VARCHAR) FROM vb WHERE o % 7 = 0
+UNION ALL SELECT fp, lts, CAST(row_number() OVER (PARTITION BY fp ORDER BY e) - 1 AS INTEGER), 'Observation',
+                 'obs-' || CAST(e AS VARCHAR) FROM ob
+"""
+
+# --- raw-file manifest from documents ----------------------------------------
+
+DOC_MANIFEST = """
+SELECT 'raw/' || source || '/' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN '.txt' ELSE '.json' END AS path,
+       CAST(strlen(text) AS BIGINT) AS length, CAST(length(text) AS INTEGER) AS n_chars, doc_id
+FROM documents
+"""
+DOC_JSON = f"SELECT * FROM ({DOC_MANIFEST}) m WHERE path LIKE '%.json'"
+DOC_PENDING = f"SELECT * FROM ({DOC_JSON}) j WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+DOC_SIZE_OK = "length <= 3000"
+
+
+def audit_sql(checks) -> str:
+    """One SELECT per declared test over the oracle CTEs, unioned."""
+    clock = {"dbt_processed_at", "dbt_updated_at"}
+    parts = []
+    for c in checks:
+        head = f"SELECT '{c.model}' AS model, '{c.test}' AS test, '{c.column}' AS \"column\""
+        if c.column in clock:
+            parts.append(f"{head}, CAST(0 AS BIGINT) AS violations")
+        elif c.test == "unique":
+            parts.append(f"{head}, CAST(count(*) AS BIGINT) AS violations FROM (SELECT {c.column} FROM {c.model} "
+                         f"WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) t")
+        elif c.test == "not_null":
+            parts.append(f"{head}, CAST(count(*) AS BIGINT) AS violations FROM {c.model} WHERE {c.column} IS NULL")
+        elif c.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            parts.append(f"{head}, CAST(count(*) AS BIGINT) AS violations FROM {c.model} "
+                         f"WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})")
+        elif c.test == "relationships":
+            parts.append(f"{head}, CAST(count(*) AS BIGINT) AS violations FROM {c.model} x WHERE x.{c.column} IS NOT NULL "
+                         f"AND NOT EXISTS (SELECT 1 FROM {c.to} y WHERE y.{c.to_field} = x.{c.column})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def with_all(body: str) -> str:
+    ctes = [f"{m} AS ({STAGING[m]})" for m in STAGING]
+    ctes += [f"{m} AS ({MARTS[m][0]})" for m in MARTS]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
