@@ -20,7 +20,7 @@ from bundlelake.operators import marts as M  # noqa: E402
 from bundlelake.operators import quality as Q  # noqa: E402
 from bundlelake.operators import serving as S  # noqa: E402
 from bundlelake.operators.entries import bundle_entries  # noqa: E402
-from bundlelake.operators.staging import stage  # noqa: E402
+from bundlelake.operators.staging import stage_typed, typed_entries  # noqa: E402
 from bundlelake.schemas import STAGING_SPECS  # noqa: E402
 from bundlelake.session import build_session, scratch_path  # noqa: E402
 from bundlelake.testing.fixtures import AS_OF_DATE, fixture_landing  # noqa: E402
@@ -49,11 +49,11 @@ def main():
 
     timed("landing", lambda: write(fixture_landing(spark, sf_dir), f"{root}/landing"))
     landing = spark.read.parquet(f"{root}/landing")
-    timed("entries", lambda: write(bundle_entries(landing), f"{root}/entries", "resource_type"))
-    entries = spark.read.parquet(f"{root}/entries")
+    timed("typed_entries", lambda: write(typed_entries(bundle_entries(landing)), f"{root}/typed", "resource_type"))
+    typed = spark.read.parquet(f"{root}/typed")
     stg = {}
     for m in STAGING_SPECS:
-        timed(m, lambda m=m: write(stage(entries, m), f"{root}/{m}"))
+        timed(m, lambda m=m: write(stage_typed(typed, m), f"{root}/{m}"))
         stg[m] = spark.read.parquet(f"{root}/{m}")
     marts = {}
     builders = {"dim_patients": lambda: M.dim_patients(stg["stg_patients"], stg["stg_encounters"], AS_OF_DATE)}

@@ -73,3 +73,38 @@ def stage(entries: DataFrame, model: str, dedup: bool | None = None,
 
 def stage_all(entries: DataFrame) -> dict[str, DataFrame]:
     return {m: stage(entries, m) for m in STAGING_SPECS}
+
+
+def typed_entries(entries: DataFrame) -> DataFrame:
+    """Flatten every resource type in one pass over the parsed entries.
+
+    One struct column per staging model holds that model's typed columns;
+    it is filled only for entries of its type (``CASE`` is evaluated
+    lazily, so each entry pays only for its own paths).  Written
+    partitioned by ``resource_type`` this is the one table all staging
+    models read: the JSON is parsed and walked once, no VARIANT is
+    stored, and each model reads one partition and one struct (nested
+    column pruning).
+    """
+    e = F.col("entry")
+    rt = F.col("resource_type")
+    structs = []
+    for model, spec in STAGING_SPECS.items():
+        fields = [extract(kind, e, path).alias(name) for name, path, kind in spec["columns"]]
+        structs.append(F.when(rt == F.lit(spec["resource_type"]), F.struct(*fields)).alias(model))
+    return entries.select("file_path", "ingestion_timestamp", "pos", "resource_type", *structs)
+
+
+def stage_typed(typed: DataFrame, model: str, dedup: bool | None = None,
+                processed_at: Column | None = None) -> DataFrame:
+    """A staging model from the typed-entries table (see ``typed_entries``)."""
+    spec = STAGING_SPECS[model]
+    df = (typed.where(F.col("resource_type") == F.lit(spec["resource_type"]))
+          .select(*[F.col(f"{model}.{name}").alias(name) for name, _, _ in spec["columns"]],
+                  F.col("file_path"), F.col("ingestion_timestamp"),
+                  F.col("ingestion_timestamp").alias("ingested_at"),
+                  (processed_at if processed_at is not None else F.current_timestamp()).alias("dbt_processed_at"),
+                  F.col("pos").alias("_pos")))
+    if spec["dedup"] if dedup is None else dedup:
+        df = dedup_latest(df, spec["key"])
+    return df.drop("_pos")

@@ -1,48 +1,47 @@
-"""Lazy composition of the whole model graph for one input.
-
-``Build`` wires landing -> entries -> staging -> marts as DataFrames (no
-action is run).  ``Build.materialized`` instead writes each layer once
-to storage and re-reads it, which is what a scheduled job does: the
-JSON is parsed exactly once, entries are stored partitioned by resource
-type, and every later model reads Parquet with pruning.
+"""Composition of the whole model graph for one landing table.
+
+``Build`` wires landing -> typed entries -> staging -> marts.  The typed
+entries (parse + explode + per-type extraction, one pass) can be a lazy
+DataFrame or a written table; ``Build.from_tables`` writes the fixture
+landing and its typed entries once per session to the shared checkpoint
+folder, as a scheduled job stores its landing and parsed layers, and
+every model then reads Parquet with partition and column pruning.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bundlelake.operators import marts as M
 from bundlelake.operators.entries import bundle_entries
-from bundlelake.operators.staging import stage
+from bundlelake.operators.staging import stage_typed, typed_entries
 from bundlelake.schemas import STAGING_SPECS
+from bundlelake.session import scratch_path
 from bundlelake.testing.fixtures import AS_OF_DATE, fixture_landing
 
+_WRITTEN: dict = {}
+
 
 class Build:
     def __init__(self, spark: SparkSession, landing: DataFrame, as_of_date=AS_OF_DATE,
-                 on_malformed: str = "fail"):
+                 on_malformed: str = "fail", typed: DataFrame | None = None):
         self.spark = spark
         self.landing = landing
         self.as_of_date = as_of_date
         self.on_malformed = on_malformed
+        self.typed = typed if typed is not None else typed_entries(bundle_entries(landing, on_malformed))
         self._staging: dict[str, DataFrame] = {}
         self._marts: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "Build":
+    def from_tables(cls, spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2), **kw) -> "Build":
         """Model graph over fixture bundles derived from the driver tables."""
-        return cls(spark, fixture_landing(spark, sf_dir), **kw)
-
-    @cached_property
-    def entries(self) -> DataFrame:
-        return bundle_entries(self.landing, self.on_malformed)
+        landing, typed = written_fixture(spark, sf_dir, loads)
+        return cls(spark, landing, typed=typed, **kw)
 
     def stg(self, model: str) -> DataFrame:
         if model not in self._staging:
-            self._staging[model] = stage(self.entries, model)
+            self._staging[model] = stage_typed(self.typed, model)
         return self._staging[model]
 
     @property
@@ -64,28 +63,20 @@ class Build:
         return {m: self.mart(m) for m in M.MART_KEYS}
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def materialize(spark: SparkSession, landing: DataFrame, root: str, as_of_date=AS_OF_DATE,
-                on_malformed: str = "fail") -> "Build":
-    """Write entries, staging and marts under ``root`` (a shared folder)
-    and return a Build whose layers read the written tables."""
-    b = Build(spark, landing, as_of_date, on_malformed)
-    # entries: parsed once, stored by resource type (VARIANT round-trips
-    # through Parquet), so each staging model prunes to its partition
-    write_table(b.entries, f"{root}/entries", ["resource_type"])
-    entries = spark.read.parquet(f"{root}/entries")
-    mb = Build(spark, landing, as_of_date, on_malformed)
-    mb.__dict__["entries"] = entries
-    for m in STAGING_SPECS:
-        write_table(mb.stg(m), f"{root}/staging/{m}")
-        mb._staging[m] = spark.read.parquet(f"{root}/staging/{m}")
-    for m in M.MART_KEYS:
-        write_table(mb.mart(m), f"{root}/marts/{m}")
-        mb._marts[m] = spark.read.parquet(f"{root}/marts/{m}")
-    return mb
+def write_landing_and_typed(spark: SparkSession, landing: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    landing.write.mode("overwrite").parquet(f"{root}/landing")
+    written = spark.read.parquet(f"{root}/landing")
+    typed_entries(bundle_entries(written)).write.mode("overwrite").partitionBy("resource_type") \
+        .parquet(f"{root}/typed_entries")
+    return written, spark.read.parquet(f"{root}/typed_entries")
+
+
+def written_fixture(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2)) -> tuple[DataFrame, DataFrame]:
+    """Fixture landing + typed entries, written once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(loads))
+    if key not in _WRITTEN:
+        root = scratch_path(spark, "fixture")
+        write_landing_and_typed(spark, fixture_landing(spark, sf_dir, loads), root)
+        _WRITTEN[key] = root
+    root = _WRITTEN[key]
+    return spark.read.parquet(f"{root}/landing"), spark.read.parquet(f"{root}/typed_entries")

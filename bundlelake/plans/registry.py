@@ -33,6 +33,10 @@ def _b(spark, sf_dir) -> Build:
     return Build.from_tables(spark, sf_dir)
 
 
+def _landing(spark, sf_dir) -> DataFrame:
+    return Build.from_tables(spark, sf_dir).landing
+
+
 # --- staging models --------------------------------------------------------
 for _m in STAGING_SPECS:
     register(_m, O.staging_sql(_m))(
@@ -79,7 +83,7 @@ def _json_parse_props(spark, sf_dir):
 @register("bundle_entries", O.BUNDLE_ENTRIES)
 def _bundle_entries(spark, sf_dir):
     """One row per bundle entry with its position and resource type."""
-    e = bundle_entries(fixture_landing(spark, sf_dir))
+    e = bundle_entries(_landing(spark, sf_dir))
     return for_oracle(e.select("file_path", "ingestion_timestamp", "pos", "resource_type",
                                json_scalar("entry", "$.resource.id").alias("resource_id")))
 
@@ -88,7 +92,7 @@ def _bundle_entries(spark, sf_dir):
           f"SELECT resource_type, count(*) AS n_entries FROM ({O.BUNDLE_ENTRIES}) e GROUP BY 1")
 def _entries_by_type(spark, sf_dir):
     """Entries per resource type."""
-    return entry_type_counts(bundle_entries(fixture_landing(spark, sf_dir)))
+    return entry_type_counts(bundle_entries(_landing(spark, sf_dir)))
 
 
 @register("json_scalar_paths", f"""
@@ -105,7 +109,7 @@ FROM (SELECT c_custkey AS k, 'raw/fhir/' || rs || 'patient/pat-' || CAST(c_custk
 """)
 def _json_scalar_paths(spark, sf_dir):
     """Scalar extraction - arrays/objects and missing paths give NULL."""
-    e = entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "Patient")
+    e = entries_of_type(bundle_entries(_landing(spark, sf_dir)), "Patient")
     return e.select(
         json_scalar("entry", "$.resource.id").alias("patient_id"), "file_path",
         json_scalar("entry", "$.resource.name").alias("name_value"),
@@ -129,7 +133,7 @@ WHERE l = 1 OR c % 5 = 0
 """)
 def _reference_strip(spark, sf_dir):
     """Strip 'urn:uuid:' from references; other forms pass through."""
-    e = entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "MedicationRequest")
+    e = entries_of_type(bundle_entries(_landing(spark, sf_dir)), "MedicationRequest")
     subj = json_scalar("entry", "$.resource.subject.reference")
     req = json_scalar("entry", "$.resource.requester.reference")
     return e.select(json_scalar("entry", "$.resource.id").alias("medication_request_id"),
@@ -145,7 +149,7 @@ FROM stg_observations
 def _dedup_latest(spark, sf_dir):
     """Latest copy per id; copies counted over the same key partitioning."""
     spec = _SPECS["stg_observations"]
-    flat = flatten(entries_of_type(bundle_entries(fixture_landing(spark, sf_dir)), "Observation"), spec["columns"])
+    flat = flatten(entries_of_type(bundle_entries(_landing(spark, sf_dir)), "Observation"), spec["columns"])
     w_all = Window.partitionBy("observation_id")
     w = w_all.orderBy(F.col("ingestion_timestamp").desc(), F.col("file_path").desc(), F.col("_pos").desc())
     ranked = flat.select("observation_id", "file_path", "value_quantity",
@@ -179,7 +183,7 @@ def _age_in_years(spark, sf_dir):
 
 
 def _load1_build(spark, sf_dir) -> Build:
-    return Build(spark, fixture_landing(spark, sf_dir, loads=(1,)))
+    return Build.from_tables(spark, sf_dir, loads=(1,))
 
 
 @register("incremental_filter", O.with_staging("""
@@ -256,4 +260,202 @@ FROM (SELECT CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-03-01 00:00:00' EL
 """)
 def _dq_freshness(spark, sf_dir):
     """Age of the newest load against a threshold."""
-    return for_oracle(Q.freshness(fixture_landing(spark, sf_dir), "2024-03-02 12:00:00", 48.0))
+    return for_oracle(Q.freshness(_landing(spark, sf_dir), "2024-03-02 12:00:00", 48.0))
+
+
+# --- serving -----------------------------------------------------------------------
+
+@register("demographics", O.with_marts("SELECT gender, race, ethnicity, age_years FROM dim_patients", "dim_patients"))
+def _demographics(spark, sf_dir):
+    """Demographics projection of the patient dimension."""
+    return S.demographics(_b(spark, sf_dir).mart("dim_patients"))
+
+
+@register("top_conditions", O.with_marts("""
+SELECT condition_description, count(*) AS count FROM fct_conditions GROUP BY 1
+ORDER BY count DESC, condition_description ASC NULLS LAST LIMIT 10
+""", "fct_conditions"))
+def _top_conditions(spark, sf_dir):
+    """Ten most frequent condition descriptions."""
+    return S.top_conditions(_b(spark, sf_dir).mart("fct_conditions"))
+
+
+@register("top_medications", O.with_marts("""
+SELECT medication_description, count(*) AS count FROM fct_medications GROUP BY 1
+ORDER BY count DESC, medication_description ASC NULLS LAST LIMIT 10
+""", "fct_medications"))
+def _top_medications(spark, sf_dir):
+    """Ten most frequent medications."""
+    return S.top_medications(_b(spark, sf_dir).mart("fct_medications"))
+
+
+@register("encounter_trends", O.with_marts("""
+SELECT CAST(date_trunc('month', start_time) AS DATE) AS month, count(*) AS count FROM fct_encounters GROUP BY 1
+""", "fct_encounters"))
+def _encounter_trends(spark, sf_dir):
+    """Encounters per month."""
+    return S.encounter_trends(_b(spark, sf_dir).mart("fct_encounters"))
+
+
+@register("age_histogram", O.with_marts("""
+SELECT CAST(lo + floor((age_years - lo) / w) * w AS BIGINT) AS age_bin_start, CAST(w AS BIGINT) AS bin_width,
+       gender, count(*) AS count
+FROM dim_patients, (SELECT min(age_years) AS lo,
+                           greatest(1, ceil((max(age_years) - min(age_years) + 1) / 20.0)) AS w FROM dim_patients) b
+WHERE age_years IS NOT NULL GROUP BY 1, 2, 3
+""", "dim_patients"))
+def _age_histogram(spark, sf_dir):
+    """At most 20 equal-width age bins split by gender."""
+    return S.age_histogram(_b(spark, sf_dir).mart("dim_patients"))
+
+
+@register("race_distribution", O.with_marts("""
+SELECT race, count(*) AS count, round(count(*) / (SELECT count(*) FROM dim_patients), 6) AS share
+FROM dim_patients GROUP BY 1
+""", "dim_patients"))
+def _race_distribution(spark, sf_dir):
+    """Patients and share per race."""
+    return for_oracle(S.race_distribution(_b(spark, sf_dir).mart("dim_patients")), round_cols=("share",))
+
+
+@register("kpis", O.with_marts("""
+SELECT (SELECT count(*) FROM dim_patients) AS total_patients,
+  (SELECT count(*) FROM (SELECT condition_description FROM fct_conditions GROUP BY 1 LIMIT 10) t) AS unique_conditions_shown,
+  (SELECT count(DISTINCT condition_description) FROM fct_conditions) AS unique_conditions,
+  (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM fct_medications GROUP BY medication_description
+     ORDER BY c DESC, medication_description ASC NULLS LAST LIMIT 10) t) AS active_medications_shown,
+  (SELECT count(*) FILTER (WHERE medication_status = 'active') FROM fct_medications) AS active_medications,
+  (SELECT coalesce(max_by(c, m), 0) FROM (SELECT date_trunc('month', start_time) AS m, count(*) AS c
+     FROM fct_encounters GROUP BY 1) t) AS latest_month_volume
+""", "dim_patients", "fct_conditions", "fct_medications", "fct_encounters"))
+def _kpis(spark, sf_dir):
+    """Dashboard tiles, as shown and as true figures."""
+    b = _b(spark, sf_dir)
+    return S.kpis(b.mart("dim_patients"), b.mart("fct_conditions"), b.mart("fct_medications"), b.mart("fct_encounters"))
+
+
+@register("vital_lookup", O.with_marts("""
+SELECT observation_description, round(avg(value_quantity), 6) AS avg_value, value_unit
+FROM fct_vitals WHERE value_quantity IS NOT NULL AND observation_description = 'Obs click'
+GROUP BY observation_description, value_unit HAVING count(*) > 10
+ORDER BY value_unit ASC NULLS LAST LIMIT 1
+""", "fct_vitals"))
+def _vital_lookup(spark, sf_dir):
+    """Average and unit of one selected vital."""
+    summary = S.vitals_summary(_b(spark, sf_dir).mart("fct_vitals"))
+    return for_oracle(S.vital_lookup(summary, "Obs click"), round_cols=("avg_value",))
+
+
+# --- ingestion (raw-file manifests from `documents`) ---------------------------------
+from bundlelake.session import scratch_path  # noqa: E402
+from bundlelake.sources import landing as L  # noqa: E402
+from bundlelake.sources.files import write_files  # noqa: E402
+from bundlelake.streaming.ingest import run_available_now  # noqa: E402
+from bundlelake.testing import manifests as DM  # noqa: E402
+
+_SIZE = f"length <= {DM.DOC_SIZE_LIMIT}"
+
+
+@register("ingest_manifest", f"SELECT path, length FROM ({O.DOC_JSON}) t")
+def _ingest_manifest(spark, sf_dir):
+    """A1/A2: listed objects, keeping '.json' keys only."""
+    return L.json_keys(DM.document_manifest(spark, sf_dir)).select("path", "length")
+
+
+@register("ingest_size_guard", f"SELECT path, length FROM ({O.DOC_JSON}) t WHERE {_SIZE}")
+def _ingest_size_guard(spark, sf_dir):
+    """A3: files over the size limit are skipped (the limit itself is kept)."""
+    return L.size_guard(L.json_keys(DM.document_manifest(spark, sf_dir)), DM.DOC_SIZE_LIMIT).select("path", "length")
+
+
+@register("ingest_pending_antijoin", f"SELECT path, length FROM ({O.DOC_PENDING}) t")
+def _ingest_pending(spark, sf_dir):
+    """A4: files whose path is not yet in the landing table."""
+    m = L.json_keys(DM.document_manifest(spark, sf_dir))
+    return L.pending(m, DM.labelled_landing(spark, sf_dir)).select("path", "length")
+
+
+@register("ingest_batch_cap", f"SELECT path, length FROM ({O.DOC_PENDING}) t WHERE {_SIZE} ORDER BY path LIMIT 100")
+def _ingest_batch_cap(spark, sf_dir):
+    """A5: at most 100 files per run, first by path."""
+    m = L.size_guard(L.pending(L.json_keys(DM.document_manifest(spark, sf_dir)), DM.labelled_landing(spark, sf_dir)),
+                     DM.DOC_SIZE_LIMIT)
+    return L.batch_cap(m, DM.DOC_CAP).select("path", "length")
+
+
+@register("ingest_decode_rejects", f"SELECT path AS file_path, length FROM ({O.DOC_PENDING}) t WHERE false")
+def _ingest_decode_rejects(spark, sf_dir):
+    """Pending files that are not valid UTF-8 (none in a text table)."""
+    m = L.pending(L.json_keys(DM.document_manifest(spark, sf_dir)), DM.labelled_landing(spark, sf_dir))
+    return L.decode_rejects(m)
+
+
+@register("ingest_decode", f"SELECT path AS file_path, n_chars FROM ({O.DOC_PENDING}) t WHERE {_SIZE}")
+def _ingest_decode(spark, sf_dir):
+    """UTF-8 decode of the accepted files."""
+    m = L.size_guard(L.pending(L.json_keys(DM.document_manifest(spark, sf_dir)), DM.labelled_landing(spark, sf_dir)),
+                     DM.DOC_SIZE_LIMIT)
+    return L.decode(m).select("file_path", F.char_length("data").alias("n_chars"))
+
+
+@register("landing_append", f"""
+SELECT path AS file_path, n_chars,
+       CASE WHEN rn <= 100 THEN TIMESTAMP '2024-04-01 00:00:00' ELSE TIMESTAMP '2024-04-02 00:00:00' END AS ingestion_timestamp
+FROM (SELECT *, row_number() OVER (ORDER BY path) AS rn FROM ({O.DOC_PENDING}) t WHERE {_SIZE}) r
+WHERE rn <= 200
+""")
+def _landing_append(spark, sf_dir):
+    """Two hourly runs appending to a landing table seeded with the
+    already-ingested files; the second run skips what the first loaded."""
+    path = scratch_path(spark, "landing-append")
+    DM.labelled_landing(spark, sf_dir).write.parquet(path)
+    m = DM.document_manifest(spark, sf_dir)
+    for ts in ("2024-04-01 00:00:00", "2024-04-02 00:00:00"):
+        L.ingest_incremental(spark, m, path, DM.DOC_SIZE_LIMIT, DM.DOC_CAP, ts)
+    out = L.read_landing(spark, path).where(F.col("ingestion_timestamp") > F.lit(DM.DOC_LOAD_TS).cast("timestamp"))
+    return for_oracle(out.select("file_path", F.char_length("data").alias("n_chars"), "ingestion_timestamp"))
+
+
+@register("landing_full_refresh", f"""
+SELECT path AS file_path, n_chars, TIMESTAMP '2024-04-03 00:00:00' AS ingestion_timestamp FROM ({O.DOC_JSON}) t WHERE {_SIZE}
+""")
+def _landing_full_refresh(spark, sf_dir):
+    """Replace the landing table with every current file (twice: same result)."""
+    path = scratch_path(spark, "landing-refresh")
+    DM.labelled_landing(spark, sf_dir).write.parquet(path)
+    m = DM.document_manifest(spark, sf_dir)
+    for _ in range(2):
+        L.ingest_full_refresh(spark, m, path, DM.DOC_SIZE_LIMIT, "2024-04-03 00:00:00")
+    out = L.read_landing(spark, path)
+    return for_oracle(out.select("file_path", F.char_length("data").alias("n_chars"), "ingestion_timestamp"))
+
+
+def _document_files(spark, sf_dir) -> str:
+    root = scratch_path(spark, "raw-docs")
+    write_files(DM.document_objects(spark, sf_dir), root).count()
+    return root
+
+
+@register("ingest_files_full_refresh", f"SELECT path AS file_path, n_chars FROM ({O.DOC_JSON}) t WHERE {_SIZE}")
+def _ingest_files_full_refresh(spark, sf_dir):
+    """A1-A3/A6/A8 on real files: recursive listing, '.json' filter, size
+    guard pushed into the scan, decode, landing write."""
+    root = _document_files(spark, sf_dir)
+    manifest = L.relative_paths(L.list_raw_files(spark, root), root)
+    landing = scratch_path(spark, "landing-files")
+    L.ingest_full_refresh(spark, manifest, landing, DM.DOC_SIZE_LIMIT)
+    return L.read_landing(spark, landing).select("file_path", F.char_length("data").alias("n_chars"))
+
+
+@register("stream_ingest_available_now", f"SELECT path AS file_path, n_chars FROM ({O.DOC_JSON}) t WHERE {_SIZE}")
+def _stream_ingest(spark, sf_dir):
+    """A10: Structured Streaming file source, 100 files per micro-batch,
+    availableNow trigger; the checkpoint is the seen-file ledger."""
+    root = _document_files(spark, sf_dir)
+    landing = scratch_path(spark, "landing-stream")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    # the second run finds nothing new: the checkpoint remembers every file
+    for _ in range(2):
+        run_available_now(spark, root, landing, ckpt, 100, DM.DOC_SIZE_LIMIT, key_prefix="")
+    out = spark.read.parquet(landing)
+    return out.select(F.col("file_path"), F.char_length("data").alias("n_chars"))

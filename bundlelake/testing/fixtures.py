@@ -46,6 +46,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer partitions than cores (a small single-file table); bundle
+    building is CPU-heavy per row.  Large inputs are left as scanned."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _typed_null(t: T.DataType) -> Column:
     return F.lit(None).cast(t)
 
@@ -98,8 +106,9 @@ def patient_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    src = (cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-               .join(region, F.col("n_regionkey") == region.r_regionkey, "left"))
+    # nation (25 rows) and region (5 rows) have a fixed size at every scale
+    src = (spread(cust).join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
+               .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left"))
     if load == 2:
         src = src.where(F.col("c_custkey") % RESEND_MOD == 0)
     k = F.col("c_custkey")
@@ -178,13 +187,12 @@ def patient_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
 
 
 def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    src = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    if load == 2:
+        src = src.where(F.col("o_custkey") % RESEND_MOD == 0)
     # one row per order (partial aggregation before the shuffle)
     first_part = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
                   .agg(F.min("l_partkey").alias("pk")))
-    src = orders.join(first_part, orders.o_orderkey == first_part.l_orderkey, "left")
-    if load == 2:
-        src = src.where(F.col("o_custkey") % RESEND_MOD == 0)
     o = F.col("o_orderkey")
     c = F.col("o_custkey")
     d = F.col("o_orderdate").cast("date")
@@ -249,21 +257,27 @@ def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
         _iso_local(d, "T12:00:00Z").alias("occurrenceDateTime"),
     )
     url = lambda p: F.concat(F.lit("urn:uuid:" + p), os_)
+    # resources that depend on the order row alone are serialised before
+    # the join (in the scan's tasks); the join then moves text, which AQE
+    # sizes into enough partitions for the medication part built after it
+    pre = src.select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        _entry(encounter, url("enc-")).alias("j_enc"),
+        F.when(o % 3 == 0, _entry(condition, url("cond-"))).alias("j_cond"),
+        F.when(o % 4 == 1, _entry(procedure, url("proc-"))).alias("j_proc"),
+        F.when(o % 7 == 0, _entry(immunization, url("imm-"))).alias("j_imm"))
+    joined = pre.join(first_part, pre.o_orderkey == first_part.l_orderkey, "left")
     entries = F.concat_ws(
-        ",",
-        _entry(encounter, url("enc-")),
-        F.when(o % 3 == 0, _entry(condition, url("cond-"))),
-        F.when(o % 4 == 1, _entry(procedure, url("proc-"))),
+        ",", F.col("j_enc"), F.col("j_cond"), F.col("j_proc"),
         F.when(F.col("pk").isNotNull(), _entry(medication, url("med-"))),
-        F.when(o % 7 == 0, _entry(immunization, url("imm-"))),
-    )
+        F.col("j_imm"))
     prefix = "raw/fhir/resend/visit/enc-" if load == 2 else "raw/fhir/visit/enc-"
-    return src.select(F.concat(F.lit(prefix), os_, F.lit(".json")).alias("file_path"),
-                      _bundle_text(entries).alias("data"))
+    return joined.select(F.concat(F.lit(prefix), os_, F.lit(".json")).alias("file_path"),
+                         _bundle_text(entries).alias("data"))
 
 
 def observation_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     if load == 2:
         ev = ev.where(F.col("user_id") % RESEND_MOD == 0)
     e = F.col("event_id")
