@@ -378,9 +378,9 @@ def _ingest_pending(spark, sf_dir):
 @register("ingest_batch_cap", f"SELECT path, length FROM ({O.DOC_PENDING}) t WHERE {_SIZE} ORDER BY path LIMIT 100")
 def _ingest_batch_cap(spark, sf_dir):
     """A5: at most 100 files per run, first by path."""
-    m = L.size_guard(L.pending(L.json_keys(DM.document_manifest(spark, sf_dir)), DM.labelled_landing(spark, sf_dir)),
-                     DM.DOC_SIZE_LIMIT)
-    return L.batch_cap(m, DM.DOC_CAP).select("path", "length")
+    batch = L.incremental_batch(DM.document_manifest(spark, sf_dir), DM.labelled_landing(spark, sf_dir),
+                                DM.DOC_SIZE_LIMIT, DM.DOC_CAP)
+    return batch.select(F.col("file_path").alias("path"), F.octet_length("data").cast("long").alias("length"))
 
 
 @register("ingest_decode_rejects", f"SELECT path AS file_path, length FROM ({O.DOC_PENDING}) t WHERE false")
@@ -459,3 +459,30 @@ def _stream_ingest(spark, sf_dir):
         run_available_now(spark, root, landing, ckpt, 100, DM.DOC_SIZE_LIMIT, key_prefix="")
     out = spark.read.parquet(landing)
     return out.select(F.col("file_path"), F.char_length("data").alias("n_chars"))
+
+
+# --- versions: write-audit-publish ------------------------------------------------------
+from bundlelake.plans import versions as V  # noqa: E402
+
+
+@register("wap_publish", O.with_all(
+    "SELECT model, test, \"column\", violations, 'v1' AS label, false AS published FROM ("
+    + O.audit_sql(Q.ALL_CHECKS) + ") r"))
+def _wap_publish(spark, sf_dir):
+    """write a build under a label, audit the written tables, publish
+    only on a clean audit (this build has dangling observation subjects
+    and re-sent allergies, so the label must stay unpublished)."""
+    b = _b(spark, sf_dir)
+    root = scratch_path(spark, "versions")
+    return V.write_audit_publish(spark, {**b.staging, **b.marts}, root, "v1")
+
+
+@register("read_version", O.mart_sql("dim_patients"))
+def _read_version(spark, sf_dir):
+    """read a table by version label after publishing it."""
+    b = _b(spark, sf_dir)
+    root = scratch_path(spark, "versions")
+    V.write_audit_publish(spark, {"dim_patients": b.mart("dim_patients")}, root, "v1",
+                          [c for c in Q.MART_CHECKS if c.model == "dim_patients"])
+    assert V.current_label(spark, root) == "v1"
+    return for_oracle(V.read_version(spark, root, "dim_patients"))

@@ -108,10 +108,11 @@ def append_landing(rows: DataFrame, path: str) -> None:
 
 def incremental_batch(manifest: DataFrame, landing: DataFrame, max_bytes: int | None = MAX_FILE_BYTES,
                       max_files: int | None = MAX_FILES_PER_RUN, ingestion_timestamp=None) -> DataFrame:
-    """One incremental run: json keys -> not yet seen -> size guard -> cap
-    -> decode -> stamp.  The cap is applied before bodies are decoded."""
-    m = batch_cap(size_guard(pending(json_keys(manifest), landing), max_bytes), max_files)
-    return stamp(decode(m), ingestion_timestamp)
+    """One incremental run: json keys -> not yet seen -> size guard ->
+    valid UTF-8 -> cap -> decode -> stamp.  Undecodable files do not use
+    up a slot of the cap (they are skipped and retried next run)."""
+    valid = size_guard(pending(json_keys(manifest), landing), max_bytes).where(_valid(F.col("content")))
+    return stamp(decode(batch_cap(valid, max_files)), ingestion_timestamp)
 
 
 def ingest_incremental(spark: SparkSession, manifest: DataFrame, landing_path: str,
