@@ -40,9 +40,19 @@ def build_session(master: str | None = None, app: str = "bundlelake",
         b = b.config(k, v)
     spark = b.getOrCreate()
     apply_conf(spark)
+    tune_splits(spark)
     return spark
 
 
+def tune_splits(spark: SparkSession, per_core: int = 3) -> None:
+    """Ask for at least ``per_core`` file splits per core.  It only matters
+    when a scan is small next to the core count (splits are then cut
+    finer than 128 MB so per-row CPU work is spread evenly); large scans
+    still split at ``spark.sql.files.maxPartitionBytes``."""
+    n = spark.sparkContext.defaultParallelism * per_core
+    spark.conf.set("spark.sql.files.minPartitionNum", str(n))
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Pin the runtime SQL settings on an existing session (the driver
     hands us sessions it built itself)."""
@@ -52,6 +62,8 @@ def apply_conf(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a running session
                 pass
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        tune_splits(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:

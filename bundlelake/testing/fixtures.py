@@ -54,6 +54,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
+def _explode_loads(df: DataFrame, owner: Column, loads: tuple[int, ...]) -> DataFrame:
+    """One row per load the source row is sent in: load 1 sends every row,
+    load 2 re-sends rows whose owner key is a multiple of RESEND_MOD.  Both
+    loads come from one scan of the table."""
+    every = [F.lit(x) for x in loads if x == 1]
+    resent = [F.lit(x) for x in loads]
+    if not every:
+        df = df.where(owner % RESEND_MOD == 0)
+        return df.withColumn("load", F.explode(F.array(*resent)))
+    return df.withColumn("load", F.explode(
+        F.when(owner % RESEND_MOD == 0, F.array(*resent)).otherwise(F.array(*every))))
+
+
+def _by_load(load2: Column, load1: Column) -> Column:
+    return F.when(F.col("load") == 2, load2).otherwise(load1)
+
+
 def _typed_null(t: T.DataType) -> Column:
     return F.lit(None).cast(t)
 
@@ -102,17 +119,16 @@ def _iso_local(d: Column, clock: str) -> Column:
     return F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(clock))
 
 
-def patient_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+def patient_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2)) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     # nation (25 rows) and region (5 rows) have a fixed size at every scale
     src = (spread(cust).join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
                .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left"))
-    if load == 2:
-        src = src.where(F.col("c_custkey") % RESEND_MOD == 0)
+    src = _explode_loads(src, F.col("c_custkey"), loads)
     k = F.col("c_custkey")
-    city = F.concat(F.col("n_name"), F.lit("-moved")) if load == 2 else F.col("n_name")
+    city = _by_load(F.concat(F.col("n_name"), F.lit("-moved")), F.col("n_name"))
     race = F.element_at(F.array(*[F.lit(x) for x in ["White", "Black", "Asian", "Other"]]), (k % 4 + 1).cast("int"))
     ethnicity = F.when(k % 6 == 0, F.lit("Hispanic or Latino")).otherwise(F.lit("Not Hispanic or Latino"))
     extensions = F.array(
@@ -181,15 +197,14 @@ def patient_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
         _entry(patient, F.concat(F.lit("urn:uuid:pat-"), k.cast("string"))),
         F.when(k % 6 == 0, _entry(allergy, F.concat(F.lit("urn:uuid:alg-"), k.cast("string")))),
     )
-    prefix = "raw/fhir/resend/patient/pat-" if load == 2 else "raw/fhir/patient/pat-"
-    return src.select(F.concat(F.lit(prefix), k.cast("string"), F.lit(".json")).alias("file_path"),
-                      _bundle_text(entries).alias("data"))
+    prefix = _by_load(F.lit("raw/fhir/resend/patient/pat-"), F.lit("raw/fhir/patient/pat-"))
+    return src.select(F.concat(prefix, k.cast("string"), F.lit(".json")).alias("file_path"),
+                      _bundle_text(entries).alias("data"), "load")
 
 
-def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+def visit_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2)) -> DataFrame:
     src = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
-    if load == 2:
-        src = src.where(F.col("o_custkey") % RESEND_MOD == 0)
+    src = _explode_loads(src, F.col("o_custkey"), loads)
     # one row per order (partial aggregation before the shuffle)
     first_part = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
                   .agg(F.min("l_partkey").alias("pk")))
@@ -202,7 +217,7 @@ def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     encounter = F.struct(
         F.lit("Encounter").alias("resourceType"),
         F.concat(F.lit("enc-"), os_).alias("id"),
-        F.lit("amended" if load == 2 else "finished").alias("status"),
+        _by_load(F.lit("amended"), F.lit("finished")).alias("status"),
         F.struct(F.lit("http://terminology.hl7.org/CodeSystem/v3-ActCode").alias("system"),
                  F.element_at(F.array(F.lit("AMB"), F.lit("EMER"), F.lit("IMP")), (o % 3 + 1).cast("int")).alias("code")).alias("class"),
         F.array(_coding(F.concat(F.lit("ENC"), (o % 5).cast("string")),
@@ -261,7 +276,7 @@ def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     # the join (in the scan's tasks); the join then moves text, which AQE
     # sizes into enough partitions for the medication part built after it
     pre = src.select(
-        "o_orderkey", "o_custkey", "o_orderdate",
+        "o_orderkey", "o_custkey", "o_orderdate", "load",
         _entry(encounter, url("enc-")).alias("j_enc"),
         F.when(o % 3 == 0, _entry(condition, url("cond-"))).alias("j_cond"),
         F.when(o % 4 == 1, _entry(procedure, url("proc-"))).alias("j_proc"),
@@ -271,17 +286,16 @@ def visit_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
         ",", F.col("j_enc"), F.col("j_cond"), F.col("j_proc"),
         F.when(F.col("pk").isNotNull(), _entry(medication, url("med-"))),
         F.col("j_imm"))
-    prefix = "raw/fhir/resend/visit/enc-" if load == 2 else "raw/fhir/visit/enc-"
-    return joined.select(F.concat(F.lit(prefix), os_, F.lit(".json")).alias("file_path"),
-                         _bundle_text(entries).alias("data"))
+    prefix = _by_load(F.lit("raw/fhir/resend/visit/enc-"), F.lit("raw/fhir/visit/enc-"))
+    return joined.select(F.concat(prefix, os_, F.lit(".json")).alias("file_path"),
+                         _bundle_text(entries).alias("data"), "load")
 
 
-def observation_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+def observation_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2)) -> DataFrame:
     ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
-    if load == 2:
-        ev = ev.where(F.col("user_id") % RESEND_MOD == 0)
+    ev = _explode_loads(ev, F.col("user_id"), loads)
     e = F.col("event_id")
-    value = F.col("value") + F.lit(1.0) if load == 2 else F.col("value")
+    value = _by_load(F.col("value") + F.lit(1.0), F.col("value"))
     subject = F.when(e % 50 == 7, F.struct(F.concat(F.lit("urn:uuid:ghost-"), e.cast("string")).alias("reference"))) \
                .otherwise(_ref("pat-", F.col("user_id")))
     effective = F.when(
@@ -301,30 +315,32 @@ def observation_bundles(spark: SparkSession, sf_dir: str, load: int) -> DataFram
     )
     day = F.date_format(F.col("ts"), "yyyyMMdd")
     block = (e / OBS_BLOCK).cast("long")
-    prefix = "raw/fhir/resend/obs/obs-" if load == 2 else "raw/fhir/obs/obs-"
+    prefix = _by_load(F.lit("raw/fhir/resend/obs/obs-"), F.lit("raw/fhir/obs/obs-"))
     keyed = ev.select(
-        F.concat(F.lit(prefix), F.col("user_id").cast("string"), F.lit("-"), day, F.lit("-"),
+        "load",
+        F.concat(prefix, F.col("user_id").cast("string"), F.lit("-"), day, F.lit("-"),
                  block.cast("string"), F.lit(".json")).alias("file_path"),
         F.struct(e.alias("id"), _entry(obs, F.concat(F.lit("urn:uuid:obs-"), e.cast("string"))).alias("js")).alias("item"))
     # at most OBS_BLOCK entries per group by construction of the key
-    grouped = keyed.groupBy("file_path").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    grouped = keyed.groupBy("file_path", "load").agg(F.sort_array(F.collect_list("item")).alias("items"))
     return grouped.select("file_path",
-                          _bundle_text(F.array_join(F.transform("items", lambda x: x["js"]), ",")).alias("data"))
+                          _bundle_text(F.array_join(F.transform("items", lambda x: x["js"]), ",")).alias("data"),
+                          "load")
+
+
+def _all_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...]) -> DataFrame:
+    return (patient_bundles(spark, sf_dir, loads)
+            .unionByName(visit_bundles(spark, sf_dir, loads))
+            .unionByName(observation_bundles(spark, sf_dir, loads)))
 
 
 def bundle_files(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     """All bundles of one load: ``(file_path, data)``."""
-    return (patient_bundles(spark, sf_dir, load)
-            .unionByName(visit_bundles(spark, sf_dir, load))
-            .unionByName(observation_bundles(spark, sf_dir, load)))
+    return _all_bundles(spark, sf_dir, (load,)).drop("load")
 
 
 def fixture_landing(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1, 2)) -> DataFrame:
     """The landing table after the given loads (fixed load timestamps)."""
-    out = None
-    for load in loads:
-        ts = LOAD1_TS if load == 1 else LOAD2_TS
-        df = bundle_files(spark, sf_dir, load).withColumn(
-            "ingestion_timestamp", F.lit(ts).cast("timestamp"))
-        out = df if out is None else out.unionByName(df)
-    return out
+    b = _all_bundles(spark, sf_dir, tuple(loads))
+    ts = F.when(F.col("load") == 2, F.lit(LOAD2_TS)).otherwise(F.lit(LOAD1_TS)).cast("timestamp")
+    return b.select("file_path", "data", ts.alias("ingestion_timestamp"))
