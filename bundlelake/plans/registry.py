@@ -486,3 +486,27 @@ def _read_version(spark, sf_dir):
                           [c for c in Q.MART_CHECKS if c.model == "dim_patients"])
     assert V.current_label(spark, root) == "v1"
     return for_oracle(V.read_version(spark, root, "dim_patients"))
+
+
+# --- the scheduled job end to end (files -> landing -> models -> audit -> publish) ----------
+from bundlelake.plans.pipeline import run_pipeline  # noqa: E402
+from bundlelake.testing.fixtures import bundle_files  # noqa: E402
+
+
+@register("pipeline_run", O.with_all(
+    "SELECT model, test, \"column\", violations, 'v2' AS label, false AS published FROM ("
+    + O.audit_sql(Q.ALL_CHECKS) + ") r"))
+def _pipeline_run(spark, sf_dir):
+    """Two scheduled runs over real bundle files.  Run 1 ingests the
+    first load's files and builds v1; then the re-sent files arrive and
+    run 2 ingests only those (ledger), rebuilds and audits v2.  Both runs
+    are backfills (no per-run file cap).  The audit finds the dangling
+    observation subjects and re-sent allergies, so nothing is published."""
+    raw = scratch_path(spark, "raw-bundles")
+    root = scratch_path(spark, "lake")
+    for load, label in ((1, "v1"), (2, "v2")):
+        files = bundle_files(spark, sf_dir, load).select(F.col("file_path").alias("path"), F.col("data").alias("body"))
+        write_files(files, raw).count()
+        report = run_pipeline(spark, raw, root, label, mode="incremental", as_of_date=O.AS_OF_DATE_TEXT,
+                              max_files=None)
+    return report
