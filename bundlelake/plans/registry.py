@@ -510,3 +510,22 @@ def _pipeline_run(spark, sf_dir):
         report = run_pipeline(spark, raw, root, label, mode="incremental", as_of_date=O.AS_OF_DATE_TEXT,
                               max_files=None)
     return report
+
+
+def _incremental_marts(spark, sf_dir):
+    prev = Build.from_tables(spark, sf_dir, loads=(1,)).marts
+    return INC.incremental_marts(_b(spark, sf_dir).staging, prev, "2024-12-31")
+
+
+@register("incremental_dim_patients", O.mart_sql("dim_patients"))
+def _incremental_dim(spark, sf_dir):
+    """C11/C12 opt-in: dimension rebuilt only for re-sent patients and
+    patients with new encounters, upserted onto the previous version."""
+    return for_oracle(_incremental_marts(spark, sf_dir)["dim_patients"])
+
+
+@register("incremental_fct_encounters", O.mart_sql("fct_encounters"))
+def _incremental_encounters(spark, sf_dir):
+    """C11/C12 opt-in: encounters newer than the watermark plus those of
+    re-sent patients, upserted onto the previous version."""
+    return for_oracle(_incremental_marts(spark, sf_dir)["fct_encounters"])
