@@ -103,10 +103,27 @@ MART_CHECKS = [
 ALL_CHECKS = STAGING_CHECKS + MART_CHECKS
 
 
+def _row_condition(c: Check):
+    col = F.col(c.column)
+    return col.isNull() if c.test == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
+
+
+def _stack(model: str, wide: DataFrame, labels: list[tuple[str, str, str]]) -> DataFrame:
+    """One-row ``wide`` (columns named in ``labels``) -> one row per check."""
+    stack = ", ".join(f"'{test}', '{column}', coalesce({name}, 0L)" for test, column, name in labels)
+    return (wide.selectExpr(f"stack({len(labels)}, {stack}) as (test, column, violations)")
+            .select(F.lit(model).alias("model"), "test", "column", F.col("violations").cast("long")))
+
+
 def audit(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
     """Run checks over the given tables -> ``(model, test, column, violations)``.
 
-    Checks on models absent from ``tables`` are skipped.
+    Per table, the first ``unique`` check and every ``not_null`` /
+    ``accepted_values`` check share one scan and one shuffle: rows are
+    grouped by the unique key (partial aggregation first) carrying
+    per-key counts of the row conditions, which are then summed.  Other
+    ``unique`` checks group by their own column; ``relationships`` are
+    left-anti joins.  Checks on models absent from ``tables`` are skipped.
     """
     checks = [c for c in (checks if checks is not None else ALL_CHECKS) if c.model in tables]
     parts = []
@@ -116,25 +133,28 @@ def audit(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> Da
     for model, cs in by_model.items():
         df = tables[model]
         row_checks = [c for c in cs if c.test in ("not_null", "accepted_values")]
-        if row_checks:
-            aggs = []
-            for i, c in enumerate(row_checks):
-                col = F.col(c.column)
-                cond = col.isNull() if c.test == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
-                aggs.append(F.count_if(cond).alias(f"c{i}"))
-            wide = df.agg(*aggs)
-            stack = ", ".join(f"'{c.test}', '{c.column}', c{i}" for i, c in enumerate(row_checks))
-            parts.append(wide.selectExpr(f"stack({len(row_checks)}, {stack}) as (test, column, violations)")
-                         .select(F.lit(model).alias("model"), "test", "column", "violations"))
+        uniques = [c for c in cs if c.test == "unique"]
+        labels = [(c.test, c.column, f"c{i}") for i, c in enumerate(row_checks)]
+        if uniques:
+            key = uniques[0].column
+            per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                          *[F.count_if(_row_condition(c)).alias(f"c{i}")
+                                            for i, c in enumerate(row_checks)])
+            wide = per_key.agg(F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("u0"),
+                               *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(row_checks))])
+            parts.append(_stack(model, wide, [("unique", key, "u0")] + labels))
+            uniques = uniques[1:]
+        elif row_checks:
+            wide = df.agg(*[F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
+            parts.append(_stack(model, wide, labels))
+        for c in uniques:
+            v = unique(df, c.column).agg(F.count(F.lit(1)).alias("violations"))
+            parts.append(v.select(F.lit(model).alias("model"), F.lit("unique").alias("test"),
+                                  F.lit(c.column).alias("column"), "violations"))
         for c in cs:
-            if c.test == "unique":
-                v = unique(df, c.column).agg(F.count(F.lit(1)).alias("violations"))
-            elif c.test == "relationships":
-                if c.to not in tables:
-                    continue
-                v = relationships(df, c.column, tables[c.to], c.to_field).agg(F.count(F.lit(1)).alias("violations"))
-            else:
+            if c.test != "relationships" or c.to not in tables:
                 continue
+            v = relationships(df, c.column, tables[c.to], c.to_field).agg(F.count(F.lit(1)).alias("violations"))
             parts.append(v.select(F.lit(model).alias("model"), F.lit(c.test).alias("test"),
                                   F.lit(c.column).alias("column"), "violations"))
     return reduce(DataFrame.unionByName, parts)

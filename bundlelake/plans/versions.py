@@ -3,6 +3,7 @@
 Layout under ``root`` (a shared folder):
 
 * ``versions/<label>/<table>/``  - the tables of one build
+* ``_write_log/``                - append-only Parquet log ``(label, table, written_at)``
 * ``_publish_log/``              - append-only Parquet log ``(label, published_at)``
 
 A build is written under a new label, audited from what was written, and
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from bundlelake.operators.quality import ALL_CHECKS, AuditFailed, audit
 
 LOG_SCHEMA = "label string, published_at timestamp"
+WRITE_LOG_SCHEMA = "label string, table string, written_at timestamp"
 
 
 def version_path(root: str, label: str, table: str | None = None) -> str:
@@ -32,9 +34,28 @@ def write_version(tables: dict[str, DataFrame], root: str, label: str) -> dict[s
         p = version_path(root, label, name)
         df.write.mode("errorifexists").parquet(p)
         paths[name] = p
+    if tables:
+        record_written(next(iter(tables.values())).sparkSession, root, label, list(tables))
     return paths
 
 
+def record_written(spark: SparkSession, root: str, label: str, table_names) -> None:
+    """Append the tables written under ``label`` to the write log."""
+    rows = [(label, t) for t in table_names]
+    (spark.createDataFrame(rows, "label string, table string")
+     .withColumn("written_at", F.current_timestamp())
+     .write.mode("append").parquet(f"{root.rstrip('/')}/_write_log"))
+
+
+def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def read_version(spark: SparkSession, root: str, table: str, label: str | None = None) -> DataFrame:
     """A table as of ``label`` (default: the current published label)."""
     label = label or current_label(spark, root)
@@ -44,12 +65,7 @@ def read_version(spark: SparkSession, root: str, table: str, label: str | None =
 
 
 def publish_log(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root.rstrip('/')}/_publish_log")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], LOG_SCHEMA)
-        raise
+    return _read_log(spark, f"{root.rstrip('/')}/_publish_log", LOG_SCHEMA)
 
 
 def current_label(spark: SparkSession, root: str) -> str | None:
@@ -63,9 +79,18 @@ def publish(spark: SparkSession, root: str, label: str) -> None:
 
 
 def list_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Published labels with their latest publish time, newest first."""
-    return (publish_log(spark, root).groupBy("label").agg(F.max("published_at").alias("published_at"))
-            .orderBy(F.col("published_at").desc()))
+    """Every written label -> ``(label, tables, written_at, published_at,
+    published, current)``, newest first."""
+    written = (_read_log(spark, f"{root.rstrip('/')}/_write_log", WRITE_LOG_SCHEMA)
+               .groupBy("label").agg(F.sort_array(F.collect_set("table")).alias("tables"),
+                                     F.max("written_at").alias("written_at")))
+    pub = publish_log(spark, root).groupBy("label").agg(F.max("published_at").alias("published_at"))
+    cur = publish_log(spark, root).agg(F.max_by("label", "published_at").alias("_current"))
+    out = written.join(pub, "label", "full_outer")
+    return (out.withColumn("published", F.col("published_at").isNotNull())
+            .withColumn("current", F.col("label") == cur.select("_current").scalar())
+            .withColumn("current", F.coalesce("current", F.lit(False)))
+            .orderBy(F.col("written_at").desc_nulls_last(), F.col("label")))
 
 
 def audit_and_publish(spark: SparkSession, root: str, label: str, table_names, checks=None) -> DataFrame:

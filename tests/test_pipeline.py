@@ -34,12 +34,14 @@ def test_run_pipeline_gate_and_versions(spark, tmp_root):
     rep2 = run_pipeline(spark, raw, root, "v2", mode="incremental", as_of_date="2024-12-31", max_files=None, checks=checks)
     assert rep2.first().published
     assert V.current_label(spark, root) == "v2"
-    assert [r.label for r in V.list_versions(spark, root).collect()] == ["v2"]
+    versions = {r.label: (r.published, r.current) for r in V.list_versions(spark, root).collect()}
+    assert versions == {"v1": (False, False), "v2": (True, True)}
     dim = V.read_version(spark, root, "dim_patients")
     assert dim.count() == spark.read.parquet(f"{SF}/customer.parquet").count()
     # a failed audit later keeps v2 current
     rep3 = run_pipeline(spark, raw, root, "v3", mode="incremental", as_of_date="2024-12-31")
     assert not rep3.first().published and V.current_label(spark, root) == "v2"
+    assert {r.label for r in V.list_versions(spark, root).where("current").collect()} == {"v2"}
 
 
 def test_publish_or_raise(spark, tmp_root):
@@ -99,3 +101,14 @@ def test_incremental_refreshes_facts_of_a_resent_patient(spark):
     assert dim.city == "Elsewhere"
     full = now.mart("fct_encounters").where("patient_id = 'pat-1'")
     assert sorted(r.encounter_id for r in encs) == sorted(r.encounter_id for r in full.collect())
+
+
+def test_command_line_run(spark, tmp_root, capsys):
+    from bundlelake.plans.pipeline import main
+    raw = os.path.join(tmp_root, "raw")
+    files = bundle_files(spark, SF, 1).select(F.col("file_path").alias("path"), F.col("data").alias("body"))
+    write_files(files, raw).count()
+    root = os.path.join(tmp_root, "lake")
+    code = main(["--raw", raw, "--root", root, "--label", "cli1", "--max-files", "0", "--as-of-date", "2024-12-31"])
+    out = capsys.readouterr().out
+    assert code == 1 and "NOT published" in out and "fct_vitals.patient_id relationships" in out
