@@ -112,3 +112,27 @@ def test_command_line_run(spark, tmp_root, capsys):
     code = main(["--raw", raw, "--root", root, "--label", "cli1", "--max-files", "0", "--as-of-date", "2024-12-31"])
     out = capsys.readouterr().out
     assert code == 1 and "NOT published" in out and "fct_vitals.patient_id relationships" in out
+
+
+def test_typed_entries_parse_only_new_landing_rows(spark, tmp_root):
+    from bundlelake.operators.entries import bundle_entries
+    from bundlelake.operators.staging import stage_typed
+    from bundlelake.plans.pipeline import update_typed_entries
+    from bundlelake.testing.fixtures import fixture_landing
+    land = fixture_landing(spark, SF)
+    load1 = land.where("ingestion_timestamp < timestamp'2024-03-01 00:00:00'")
+    path = os.path.join(tmp_root, "typed")
+    t1 = update_typed_entries(spark, load1, path)
+    n1 = t1.count()
+    assert n1 == bundle_entries(load1).count()
+    t2 = update_typed_entries(spark, land, path)   # only load-2 rows are parsed and appended
+    assert t2.count() == bundle_entries(land).count()
+    t3 = update_typed_entries(spark, land, path)   # nothing new
+    assert t3.count() == t2.count()
+    full = Build(spark, land)
+    for m in ("stg_patients", "stg_observations"):
+        a = stage_typed(t3, m).drop("dbt_processed_at").collect()
+        b = full.stg(m).drop("dbt_processed_at").collect()
+        assert sorted(a, key=repr) == sorted(b, key=repr)
+    t4 = update_typed_entries(spark, load1, path, rebuild=True)
+    assert t4.count() == n1
