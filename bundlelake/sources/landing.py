@@ -37,7 +37,9 @@ def relative_paths(manifest: DataFrame, prefix: str, key_prefix: str = "") -> Da
     bare = prefix.split(":", 1)[-1] if ":" in prefix.split("/", 1)[0] else prefix
     bare = "/" + bare.lstrip("/").rstrip("/") + "/"
     rest = F.element_at(F.split(F.col("path"), re.escape(bare), 2), 2)
-    return manifest.withColumn("path", F.concat(F.lit(key_prefix), rest))
+    # the listing path stays available as a plain scan column, so filters
+    # on it (choosing which bodies to read) are pushed into the file scan
+    return manifest.withColumn("source_path", F.col("path")).withColumn("path", F.concat(F.lit(key_prefix), rest))
 
 
 def json_keys(manifest: DataFrame) -> DataFrame:
@@ -106,13 +108,42 @@ def append_landing(rows: DataFrame, path: str) -> None:
     rows.select(*LANDING_SCHEMA.fieldNames()).write.mode("append").parquet(path)
 
 
+def select_capped(candidates: DataFrame, max_files: int) -> DataFrame:
+    """The first ``max_files`` decodable candidates by path, exactly, while
+    reading file bodies only for those paths (plus any rejects met).
+
+    Paths are chosen from metadata in windows of the still-missing count;
+    only the window's bodies are read (the filter on the listing path is
+    pushed into the file scan) to drop undecodable files, and the window
+    advances past them.  Usually one window; the driver only ever holds
+    <= ``max_files`` paths, which is the cap itself.
+    """
+    src = "source_path" if "source_path" in candidates.columns else "path"
+    chosen: list[str] = []
+    last = None
+    while len(chosen) < max_files:
+        need = max_files - len(chosen)
+        window = candidates if last is None else candidates.where(F.col("path") > F.lit(last))
+        rows = window.select("path", src).orderBy("path").limit(need).collect()
+        if not rows:
+            break
+        srcs = [r[src] for r in rows]
+        ok = candidates.where(F.col(src).isin(srcs) & _valid(F.col("content"))).select(src)
+        chosen += [r[src] for r in ok.collect()]
+        last = rows[-1]["path"]
+    return candidates.where(F.col(src).isin(chosen)) if chosen else candidates.limit(0)
+
+
 def incremental_batch(manifest: DataFrame, landing: DataFrame, max_bytes: int | None = MAX_FILE_BYTES,
                       max_files: int | None = MAX_FILES_PER_RUN, ingestion_timestamp=None) -> DataFrame:
-    """One incremental run: json keys -> not yet seen -> size guard ->
-    valid UTF-8 -> cap -> decode -> stamp.  Undecodable files do not use
-    up a slot of the cap (they are skipped and retried next run)."""
-    valid = size_guard(pending(json_keys(manifest), landing), max_bytes).where(_valid(F.col("content")))
-    return stamp(decode(batch_cap(valid, max_files)), ingestion_timestamp)
+    """One incremental run: json keys -> not yet seen -> size guard -> cap
+    over decodable files -> decode -> stamp.  Undecodable files do not use
+    up a slot of the cap (they are skipped and retried next run), and
+    bodies are read only for the files the cap selects."""
+    candidates = size_guard(pending(json_keys(manifest), landing), max_bytes)
+    if max_files is not None:
+        candidates = select_capped(candidates, max_files)
+    return stamp(decode(candidates), ingestion_timestamp)
 
 
 def run_timestamp(spark: SparkSession) -> str:
