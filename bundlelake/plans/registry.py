@@ -142,7 +142,7 @@ def _reference_strip(spark, sf_dir):
 
 
 @register("dedup_latest", O.with_staging("""
-SELECT observation_id, CASE WHEN file_path LIKE 'raw/fhir/resend/%' THEN 2 ELSE 1 END AS n_copies,
+SELECT observation_id, CAST(CASE WHEN file_path LIKE 'raw/fhir/resend/%' THEN 2 ELSE 1 END AS BIGINT) AS n_copies,
        file_path, value_quantity
 FROM stg_observations
 """, "stg_observations"))
