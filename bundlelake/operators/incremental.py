@@ -17,13 +17,30 @@ def watermark(target: DataFrame, column: str = "ingested_at"):
     return target.select(F.max(column)).scalar()
 
 
+def watermark_value(target: DataFrame, column: str = "ingested_at") -> str | None:
+    """The target's watermark as text (session time zone, microseconds);
+    one global aggregate, one value to the driver."""
+    row = target.agg(F.date_format(F.max(column), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w")).first()
+    return row["w"] if row is not None else None
+
+
 def incremental_filter(source: DataFrame, target: DataFrame, column: str = "ingested_at",
-                       empty_target_loads_all: bool = True) -> DataFrame:
+                       empty_target_loads_all: bool = True, eager: bool = True) -> DataFrame:
     """Rows strictly newer than the target's watermark.
 
-    With an empty target the reference's comparison is NULL and loads
-    nothing; by default an empty target is treated as a first load.
+    By default the watermark is computed first and applied as a literal,
+    so the comparison is pushed into the Parquet scan and row groups (in
+    practice, whole earlier runs) are skipped by their min/max statistics;
+    ``eager=False`` keeps it as a scalar subquery inside one plan, which
+    cannot be pushed down.  With an empty target the reference's
+    comparison is NULL and loads nothing; by default an empty target is
+    treated as a first load.
     """
+    if eager:
+        wm = watermark_value(target, column)
+        if wm is None:
+            return source if empty_target_loads_all else source.limit(0)
+        return source.where(F.col(column) > F.lit(wm).cast(dict(source.dtypes)[column]))
     cond = F.col(column) > watermark(target, column)
     if empty_target_loads_all:
         cond = F.coalesce(cond, F.lit(True))

@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from bundlelake.functions.json import json_scalar, strip_ref
+from bundlelake.operators import incremental as INC
+from bundlelake.operators import marts as M
+from bundlelake.operators import quality as Q
 from bundlelake.operators import serving as S
+from bundlelake.operators.entries import bundle_entries, entries_of_type, entry_type_counts
+from bundlelake.operators.staging import flatten
+from bundlelake.plans import versions as V
 from bundlelake.plans.build import Build
 from bundlelake.plans.oracle_compat import for_oracle
+from bundlelake.plans.pipeline import run_pipeline
 from bundlelake.schemas import STAGING_SPECS
-from bundlelake.session import apply_conf
+from bundlelake.session import apply_conf, scratch_path
+from bundlelake.sources import landing as L
+from bundlelake.sources.files import write_files
+from bundlelake.streaming.ingest import run_available_now
+from bundlelake.testing import manifests as DM
 from bundlelake.testing import oracle as O
+from bundlelake.testing.fixtures import bundle_files, read_table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,17 +74,7 @@ def _vitals_summary(spark, sf_dir):
 
 
 # --- entries and JSON functions ------------------------------------------------
-from pyspark.sql import Window  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
-from bundlelake.functions.json import json_scalar, strip_ref  # noqa: E402
-from bundlelake.operators import incremental as INC  # noqa: E402
-from bundlelake.operators import marts as M  # noqa: E402
-from bundlelake.operators import quality as Q  # noqa: E402
-from bundlelake.operators.entries import bundle_entries, entries_of_type, entry_type_counts  # noqa: E402
-from bundlelake.operators.staging import flatten  # noqa: E402
-from bundlelake.schemas import STAGING_SPECS as _SPECS  # noqa: E402
-from bundlelake.testing.fixtures import fixture_landing, read_table  # noqa: E402
 
 
 @register("json_parse_props", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
@@ -148,7 +152,7 @@ FROM stg_observations
 """, "stg_observations"))
 def _dedup_latest(spark, sf_dir):
     """Latest copy per id; copies counted over the same key partitioning."""
-    spec = _SPECS["stg_observations"]
+    spec = STAGING_SPECS["stg_observations"]
     flat = flatten(entries_of_type(bundle_entries(_landing(spark, sf_dir)), "Observation"), spec["columns"])
     w_all = Window.partitionBy("observation_id")
     w = w_all.orderBy(F.col("ingestion_timestamp").desc(), F.col("file_path").desc(), F.col("_pos").desc())
@@ -347,11 +351,6 @@ def _vital_lookup(spark, sf_dir):
 
 
 # --- ingestion (raw-file manifests from `documents`) ---------------------------------
-from bundlelake.session import scratch_path  # noqa: E402
-from bundlelake.sources import landing as L  # noqa: E402
-from bundlelake.sources.files import write_files  # noqa: E402
-from bundlelake.streaming.ingest import run_available_now  # noqa: E402
-from bundlelake.testing import manifests as DM  # noqa: E402
 
 _SIZE = f"length <= {DM.DOC_SIZE_LIMIT}"
 
@@ -462,7 +461,6 @@ def _stream_ingest(spark, sf_dir):
 
 
 # --- versions: write-audit-publish ------------------------------------------------------
-from bundlelake.plans import versions as V  # noqa: E402
 
 
 @register("wap_publish", O.with_all(
@@ -489,8 +487,6 @@ def _read_version(spark, sf_dir):
 
 
 # --- the scheduled job end to end (files -> landing -> models -> audit -> publish) ----------
-from bundlelake.plans.pipeline import run_pipeline  # noqa: E402
-from bundlelake.testing.fixtures import bundle_files  # noqa: E402
 
 
 @register("pipeline_run", O.with_all(

@@ -136,3 +136,17 @@ def test_typed_entries_parse_only_new_landing_rows(spark, tmp_root):
         assert sorted(a, key=repr) == sorted(b, key=repr)
     t4 = update_typed_entries(spark, load1, path, rebuild=True)
     assert t4.count() == n1
+
+
+def test_watermark_filter_is_pushed_into_the_scan(spark, tmp_root):
+    p = os.path.join(tmp_root, "src")
+    spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("b", "2024-01-02 00:00:00")], "k string, s string") \
+        .selectExpr("k", "cast(s as timestamp) ingested_at").write.parquet(p)
+    src = spark.read.parquet(p)
+    t = src.where("k = 'a'")
+    out = INC.incremental_filter(src, t)
+    assert [r.k for r in out.collect()] == ["b"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ingested_at" in plan
+    lazy = INC.incremental_filter(src, t, eager=False)
+    assert [r.k for r in lazy.collect()] == ["b"]
