@@ -150,3 +150,21 @@ def test_watermark_filter_is_pushed_into_the_scan(spark, tmp_root):
     assert "GreaterThan(ingested_at" in plan
     lazy = INC.incremental_filter(src, t, eager=False)
     assert [r.k for r in lazy.collect()] == ["b"]
+
+
+def test_stream_typed_mode_matches_watermark_mode(spark, tmp_root):
+    from bundlelake.plans import versions as VV
+    raw = os.path.join(tmp_root, "raw")
+    roots = {m: os.path.join(tmp_root, m) for m in ("watermark", "stream")}
+    for load, label in ((1, "r1"), (2, "r2")):
+        files = bundle_files(spark, SF, load).select(F.col("file_path").alias("path"), F.col("data").alias("body"))
+        write_files(files, raw).count()
+        for mode, root in roots.items():
+            run_pipeline(spark, raw, root, label, mode="incremental", as_of_date="2024-12-31",
+                         max_files=None, typed_mode=mode)
+    for t in ("stg_observations", "fct_vitals"):
+        a = VV.read_version(spark, roots["watermark"], t, "r2")
+        b = VV.read_version(spark, roots["stream"], t, "r2")
+        cols = [c for c in a.columns if c not in ("dbt_processed_at", "dbt_updated_at", "ingested_at",
+                                                   "ingestion_timestamp")]
+        assert sorted(a.select(cols).collect(), key=repr) == sorted(b.select(cols).collect(), key=repr)
