@@ -16,6 +16,7 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, ".")
 
+from bundlelake.operators import incremental as INC  # noqa: E402
 from bundlelake.operators import marts as M  # noqa: E402,F401
 from bundlelake.operators import quality as Q  # noqa: E402
 from bundlelake.operators import serving as S  # noqa: E402
@@ -63,6 +64,8 @@ def main():
         "dim_patients: encounter aggregate then join": b.mart("dim_patients"),
         "top_conditions: top-k": S.top_conditions(b.mart("fct_conditions")),
         "audit of stg_encounters (unique + not_null share one shuffle)": Q.audit({"stg_encounters": b.stg("stg_encounters")}),
+        "incremental parse: only landing rows newer than the typed table (literal watermark pushed into the scan)":
+            INC.incremental_filter(landing, b.typed.where("resource_type = 'Patient'"), "ingestion_timestamp"),
         "relationships check fct_vitals -> dim_patients": Q.relationships(b.mart("fct_vitals"), "patient_id",
                                                                           b.mart("dim_patients"), "patient_id"),
     }
