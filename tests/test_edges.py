@@ -157,3 +157,28 @@ def test_vitals_having_more_than_ten(spark):
 
 def test_landing_schema_fixed():
     assert LANDING_SCHEMA.fieldNames() == ["file_path", "data", "ingestion_timestamp"]
+
+
+def test_year_only_date_is_lenient(spark):
+    """SURVEY 7.4-11: Spark's cast accepts '2015' (as 2015-01-01)."""
+    pat = bundle({"resourceType": "Patient", "id": "p", "birthDate": "2015"})
+    p = stage(bundle_entries(landing(spark, [("a.json", pat, T1)])), "stg_patients").first()
+    assert p.birth_date == dt.date(2015, 1, 1)
+
+
+def test_trend_puts_null_month_last(spark):
+    df = spark.createDataFrame([(dt.date(2020, 5, 3),), (None,), (dt.date(2020, 1, 9),)], "start_time date")
+    months = [r.month for r in S.encounter_trends(df).collect()]
+    assert months == [dt.date(2020, 1, 1), dt.date(2020, 5, 1), None]
+
+
+def test_quarantine_through_the_build(spark, tmp_path):
+    from bundlelake.plans.pipeline import build_layers
+    lnd = landing(spark, [("bad.json", "{bad", T1),
+                          ("ok.json", bundle({"resourceType": "Patient", "id": "p", "gender": "male"}), T1)])
+    out = str(tmp_path / "v")
+    with pytest.raises(Exception):
+        build_layers(spark, lnd, out + "-fail", "2024-12-31")
+    tables = build_layers(spark, lnd, out, "2024-12-31", on_malformed="quarantine")
+    assert tables["stg_patients"].count() == 1
+    assert [r.file_path for r in spark.read.parquet(out + "/_quarantine").collect()] == ["bad.json"]
