@@ -28,6 +28,16 @@ def json_scalar(v: Column | str, path: str) -> Column:
             .otherwise(s))
 
 
+def guard_scalar(text: Column, v: Column | str, path: str) -> Column:
+    """Second half of ``json_scalar`` for an already extracted ``text``
+    (``try_variant_get(v, path, 'string')``): NULL when the value at the
+    path is an object or array.  Lets a projection extract each path once
+    and reference the text twice without re-walking the variant."""
+    v = F.col(v) if isinstance(v, str) else v
+    nested = F.schema_of_variant(F.try_variant_get(v, path, "variant")).rlike("^(OBJECT|ARRAY)")
+    return F.when(F.substring(text, 1, 1).isin("{", "[") & nested, F.lit(None).cast("string")).otherwise(text)
+
+
 def strip_ref(c: Column) -> Column:
     """``REPLACE(ref, 'urn:uuid:', '')`` - every occurrence, NULL stays NULL."""
     return F.replace(c, F.lit(URN_PREFIX), F.lit(""))

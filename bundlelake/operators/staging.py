@@ -11,8 +11,10 @@ from bundlelake.operators.entries import entries_of_type
 from bundlelake.schemas import STAGING_SPECS
 
 
-def extract(kind: str, entry: Column, path: str) -> Column:
-    s = J.json_scalar(entry, path)
+def extract(kind: str, entry: Column, path: str, text: Column | None = None) -> Column:
+    """Typed value at ``path``; ``text`` is the raw extracted string when
+    the caller already projected it (see ``typed_entries``)."""
+    s = J.json_scalar(entry, path) if text is None else J.guard_scalar(text, entry, path)
     if kind == "str":
         return s
     if kind == "ref":
@@ -33,9 +35,12 @@ def extract(kind: str, entry: Column, path: str) -> Column:
 def flatten(entries: DataFrame, columns: list[tuple[str, str, str]],
             processed_at: Column | None = None) -> DataFrame:
     """Project JSON paths of each entry into typed columns, then the
-    metadata tail every staging model carries."""
+    metadata tail every staging model carries.  Each path is walked once
+    (raw text), then guarded and cast (see ``typed_entries``)."""
     e = F.col("entry")
-    cols = [extract(kind, e, path).alias(name) for name, path, kind in columns]
+    raw = F.struct(*[F.try_variant_get(e, path, "string").alias(name) for name, path, _ in columns])
+    texts = entries.select("file_path", "ingestion_timestamp", "pos", "entry", F.explode(F.array(raw)).alias("_t"))
+    cols = [extract(kind, e, path, F.col("_t")[name]).alias(name) for name, path, kind in columns]
     tail = [
         F.col("file_path"),
         F.col("ingestion_timestamp"),
@@ -43,7 +48,7 @@ def flatten(entries: DataFrame, columns: list[tuple[str, str, str]],
         (processed_at if processed_at is not None else F.current_timestamp()).alias("dbt_processed_at"),
     ]
     # pos is kept (hidden) for the dedup tie-break and dropped afterwards
-    return entries.select(*cols, *tail, F.col("pos").alias("_pos"))
+    return texts.select(*cols, *tail, F.col("pos").alias("_pos"))
 
 
 def dedup_latest(df: DataFrame, key: str, order_by: list[Column] | None = None) -> DataFrame:
@@ -85,14 +90,29 @@ def typed_entries(entries: DataFrame) -> DataFrame:
     models read: the JSON is parsed and walked once, no VARIANT is
     stored, and each model reads one partition and one struct (nested
     column pruning).
+
+    Two projections: the first walks each path once (raw text), the
+    second applies the scalar guard and casts to those texts.  In one
+    projection the guard's two references to the text would each walk
+    the variant (no common-subexpression reuse inside conditional
+    branches), and the optimizer would merge two adjacent projections,
+    so a one-element ``explode`` separates them.
     """
     e = F.col("entry")
     rt = F.col("resource_type")
+    raw = []
+    for model, spec in STAGING_SPECS.items():
+        fields = [F.try_variant_get(e, path, "string").alias(name) for name, path, _ in spec["columns"]]
+        raw.append(F.when(rt == F.lit(spec["resource_type"]), F.struct(*fields)).alias(model))
+    # a one-element explode keeps the two projections apart
+    texts = entries.select("file_path", "ingestion_timestamp", "pos", "resource_type", "entry",
+                           F.explode(F.array(F.struct(*raw))).alias("_t"))
     structs = []
     for model, spec in STAGING_SPECS.items():
-        fields = [extract(kind, e, path).alias(name) for name, path, kind in spec["columns"]]
+        fields = [extract(kind, e, path, F.col("_t")[model][name]).alias(name)
+                  for name, path, kind in spec["columns"]]
         structs.append(F.when(rt == F.lit(spec["resource_type"]), F.struct(*fields)).alias(model))
-    return entries.select("file_path", "ingestion_timestamp", "pos", "resource_type", *structs)
+    return texts.select("file_path", "ingestion_timestamp", "pos", "resource_type", *structs)
 
 
 def stage_typed(typed: DataFrame, model: str, dedup: bool | None = None,
