@@ -74,10 +74,23 @@ def main():
     }
     for name, fn in serving.items():
         timed(name, fn)
+    # steady state: the next hourly run brings a new batch (the re-sent
+    # bundles again, stamped later); only it is parsed into the shared
+    # typed table, then one staging model is rebuilt from typed columns
+    from pyspark.sql import functions as F
+    from bundlelake.plans.pipeline import update_typed_entries
+    new_batch = landing.where(F.col("file_path").startswith("raw/fhir/resend/")).withColumn(
+        "ingestion_timestamp", F.lit("2024-04-01 00:00:00").cast("timestamp"))
+    landing_next = landing.unionByName(new_batch)
+    t0 = time.time()
+    typed_next = update_typed_entries(spark, landing_next, f"{root}/typed")  # all other stages are done
+    write(stage_typed(typed_next, "stg_observations"), f"{root}/stg_observations_next")
+    hourly = round(time.time() - t0, 3)
     total = round(sum(times.values()), 3)
     result = {"metric": "bundle_pipeline_total", "value": total, "unit": "sec",
               "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-              "cpus": int(cpus)}
+              "cpus": int(cpus),
+              "hourly_run_parse_new_batch_plus_stg_observations": hourly}
     if os.environ.get("BENCH_REFERENCE_SHAPE") == "1":
         # the reference's shape: every staging model parses the landing again
         ref = {}
