@@ -55,12 +55,6 @@ def upsert(target: DataFrame, new: DataFrame, key: str, order_column: str = "ing
     return dedup_latest(both, key, [F.col(order_column).desc_nulls_last(), F.col("_src").desc()]).drop("_src")
 
 
-def changed_patient_facts(fact_source: DataFrame, patients_new: DataFrame) -> DataFrame:
-    """Fact-source rows whose patient was re-sent: an incremental build
-    must recompute them too, or demographic columns go stale."""
-    pids = patients_new.select(F.col("patient_id").alias("_pid")).distinct()
-    return fact_source.join(pids, fact_source["patient_id"] == pids["_pid"], "left_semi")
-
 
 def _newer(df: DataFrame, previous: DataFrame, column: str = "ingested_at") -> DataFrame:
     return incremental_filter(df, previous, column)

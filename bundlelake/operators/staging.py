@@ -76,9 +76,6 @@ def stage(entries: DataFrame, model: str, dedup: bool | None = None,
     return df.drop("_pos")
 
 
-def stage_all(entries: DataFrame) -> dict[str, DataFrame]:
-    return {m: stage(entries, m) for m in STAGING_SPECS}
-
 
 def typed_entries(entries: DataFrame) -> DataFrame:
     """Flatten every resource type in one pass over the parsed entries.

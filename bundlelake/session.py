@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,13 +85,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for Python-side filesystem access."""
-    return p[5:] if p.startswith("file:") else p
-
-
-def ensure_dir(p: str) -> str:
-    os.makedirs(local_path(p), exist_ok=True)
-    return p
