@@ -55,7 +55,6 @@ def upsert(target: DataFrame, new: DataFrame, key: str, order_column: str = "ing
     return dedup_latest(both, key, [F.col(order_column).desc_nulls_last(), F.col("_src").desc()]).drop("_src")
 
 
-
 def _newer(df: DataFrame, previous: DataFrame, column: str = "ingested_at") -> DataFrame:
     return incremental_filter(df, previous, column)
 
