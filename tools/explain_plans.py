@@ -20,12 +20,13 @@ from bundlelake.operators import incremental as INC  # noqa: E402
 from bundlelake.operators import marts as M  # noqa: E402,F401
 from bundlelake.operators import quality as Q  # noqa: E402
 from bundlelake.operators import serving as S  # noqa: E402
-from bundlelake.operators.staging import stage_typed  # noqa: E402
+from bundlelake.operators.entries import bundle_entries  # noqa: E402
+from bundlelake.operators.staging import stage_typed, typed_entries  # noqa: E402
 from bundlelake.plans.build import Build  # noqa: E402
 from bundlelake.session import build_session  # noqa: E402
 from bundlelake.sources import landing as L  # noqa: E402
 
-KEEP = re.compile(r"^(\(\d+\) \S.*|PartitionFilters:.*|PushedFilters:.*|ReadSchema:.*|Join type:.*|Left keys:.*|"
+KEEP = re.compile(r"^(\(\d+\) \S.*|Arguments: (posexplode|explode).*|PartitionFilters:.*|PushedFilters:.*|ReadSchema:.*|Join type:.*|Left keys:.*|"
                   r"Right keys:.*|Keys:.*|Functions:.*|Arguments: .*(WindowGroupLimit|hashpartitioning|SinglePartition|"
                   r"Partial|Final|rangepartitioning|HashedRelation|row_number|isSkewJoin).*)")
 
@@ -59,6 +60,8 @@ def main():
         "Ingestion, step 2: read bodies of the chosen paths only (path filter pushed into the file scan)": L.decode(
             L.size_guard(L.json_keys(L.relative_paths(L.list_raw_files(spark, raw), raw)))
             .where(L.F.col("source_path").isin(["file:/x/d/a.json", "file:/x/d/b.json"]))),
+        "typed entries: parse once, walk each path once (Project -> Generate -> Project)":
+            typed_entries(bundle_entries(landing)),
         "stg_observations: typed entries -> latest copy per id": stage_typed(b.typed, "stg_observations"),
         "fct_vitals: fact LEFT JOIN patients": b.mart("fct_vitals"),
         "dim_patients: encounter aggregate then join": b.mart("dim_patients"),
