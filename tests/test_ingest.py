@@ -97,3 +97,14 @@ def test_stream_available_now_twice(spark, tmp_root):
     r2 = run_available_now(spark, raw, lp, ck, max_files_per_trigger=3)
     assert r2["rows"] == 1
     assert spark.read.parquet(lp).count() == 8
+
+
+def test_cap_reads_only_chosen_bodies(spark, tmp_root):
+    raw = os.path.join(tmp_root, "raw")
+    for i in range(6):
+        put(raw, f"c{i}.json", b"{}")
+    m = manifest(spark, raw)
+    batch = L.incremental_batch(m, L.read_landing(spark, os.path.join(tmp_root, "none")), max_files=2)
+    assert sorted(r.file_path for r in batch.collect()) == ["raw/c0.json", "raw/c1.json"]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "In(path" in plan or "EqualTo(path" in plan  # body read limited to the chosen files
