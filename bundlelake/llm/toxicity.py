@@ -42,9 +42,6 @@ class Model:
     bias: float
     weights: np.ndarray  # 2**BITS
 
-    def flagged(self, p: np.ndarray) -> np.ndarray:
-        return p >= 0.5
-
 
 def sentences(raw: np.ndarray, offsets: np.ndarray):
     """Sentence spans with their text, and the features of each word: an
@@ -238,3 +235,18 @@ def offending_sentences(docs: DataFrame, model: Model, least: float = 0.5) -> Da
     src = docs.select("doc_id", "text")
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(run, f"doc_id {kind}, start long, sentence string, probability double")
+
+
+def keep(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` scored under ``below``, all columns as they were.
+    The text is scored where it lies: no join, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            good = [score_chunk(shared.value, raw, offsets)[0] < below for _, raw, offsets in text_chunks(b.column(at))]
+            if good:
+                yield b.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)
