@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, ranking, repetition, tokencount, toxicity
+from bundlelake.llm import chat, neardup, ranking, repetition, tokencount, toxicity
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,3 +149,11 @@ def op10(spark, sf_dir):
     """No SQL: a trained model (tested by held-out accuracy)."""
     docs = table(spark, sf_dir, "documents")
     return ranking.score(docs, ranking.fit(docs, table(spark, sf_dir, "labels")))
+
+
+# --- 3: near-duplicates ---------------------------------------------------------------------
+
+@query("op3_near_duplicates")
+def op3(spark, sf_dir):
+    """No SQL: components over verified pairs (tested against all pairs)."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
