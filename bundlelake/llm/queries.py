@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, neardup, ranking, repetition, tokencount, toxicity
+from bundlelake.llm import chat, knn, neardup, packing, ranking, repetition, tokencount, toxicity
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -157,3 +157,21 @@ def op10(spark, sf_dir):
 def op3(spark, sf_dir):
     """No SQL: components over verified pairs (tested against all pairs)."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# --- 9: nearest neighbours ------------------------------------------------------------------
+
+@query("op9_nearest_neighbours")
+def op9(spark, sf_dir):
+    """Every fiftieth vector against all.  Not compared with SQL: sums of
+    doubles differ in their last digits (tested against brute force)."""
+    rows = table(spark, sf_dir, "embeddings")
+    return knn.nearest(rows.where(F.col("vec_id") % 50 == 0), rows, k=5)
+
+
+# --- 7: packing -----------------------------------------------------------------------------
+
+@query("op7_packing")
+def op7(spark, sf_dir):
+    """No SQL: token ids and curve keys (tested by exact round trip)."""
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary()))
