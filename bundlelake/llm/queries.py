@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, knn, neardup, packing, ranking, repetition, tokencount, toxicity
+from bundlelake.llm import chat, knn, mixing, neardup, packing, ranking, repetition, tokencount, toxicity
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -175,3 +175,11 @@ def op9(spark, sf_dir):
 def op7(spark, sf_dir):
     """No SQL: token ids and curve keys (tested by exact round trip)."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary()))
+
+
+# --- 2: mixing sources to target weights ----------------------------------------------------
+
+@query("op2_source_mixing")
+def op2(spark, sf_dir):
+    """No SQL: raking is iterative (tested against raking in one array)."""
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlelake.llm.labelled import held_out, training_sample
+from bundlelake.llm.rows import kept
 from bundlelake.llm.textnum import Rolling, lower_latin, spans, text_chunks
 from bundlelake.session import scratch_path
 
@@ -242,11 +243,7 @@ def keep(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
     The text is scored where it lies: no join, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for b in batches:
-            at = b.schema.get_field_index("text")
-            good = [score_chunk(shared.value, raw, offsets)[0] < below for _, raw, offsets in text_chunks(b.column(at))]
-            if good:
-                yield b.filter(pa.array(np.concatenate(good)))
+    def accept(texts):
+        return np.concatenate([score_chunk(shared.value, raw, offsets)[0] < below for _, raw, offsets in text_chunks(texts)])
 
-    return docs.mapInArrow(run, docs.schema)
+    return kept(docs, "text", accept)
