@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, knn, mixing, neardup, packing, ranking, repetition, tokencount, toxicity
+from bundlelake.llm import chat, extraction, knn, mixing, neardup, packing, ranking, repetition, tokencount, toxicity
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -183,3 +183,13 @@ def op7(spark, sf_dir):
 def op2(spark, sf_dir):
     """No SQL: raking is iterative (tested against raking in one array)."""
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+# --- 6: HTML extraction ---------------------------------------------------------------------
+
+@query("op6_html_extraction")
+def op6(spark, sf_dir):
+    """No SQL: a trained model (tested on pages of known text)."""
+    pages = table(spark, sf_dir, "pages")
+    model = extraction.fit(extraction.labelled_pages(pages))
+    return extraction.extract(pages, model).withColumn("n_chars", F.length("text").cast("long"))
