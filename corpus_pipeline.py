@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bundlelake.llm import ranking, toxicity
+from bundlelake.llm import mixing, neardup, packing, ranking, toxicity
+from bundlelake.llm.queries import vocabulary
 from bundlelake.session import scratch_path
 
 
@@ -29,8 +30,25 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep(docs, toxicity.fit(docs, labels(spark, sf_dir)))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return neardup.keep(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn so that sources, languages and topics meet their
+    target weights."""
+    return mixing.keep(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents left, cut into sequences: one row per piece, with its
+    token ids."""
+    return packing.pack(docs, vocabulary())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality), ("toxicity", toxic),
+    ("quality", quality), ("toxicity", toxic), ("near_copies", near_copies), ("mixing", mix), ("packing", pack),
 ]
 
 #: None: trained models, near-duplicate groups and token ids are not SQL.
