@@ -9,7 +9,9 @@ cells, and their factors are solved where they lie.  Each sweep is one Spark
 job over the written cell table.
 
 Targets: a side's value of t tokens weighs t ** exponent (or a given share);
-totals are capped at what there is and the rest goes to the others.
+totals are capped at what there is and the rest goes to the others.  Where
+the three sides exclude each other, the sources' totals are met and the
+others as nearly as the sweeps get.
 
 Defined cases: a null source or language is the value ``(none)``; a null or
 empty text has 0 tokens and the probability of its cell; a source without
@@ -36,7 +38,8 @@ from bundlelake.session import scratch_path
 TOPICS, LONG_WORD = 8, 6      # topics; bytes of a word that may name one
 NONE = "(none)"
 MAX_TABLE = 100_000           # languages x topics the driver may hold
-SWEEPS, CLOSE = 60, 1e-4
+SWEEPS, STALLED = 60, 4       # sweeps at most; and without progress (targets that exclude each other)
+CLOSE, STRIDE = 1e-4, 4.0     # relative error at the end; most a sweep changes a factor by
 
 
 @dataclass(frozen=True)
@@ -109,19 +112,30 @@ def _source_factor(n: np.ndarray, g: np.ndarray, target: float) -> float:
 
 
 def _sweep(b: np.ndarray, c: np.ndarray):
-    """Expected tokens by (language, topic) under factors b and c."""
+    """Expected tokens by (language, topic) under factors b and c: of cells
+    kept whole, and of the others, which follow the factors."""
     def run(batches):
-        total, whole = np.zeros((len(b), len(c))), 0.0
+        whole, free = np.zeros((len(b), len(c))), np.zeros((len(b), len(c)))
         for batch in batches:
             for target, ls, ts, ns in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 ls, ts, ns = np.array(ls), np.array(ts), np.array(ns, float)
-                g = b[ls] * c[ts]
-                np.add.at(total, (ls, ts), ns * np.minimum(1, _source_factor(ns, g, target) * np.maximum(g, 1e-300)))
-        ls, ts = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ls), pa.array(ts), pa.array(total[ls, ts])], names=["l", "t", "n"])
+                g = np.maximum(b[ls] * c[ts], 1e-300)
+                p = np.minimum(1, _source_factor(ns, g, target) * g)
+                np.add.at(whole, (ls, ts), np.where(p < 1, 0, ns))
+                np.add.at(free, (ls, ts), np.where(p < 1, ns * p, 0))
+        ls, ts = np.nonzero(whole + free)
+        yield pa.RecordBatch.from_arrays([pa.array(ls), pa.array(ts), pa.array(whole[ls, ts]), pa.array(free[ls, ts])],
+                                         names=["l", "t", "whole", "free"])
     return run
 
 
+def _adjust(goal: np.ndarray, whole: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """Factors on the free tokens that meet the goal; where the whole ones
+    exceed it, by proportion."""
+    now = np.maximum(whole + free, 1e-9)
+    return np.where((goal > whole) & (free > 0), (goal - whole) / np.maximum(free, 1e-9), goal / now)
+
+
 def _probabilities(b: np.ndarray, c: np.ndarray, langs: list[str], topics: list[str]):
     def run(batches):
         for batch in batches:
@@ -183,20 +197,25 @@ def rake(cells: DataFrame, mix: Mix = Mix()) -> DataFrame:
                                                  for v, p in zip(sides[side], powers)]), budget)
     b, c = np.ones(len(sides["lang"])), np.ones(len(sides["topic"]))
     lists = sources.select("target", "cells.l", "cells.t", "cells.n")
-    for _ in range(SWEEPS):
-        now = np.zeros((b.size, c.size))
-        for r in lists.mapInArrow(_sweep(b, c), "l long, t long, n double").groupBy("l", "t").agg(F.sum("n").alias("n")).collect():
-            now[r["l"], r["t"]] = r["n"]
-        off = [np.abs(now.sum(1 - i) / np.maximum(goal[s], 1e-9) - 1)[goal[s] > 0] for i, s in enumerate(("lang", "topic"))]
-        if not b.size or max(np.append(off[0], 0).max(), np.append(off[1], 0).max()) < CLOSE:
+    best, since = (np.inf, b, c), 0
+    for _ in range(SWEEPS if b.size else 0):
+        whole, free = np.zeros((b.size, c.size)), np.zeros((b.size, c.size))
+        for r in (lists.mapInArrow(_sweep(b, c), "l long, t long, whole double, free double").groupBy("l", "t")
+                  .agg(F.sum("whole").alias("whole"), F.sum("free").alias("free")).collect()):
+            whole[r["l"], r["t"]], free[r["l"], r["t"]] = r["whole"], r["free"]
+        off = max(np.abs((whole + free).sum(1 - i) - goal[s])[goal[s] > 0].max(initial=0) / max(goal[s].max(initial=0), 1e-9)
+                  for i, s in enumerate(("lang", "topic")))
+        since = 0 if off < 0.99 * best[0] else since + 1
+        best = min(best, (off, b, c), key=lambda x: x[0])
+        if off < CLOSE or since == STALLED:
             break
-        # the two small sides are raked against the sweep's table
         db, dc = np.ones(b.size), np.ones(c.size)
-        for _ in range(20):
-            db = goal["lang"] / np.maximum((now * dc).sum(1), 1e-9)
-            dc = goal["topic"] / np.maximum((now * db[:, None]).sum(0), 1e-9)
-        b, c = b * np.clip(db, 1e-3, 1e3), c * np.clip(dc, 1e-3, 1e3)
-        b, c = np.clip(b / max(b.max(), 1e-300), 1e-12, None), np.clip(c / max(c.max(), 1e-300), 1e-12, None)
+        for _ in range(20):  # the two small sides are raked against this sweep's table
+            db = _adjust(goal["lang"], whole.sum(1), (free * dc).sum(1))
+            dc = _adjust(goal["topic"], whole.sum(0), (free * db[:, None]).sum(0))
+        b, c = b * np.clip(db, 1 / STRIDE, STRIDE), c * np.clip(dc, 1 / STRIDE, STRIDE)
+        b, c = np.clip(b / b.max(), 1e-12, None), np.clip(c / c.max(), 1e-12, None)
+    _, b, c = best
     at = scratch_path(spark, "mixing-probabilities")
     (sources.select("source", "target", "cells.l", "cells.t", "cells.n")
      .mapInArrow(_probabilities(b, c, sides["lang"], sides["topic"]), "source string, lang string, topic string, probability double")
