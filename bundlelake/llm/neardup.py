@@ -37,7 +37,9 @@ from bundlelake.session import scratch_path
 
 SIZE, ROWS = 160, 5      # components of a signature, rows of a band
 LEAST = 0.8              # similarity of a link
-BLOCK = 256              # classes on either side of a verification block
+BLOCK = 1024             # classes on either side of a verification block
+BLOCK_BYTES = 16 << 20   # and bytes of shingles (32 bits each)
+SLICE = 2048             # shingles of a matrix product
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -96,14 +98,49 @@ def _verify(least: float):
     return run
 
 
+def _shared(sets: list, left: np.ndarray, right: np.ndarray):
+    """For all pairs of two lists of weighted sets: the number of shingles
+    they share, and which share of either's weight lies on those; by matrix
+    products over slices of the shingles that occur twice or more."""
+    rows = np.repeat(np.arange(len(sets)), [k.size for k, _ in sets])
+    key, column, count = np.unique(np.concatenate([k for k, _ in sets]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([w / w.sum() for _, w in sets])
+    often = count[column] > 1
+    slot = (np.cumsum(count > 1) - 1)[column[often]]
+    rows, weight = rows[often], weight[often]
+    order = np.argsort(slot, kind="stable")
+    slot, rows, weight = slot[order], rows[order], weight[order]
+    both, of_left, of_right = (np.zeros((left.size, right.size), np.float32) for _ in range(3))
+    for first in range(0, int(slot[-1]) + 1 if slot.size else 0, SLICE):
+        i, j = np.searchsorted(slot, [first, first + SLICE])
+        one, part = np.zeros((len(sets), SLICE), np.float32), np.zeros((len(sets), SLICE), np.float32)
+        one[rows[i:j], slot[i:j] - first] = 1
+        part[rows[i:j], slot[i:j] - first] = weight[i:j]
+        both += one[left] @ one[right].T
+        of_left += part[left] @ one[right].T
+        of_right += one[left] @ part[right].T
+    return both, of_left, of_right
+
+
 def _block(least: float):
-    """Links across components in one block pair; found links join
-    components at once, so copies of copies are not compared again."""
+    """Links across components in one block pair.  A pair goes to the exact
+    check if neither text's shared weight is below ``least`` (the probability
+    Jaccard is at most that) and, where both texts have single shingles only,
+    their Jaccard, which then equals it, is not.  Found links join components
+    at once, so copies of copies are not compared again."""
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         sets = [_unpack(x) for x in table.column("sh").to_pylist()]
+        left = np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        both, of_left, of_right = _shared(sets, left, right)
+        size = np.array([k.size for k, _ in sets])
+        plain = np.array([w.max() == 1 for _, w in sets])
+        jaccard = both / (size[left][:, None] + size[right][None, :] - both)
+        near = (of_left >= least - 1e-3) & (of_right >= least - 1e-3) & (comp[left][:, None] != comp[right][None, :])
+        near &= ~(plain[left][:, None] & plain[right][None, :]) | (jaccard >= least - 1e-3)
         up = {int(c): int(c) for c in comp}
 
         def find(c):
@@ -112,13 +149,12 @@ def _block(least: float):
             return c
 
         out = []
-        left = range(len(node)) if same else np.flatnonzero(side == 0)
-        for x in left:
-            for y in (range(x + 1, len(node)) if same else np.flatnonzero(side == 1)):
-                p, q = find(int(comp[x])), find(int(comp[y]))
-                if p != q and P.probability_jaccard(*sets[x], *sets[y]) >= least:
-                    up[p] = q
-                    out.append((int(node[x]), int(node[y])))
+        for x, y in zip(*np.nonzero(np.triu(near, 1) if same else near)):
+            x, y = left[x], right[y]
+            p, q = find(int(comp[x])), find(int(comp[y]))
+            if p != q and P.probability_jaccard(*sets[x], *sets[y]) >= least:
+                up[p] = q
+                out.append((int(node[x]), int(node[y])))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
     return run
 
@@ -127,9 +163,11 @@ def _block_links(members: DataFrame, label: DataFrame, sets: DataFrame, least: f
     """Verified links between components that share a bucket of three
     classes or more (pairs in smaller buckets have been verified)."""
     comp = members.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp"))
-    mixed = (comp.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("n > 2 and lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("g")))
-    rows = comp.join(mixed, "key").withColumn("c", F.pmod(F.xxhash64("node"), F.col("g")))
+    wide = (comp.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("n > 2 and lo != hi").select("key", "n"))
+    rows = comp.join(wide, "key").join(sets.select("node", F.octet_length("sh").alias("bytes")), "node")
+    parts = rows.groupBy("key").agg(F.ceil(F.greatest(F.max("n") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).alias("g"))
+    rows = rows.join(parts, "key").withColumn("c", F.pmod(F.xxhash64("node"), F.col("g")))
     pairs = rows.select("key", "node", "comp", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
     pairs = pairs.select("key", "node", "comp", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"),
                          F.when(F.col("c") <= F.col("o"), 0).otherwise(1).alias("side"))
