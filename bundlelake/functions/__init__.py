@@ -1,4 +1,3 @@
 from bundlelake.functions.json import (  # noqa: F401
-    json_scalar, strip_ref, date_prefix, iso_timestamp, to_double, to_int,
-    age_in_years, URN_PREFIX,
+    CASTS, age_in_years, date_prefix, json_scalar, strip_ref,
 )

@@ -43,25 +43,32 @@ def strip_ref(c: Column) -> Column:
     return F.replace(c, F.lit(URN_PREFIX), F.lit(""))
 
 
-def date_prefix(c: Column) -> Column:
-    """``CAST(SUBSTR(x, 1, 10) AS DATE)``: the written local date, offset dropped."""
-    return F.substring(c, 1, 10).cast("date")
-
+def _as(kind: str):
+    return lambda s, lenient=False: s.try_cast(kind) if lenient else s.cast(kind)
 
-def iso_timestamp(c: Column) -> Column:
-    """``from_iso8601_timestamp``: an instant (``Z``/offsets honoured)."""
-    return c.cast("timestamp")
 
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")
+def date_prefix(c: Column, lenient: bool = False) -> Column:
+    """``CAST(SUBSTR(x, 1, 10) AS DATE)``: the written local date, offset dropped."""
+    return CASTS["date"](F.substring(c, 1, 10), lenient)
 
 
-def to_int(c: Column) -> Column:
-    return c.cast("int")
+# kind -> (text, lenient) -> typed value; strict casts fail on bad text
+CASTS = {
+    "date": _as("date"),
+    "date10": date_prefix,
+    "ts": _as("timestamp"),  # an instant: Z and offsets are honoured
+    "double": _as("double"),
+    "int": _as("int"),
+}
 
 
 def age_in_years(birth: Column, at: Column) -> Column:
     """``DATE_DIFF('year', birth, at)``: elapsed whole years, truncated
-    toward zero (negative when birth is after ``at``)."""
-    return F.timestamp_diff("YEAR", birth, at)
+    toward zero (negative when birth is after ``at``).  A birthday is the
+    birth date moved by whole years, so one of February 29 falls on the 28th
+    in other years."""
+    first, last = F.least(birth, at), F.greatest(birth, at)
+    years = F.year(last) - F.year(first)
+    elapsed = years - (F.add_months(first, years * 12) > last).cast("int")
+    both = birth.isNotNull() & at.isNotNull()  # least and greatest skip nulls
+    return F.when(both, F.when(at >= birth, elapsed).otherwise(-elapsed)).cast("long")

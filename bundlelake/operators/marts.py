@@ -23,6 +23,10 @@ def _as_of(as_of_date) -> Column:
     return F.lit(str(as_of_date)).cast("date")
 
 
+def age_at(birth: Column, as_of_date) -> Column:
+    return age_in_years(birth, _as_of(as_of_date))
+
+
 def _updated_at(updated_at: Column | None) -> Column:
     return (updated_at if updated_at is not None else F.current_timestamp()).alias("dbt_updated_at")
 
@@ -53,7 +57,7 @@ def dim_patients(patients: DataFrame, encounters: DataFrame, as_of_date=None,
         "city", "state", "postal_code", "country", "phone_number", "primary_language", "race",
         "ethnicity", "marital_status", "first_encounter_date", "last_encounter_date",
         F.coalesce(F.col("total_encounters"), F.lit(0).cast("long")).alias("total_encounters"),
-        age_in_years(F.col("birth_date"), _as_of(as_of_date)).alias("age_years"),
+        age_at(F.col("birth_date"), as_of_date).alias("age_years"),
         "ingested_at", _updated_at(updated_at))
 
 
@@ -163,7 +167,5 @@ MART_KEYS = {
 
 def build_marts(staging: dict[str, DataFrame], as_of_date=None) -> dict[str, DataFrame]:
     patients = staging["stg_patients"]
-    out = {"dim_patients": dim_patients(patients, staging["stg_encounters"], as_of_date)}
-    for name, (fn, src) in FACTS.items():
-        out[name] = fn(staging[src], patients)
-    return out
+    return {"dim_patients": dim_patients(patients, staging["stg_encounters"], as_of_date),
+            **{name: fn(staging[src], patients) for name, (fn, src) in FACTS.items()}}

@@ -51,9 +51,10 @@ def vitals_summary(fct_vitals: DataFrame, min_samples: int = 10) -> DataFrame:
 
 
 def vital_lookup(summary: DataFrame, description: str) -> DataFrame:
-    """Average and unit of one vital (first row by unit)."""
+    """Average and unit of one vital: the summary's first row for it, that
+    is the unit with the most samples (ties: by unit)."""
     return (summary.where(F.col("observation_description") == F.lit(description))
-            .orderBy(F.col("value_unit").asc_nulls_last())
+            .orderBy(F.col("sample_size").desc(), F.col("value_unit").asc_nulls_last())
             .limit(1)
             .select("observation_description", "avg_value", "value_unit"))
 
@@ -86,12 +87,15 @@ def kpis(dim: DataFrame, fct_conditions: DataFrame, fct_medications: DataFrame,
     top_c = top_conditions(fct_conditions, n)
     top_m = top_medications(fct_medications, n)
     trends = encounter_trends(fct_encounters)
-    latest = trends.agg(F.max_by("count", "month").alias("v")).select(F.coalesce("v", F.lit(0).cast("long"))).scalar()
+    one = lambda agg: trends.agg(agg.alias("v")).select(F.coalesce("v", F.lit(0).cast("long"))).scalar()
+    # as shown: the trend's last row, which is the one without a month if there is one
+    last_row = F.max_by("count", F.struct(F.col("month").isNull(), F.col("month")))
     return dim.agg(F.count(F.lit(1)).alias("total_patients")).select(
         "total_patients",
         top_c.select(F.count(F.lit(1))).scalar().alias("unique_conditions_shown"),
         fct_conditions.select(F.countDistinct("condition_description")).scalar().alias("unique_conditions"),
         top_m.select(F.coalesce(F.sum("count"), F.lit(0).cast("long"))).scalar().alias("active_medications_shown"),
         fct_medications.select(F.count_if(F.col("medication_status") == "active")).scalar().alias("active_medications"),
-        latest.alias("latest_month_volume"),
+        one(last_row).alias("latest_month_volume_shown"),
+        one(F.max_by("count", "month")).alias("latest_month_volume"),
     )
