@@ -31,21 +31,28 @@ def parse_bundles(landing: DataFrame, on_malformed: str = "fail") -> DataFrame:
 
 
 def malformed_bundles(landing: DataFrame) -> DataFrame:
-    """Rows whose text is not valid JSON (the quarantine side)."""
-    return (landing.where(F.col("data").isNotNull() & F.try_parse_json("data").isNull())
-            .select("file_path", "ingestion_timestamp"))
+    """``(file_path, ingestion_timestamp, reason)`` of rows whose text is not
+    valid JSON or whose ``entry`` is there but no array (the quarantine side)."""
+    bundle = F.try_parse_json("data")
+    kind = F.schema_of_variant(F.try_variant_get(bundle, "$.entry", "variant"))
+    reason = (F.when(bundle.isNull(), F.lit("not JSON"))
+              .when(kind.isNotNull() & ~kind.rlike("^(ARRAY|VOID)"), F.lit("entry is not an array")))
+    return (landing.where(F.col("data").isNotNull()).withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select("file_path", "ingestion_timestamp", "reason"))
 
 
 def bundle_entries(landing: DataFrame, on_malformed: str = "fail") -> DataFrame:
     """``CROSS JOIN UNNEST(CAST(json_extract(bundle, '$.entry') AS ARRAY(JSON)))``.
 
-    One row per entry with its position.  A missing, scalar or object
-    ``entry`` gives no rows (the cast to ``array<variant>`` yields NULL).
+    One row per entry with its position.  A missing or null ``entry`` gives
+    no rows; one that is no array fails like the reference's cast, or with
+    ``'quarantine'`` gives no rows and is a row of ``malformed_bundles``.
     """
     parsed = parse_bundles(landing, on_malformed)
+    get = F.variant_get if on_malformed == "fail" else F.try_variant_get
     exploded = parsed.select(
         "file_path", "ingestion_timestamp",
-        F.posexplode(F.try_variant_get("bundle", "$.entry", "array<variant>")).alias("pos", "entry"))
+        F.posexplode(get("bundle", "$.entry", "array<variant>")).alias("pos", "entry"))
     return exploded.select(
         "file_path", "ingestion_timestamp", "pos",
         json_scalar("entry", "$.resource.resourceType").alias("resource_type"),

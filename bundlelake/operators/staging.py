@@ -11,25 +11,21 @@ from bundlelake.operators.entries import entries_of_type
 from bundlelake.schemas import STAGING_SPECS
 
 
-def extract(kind: str, entry: Column, path: str, text: Column | None = None) -> Column:
-    """Typed value at ``path``; ``text`` is the raw extracted string when
-    the caller already projected it (see ``typed_entries``)."""
-    s = J.json_scalar(entry, path) if text is None else J.guard_scalar(text, entry, path)
+def _cast(kind: str, s: Column, lenient: bool) -> Column:
     if kind == "str":
         return s
     if kind == "ref":
         return J.strip_ref(s)
-    if kind == "date":
-        return s.cast("date")
-    if kind == "date10":
-        return J.date_prefix(s)
-    if kind == "ts":
-        return J.iso_timestamp(s)
-    if kind == "double":
-        return J.to_double(s)
-    if kind == "int":
-        return J.to_int(s)
-    raise ValueError(f"unknown extraction kind {kind!r}")
+    if kind not in J.CASTS:
+        raise ValueError(f"unknown extraction kind {kind!r}")
+    return J.CASTS[kind](s, lenient)
+
+
+def extract(kind: str, entry: Column, path: str, text: Column | None = None, lenient: bool = False) -> Column:
+    """Typed value at ``path``; ``text`` is the raw extracted string when
+    the caller already projected it (see ``typed_entries``).  ``lenient``
+    makes a bad value NULL instead of an error (see ``cast_rejects``)."""
+    return _cast(kind, J.json_scalar(entry, path) if text is None else J.guard_scalar(text, entry, path), lenient)
 
 
 def flatten(entries: DataFrame, columns: list[tuple[str, str, str]],
@@ -77,7 +73,40 @@ def stage(entries: DataFrame, model: str, dedup: bool | None = None,
 
 
 
-def typed_entries(entries: DataFrame) -> DataFrame:
+def model_types(entries: DataFrame) -> DataFrame:
+    """Entries of the staging models' resource types (others are counted by
+    ``entry_type_counts``, not stored)."""
+    return entries.where(F.col("resource_type").isin([spec["resource_type"] for spec in STAGING_SPECS.values()]))
+
+
+def write_typed(typed: DataFrame, path: str, *by: str, mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Write typed entries partitioned by ``resource_type`` (below ``by``),
+    gathered by partition first: few files per run, large types split."""
+    keys = [*by, "resource_type"]
+    w = typed.hint("rebalance", *[F.col(k) for k in keys]).write.mode(mode).partitionBy(*keys)
+    (w.option("partitionOverwriteMode", "dynamic") if dynamic else w).parquet(path)
+
+
+def cast_rejects(entries: DataFrame) -> DataFrame:
+    """``(file_path, ingestion_timestamp, pos, resource_type, column, text)``
+    of every value that its column's cast does not accept."""
+    e = F.col("entry")
+    found = None
+    for spec in STAGING_SPECS.values():
+        values = []
+        for name, path, kind in spec["columns"]:
+            if kind in J.CASTS:
+                text = J.json_scalar(e, path)
+                values.append(F.when(text.isNotNull() & _cast(kind, text, True).isNull(),
+                                     F.struct(F.lit(name).alias("column"), text.alias("text"))))
+        if values:
+            hit = F.col("resource_type") == F.lit(spec["resource_type"])
+            found = F.when(hit, F.array(*values)) if found is None else found.when(hit, F.array(*values))
+    return (entries.select("file_path", "ingestion_timestamp", "pos", "resource_type", F.explode(found).alias("r"))
+            .where(F.col("r").isNotNull()).select("file_path", "ingestion_timestamp", "pos", "resource_type", "r.column", "r.text"))
+
+
+def typed_entries(entries: DataFrame, on_malformed: str = "fail") -> DataFrame:
     """Flatten every resource type in one pass over the parsed entries.
 
     One struct column per staging model holds that model's typed columns;
@@ -86,7 +115,8 @@ def typed_entries(entries: DataFrame) -> DataFrame:
     partitioned by ``resource_type`` this is the one table all staging
     models read: the JSON is parsed and walked once, no VARIANT is
     stored, and each model reads one partition and one struct (nested
-    column pruning).
+    column pruning).  A value that a cast does not accept fails the run, or
+    with ``'quarantine'`` is NULL and a row of ``cast_rejects``.
 
     Two projections: the first walks each path once (raw text), the
     second applies the scalar guard and casts to those texts.  In one
@@ -106,7 +136,7 @@ def typed_entries(entries: DataFrame) -> DataFrame:
                            F.explode(F.array(F.struct(*raw))).alias("_t"))
     structs = []
     for model, spec in STAGING_SPECS.items():
-        fields = [extract(kind, e, path, F.col("_t")[model][name]).alias(name)
+        fields = [extract(kind, e, path, F.col("_t")[model][name], on_malformed == "quarantine").alias(name)
                   for name, path, kind in spec["columns"]]
         structs.append(F.when(rt == F.lit(spec["resource_type"]), F.struct(*fields)).alias(model))
     return texts.select("file_path", "ingestion_timestamp", "pos", "resource_type", *structs)

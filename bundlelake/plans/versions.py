@@ -2,12 +2,12 @@
 
 Layout under ``root`` (a shared folder):
 
-* ``versions/<label>/<table>/``  - the tables of one build
+* ``versions/<label>/<table>/``  - the tables of one build, ``_audit`` its report
 * ``_write_log/``                - append-only Parquet log ``(label, table, written_at)``
 * ``_publish_log/``              - append-only Parquet log ``(label, published_at)``
 
 A build is written under a new label, audited from what was written, and
-only then published by appending one log row.  Readers resolve the
+only then published by appending one log row; a label is used once.  Readers resolve the
 current label as the newest log row, so a failed audit (or a crashed
 write) never changes what readers see.  Nothing is overwritten in place.
 """
@@ -17,10 +17,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.operators.quality import ALL_CHECKS, AuditFailed, audit
+from bundlelake.operators.quality import ALL_CHECKS, audit
+from bundlelake.sources.landing import read_or_empty
 
 LOG_SCHEMA = "label string, published_at timestamp"
 WRITE_LOG_SCHEMA = "label string, table string, written_at timestamp"
+REPORT_SCHEMA = "model string, test string, column string, violations long, final boolean"
+
+
+class LabelTaken(ValueError):
+    """A build of that label was begun before; labels are used once."""
+
+
+class NotPublishable(ValueError):
+    """The label was not written, or its audit did not pass."""
 
 
 def version_path(root: str, label: str, table: str | None = None) -> str:
@@ -28,32 +38,38 @@ def version_path(root: str, label: str, table: str | None = None) -> str:
     return f"{p}/{table}" if table else p
 
 
-def write_version(tables: dict[str, DataFrame], root: str, label: str) -> dict[str, str]:
-    paths = {}
+def claim_label(spark: SparkSession, root: str, label: str) -> None:
+    """Take a label for a new build, before anything is written under it."""
+    known = write_log(spark, root).select("label").unionByName(publish_log(spark, root).select("label"))
+    if known.where(F.col("label") == label).limit(1).count():
+        raise LabelTaken(f"label {label!r} has been used under {root}")
+    _log_written(spark, root, label, [None])
+
+
+def _log_written(spark: SparkSession, root: str, label: str, names) -> None:
+    (spark.createDataFrame([(label, t) for t in names], "label string, table string")
+     .withColumn("written_at", F.current_timestamp())
+     .write.mode("append").parquet(f"{root.rstrip('/')}/_write_log"))
+
+
+def write_tables(tables: dict[str, DataFrame], root: str, label: str) -> dict[str, DataFrame]:
+    """Write tables under a claimed label; returns them as read back."""
+    out = {}
     for name, df in tables.items():
         p = version_path(root, label, name)
         df.write.mode("errorifexists").parquet(p)
-        paths[name] = p
+        out[name] = df.sparkSession.read.parquet(p)
     if tables:
-        record_written(next(iter(tables.values())).sparkSession, root, label, list(tables))
-    return paths
+        _log_written(next(iter(tables.values())).sparkSession, root, label, list(tables))
+    return out
 
 
-def record_written(spark: SparkSession, root: str, label: str, table_names) -> None:
-    """Append the tables written under ``label`` to the write log."""
-    rows = [(label, t) for t in table_names]
-    (spark.createDataFrame(rows, "label string, table string")
-     .withColumn("written_at", F.current_timestamp())
-     .write.mode("append").parquet(f"{root.rstrip('/')}/_write_log"))
+def write_log(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, f"{root.rstrip('/')}/_write_log", WRITE_LOG_SCHEMA)
 
 
-def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+def publish_log(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, f"{root.rstrip('/')}/_publish_log", LOG_SCHEMA)
 
 
 def read_version(spark: SparkSession, root: str, table: str, label: str | None = None) -> DataFrame:
@@ -64,26 +80,32 @@ def read_version(spark: SparkSession, root: str, table: str, label: str | None =
     return spark.read.parquet(version_path(root, label, table))
 
 
-def publish_log(spark: SparkSession, root: str) -> DataFrame:
-    return _read_log(spark, f"{root.rstrip('/')}/_publish_log", LOG_SCHEMA)
-
-
 def current_label(spark: SparkSession, root: str) -> str | None:
     row = publish_log(spark, root).agg(F.max_by("label", "published_at").alias("l")).first()
     return row["l"] if row else None
 
 
+def audit_report(spark: SparkSession, root: str, label: str) -> DataFrame:
+    """The audit report(s) written with a version."""
+    return read_or_empty(spark, version_path(root, label, "_audit"), REPORT_SCHEMA)
+
+
 def publish(spark: SparkSession, root: str, label: str) -> None:
+    """Make a written version current: it must have been audited, to the end
+    and without violations."""
+    report = audit_report(spark, root, label).agg(
+        F.count("*").alias("n"), F.count_if(F.col("violations") > 0).alias("bad"), F.coalesce(F.bool_or("final"), F.lit(False)).alias("final")).first()
+    if not report["final"] or report["bad"]:
+        raise NotPublishable(f"label {label!r}: {report['n']} tests on record, {report['bad']} failed, {'' if report['final'] else 'not '}audited to the end")
     spark.range(1).select(F.lit(label).alias("label"), F.current_timestamp().alias("published_at")) \
         .write.mode("append").parquet(f"{root.rstrip('/')}/_publish_log")
 
 
 def list_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Every written label -> ``(label, tables, written_at, published_at,
-    published, current)``, newest first."""
-    written = (_read_log(spark, f"{root.rstrip('/')}/_write_log", WRITE_LOG_SCHEMA)
-               .groupBy("label").agg(F.sort_array(F.collect_set("table")).alias("tables"),
-                                     F.max("written_at").alias("written_at")))
+    """Every label -> ``(label, tables, written_at, published_at, published,
+    current)``, newest first.  A label without tables is a build that broke off."""
+    written = (write_log(spark, root).groupBy("label")
+               .agg(F.sort_array(F.collect_set("table")).alias("tables"), F.max("written_at").alias("written_at")))
     pub = publish_log(spark, root).groupBy("label").agg(F.max("published_at").alias("published_at"))
     cur = publish_log(spark, root).agg(F.max_by("label", "published_at").alias("_current"))
     out = written.join(pub, "label", "full_outer")
@@ -93,27 +115,28 @@ def list_versions(spark: SparkSession, root: str) -> DataFrame:
             .orderBy(F.col("written_at").desc_nulls_last(), F.col("label")))
 
 
-def audit_and_publish(spark: SparkSession, root: str, label: str, table_names, checks=None) -> DataFrame:
-    """Audit the tables written under ``label`` and publish the label if
-    every check passes.  Returns the audit report with ``label`` and
-    ``published`` columns (a failed audit leaves the current label as is)."""
-    written = {n: spark.read.parquet(version_path(root, label, n)) for n in table_names}
-    report = audit(written, checks if checks is not None else ALL_CHECKS)
-    failing = report.where(F.col("violations") > 0).limit(1).count()
-    if failing == 0:
-        publish(spark, root, label)
-    return report.withColumn("label", F.lit(label)).withColumn("published", F.lit(failing == 0))
+def audit_step(spark: SparkSession, root: str, label: str, tables: dict[str, DataFrame], checks, final: bool = True) -> int:
+    """Audit written tables once and keep the report with the version;
+    returns how many tests failed.  ``final``: no further step follows."""
+    report = audit(tables, checks).withColumn("final", F.lit(final))
+    report.coalesce(1).write.mode("append").parquet(version_path(root, label, "_audit"))
+    return audit_report(spark, root, label).where("violations > 0").count()
 
 
-def write_audit_publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, label: str,
-                        checks=None) -> DataFrame:
-    """Write a build under ``label``, audit what was written, publish on pass."""
-    write_version(tables, root, label)
-    return audit_and_publish(spark, root, label, list(tables), checks)
+def outcome(spark: SparkSession, root: str, label: str) -> DataFrame:
+    """The version's report with ``label`` and ``published``."""
+    live = publish_log(spark, root).where(F.col("label") == label).limit(1).count() > 0
+    return (audit_report(spark, root, label).drop("final")
+            .withColumn("label", F.lit(label)).withColumn("published", F.lit(live)))
 
 
-def publish_or_raise(spark: SparkSession, tables: dict[str, DataFrame], root: str, label: str, checks=None) -> None:
-    report = write_audit_publish(spark, tables, root, label, checks)
-    if not report.select("published").first()["published"]:
-        bad = report.where(F.col("violations") > 0).collect()
-        raise AuditFailed("; ".join(f"{r.model}.{r.column} {r.test}: {r.violations}" for r in bad))
+def write_audit_publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, label: str,
+                        checks=None) -> DataFrame:
+    """Write a build under a new label, audit what was written, publish if
+    every test passes (a failed audit leaves the current label as it is).
+    Returns the audit report with ``label`` and ``published``."""
+    claim_label(spark, root, label)
+    written = write_tables(tables, root, label)
+    if not audit_step(spark, root, label, written, checks if checks is not None else ALL_CHECKS):
+        publish(spark, root, label)
+    return outcome(spark, root, label)

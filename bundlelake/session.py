@@ -50,7 +50,10 @@ def tune_splits(spark: SparkSession, per_core: int = 3) -> None:
     """Ask for at least ``per_core`` file splits per core.  It only matters
     when a scan is small next to the core count (splits are then cut
     finer than 128 MB so per-row CPU work is spread evenly); large scans
-    still split at ``spark.sql.files.maxPartitionBytes``."""
+    still split at ``spark.sql.files.maxPartitionBytes``.  A cluster's
+    splits are left as they are."""
+    if not is_local(spark):
+        return
     n = spark.sparkContext.defaultParallelism * per_core
     spark.conf.set("spark.sql.files.minPartitionNum", str(n))
 
@@ -60,25 +63,30 @@ def apply_conf(spark: SparkSession) -> None:
     hands us sessions it built itself)."""
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql.") and not k.startswith("spark.sql.files"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running session
-                pass
+            spark.conf.set(k, v)  # a session that refuses one would give other answers
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         tune_splits(spark)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """The driver is the only machine (tests, bench)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when
-    it is unset (local tests) do we make one.
+    Read from ``spark.checkpoint.dir`` (the cluster names it).  Where it is
+    unset, one is made if the driver is the only machine; on a cluster a
+    machine's own folder would not do, so that is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         # getCheckpointDir returns <dir>/<app uuid>; keep our tables next to it
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="bundlelake-ckpt-")
     spark.sparkContext.setCheckpointDir(d)

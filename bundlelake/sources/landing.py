@@ -3,43 +3,58 @@
 A raw-file *manifest* is a DataFrame ``(path, length, content)``; it comes
 from a directory listing (``list_raw_files``, Spark's ``binaryFile``
 source, which lists every file rather than one page) or from any table
-with the same columns.  The manifest operators below filter it before
-any file body is read: ``binaryFile`` only reads ``content`` for rows
-that survive the filters, and the ``length`` filter is pushed into the
-scan.
+with the same columns.  Size and per-run limits are the caller's choice
+(none by default); whatever a run leaves out because of its size or its
+bytes is written to the landing table's ``_skipped`` table.
+
+Layout of a landing table at ``root``: ``<generation>/`` with the rows,
+``_generations`` (one row per full refresh, the newest names the current
+folder) and ``_skipped``.  A full refresh writes a new generation and
+switches by one log row, so a crash leaves readers on the old one.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundlelake.schemas import LANDING_SCHEMA
 
-# The reference's per-file size limit and per-run file cap.
+# The reference's per-file size limit and per-run file cap
+# (to be asked for; no function applies them by itself).
 MAX_FILE_BYTES = 3 * 1024 * 1024
 MAX_FILES_PER_RUN = 100
 
+FIRST_GENERATION = "g0"
+SKIPPED_SCHEMA = "file_path string, length long, reason string, seen_at timestamp"
 
-def list_raw_files(spark: SparkSession, prefix: str, glob: str | None = "*.json") -> DataFrame:
-    """Recursive listing of ``prefix`` -> ``(path, length, modificationTime, content)``."""
+
+def list_raw_files(spark: SparkSession, prefix: str, glob: str | None = "*.json", modified_after: str | None = None) -> DataFrame:
+    """Recursive listing of ``prefix`` -> ``(path, length, modificationTime,
+    content)``; ``modified_after`` prunes the listing of an hourly run (files
+    with an older modification time are then not seen, so it is opt-in)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
+    if modified_after:
+        r = r.option("modifiedAfter", modified_after)
     return r.load(prefix)
 
 
-def relative_paths(manifest: DataFrame, prefix: str, key_prefix: str = "") -> DataFrame:
-    """Replace absolute listing paths by object keys: ``key_prefix`` + the
-    part of the path after ``prefix`` (scheme-insensitive)."""
+def relative_key(path: Column, prefix: str, key_prefix: str = "") -> Column:
+    """``key_prefix`` + the part of ``path`` after ``prefix`` (scheme-insensitive)."""
     bare = prefix.split(":", 1)[-1] if ":" in prefix.split("/", 1)[0] else prefix
     bare = "/" + bare.lstrip("/").rstrip("/") + "/"
-    rest = F.element_at(F.split(F.col("path"), re.escape(bare), 2), 2)
-    # the listing path stays available as a plain scan column, so filters
-    # on it (choosing which bodies to read) are pushed into the file scan
-    return manifest.withColumn("source_path", F.col("path")).withColumn("path", F.concat(F.lit(key_prefix), rest))
+    return F.concat(F.lit(key_prefix), F.element_at(F.split(path, re.escape(bare), 2), 2))
+
+
+def relative_paths(manifest: DataFrame, prefix: str, key_prefix: str = "") -> DataFrame:
+    """Replace absolute listing paths by object keys; the listing path stays
+    as ``source_path``."""
+    return manifest.withColumn("source_path", F.col("path")).withColumn("path", relative_key(F.col("path"), prefix, key_prefix))
 
 
 def json_keys(manifest: DataFrame) -> DataFrame:
@@ -47,30 +62,17 @@ def json_keys(manifest: DataFrame) -> DataFrame:
     return manifest.where(F.col("path").endswith(".json") & ~F.col("path").endswith("/"))
 
 
-def size_guard(manifest: DataFrame, max_bytes: int | None = MAX_FILE_BYTES) -> DataFrame:
+def size_guard(manifest: DataFrame, max_bytes: int | None) -> DataFrame:
     """Skip files larger than ``max_bytes`` (a file of exactly the limit is kept)."""
     if max_bytes is None:
         return manifest
     return manifest.where(F.col("length") <= F.lit(max_bytes))
 
 
-def seen_paths(landing: DataFrame) -> DataFrame:
-    return landing.select(F.col("file_path")).distinct()
-
-
 def pending(manifest: DataFrame, landing: DataFrame) -> DataFrame:
     """Files not yet in the landing table (keyed on path only, so a changed
     file under a known path is not read again)."""
-    seen = seen_paths(landing)
-    return manifest.join(seen, manifest["path"] == seen["file_path"], "left_anti")
-
-
-def batch_cap(manifest: DataFrame, max_files: int | None = MAX_FILES_PER_RUN) -> DataFrame:
-    """At most ``max_files`` files per run, first by path (a top-k, not a
-    global sort)."""
-    if max_files is None:
-        return manifest
-    return manifest.orderBy("path").limit(max_files)
+    return manifest.join(landing.select("file_path"), manifest["path"] == F.col("file_path"), "left_anti")
 
 
 def _valid(content: Column) -> Column:
@@ -84,65 +86,98 @@ def decode(manifest: DataFrame) -> DataFrame:
 
 
 def decode_rejects(manifest: DataFrame) -> DataFrame:
-    """Files that are not valid UTF-8; not recorded, so retried next run."""
+    """Files that are not valid UTF-8."""
     return manifest.where(~_valid(F.col("content"))).select(F.col("path").alias("file_path"), "length")
 
 
+def skipped(manifest: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``(file_path, length, reason)`` of the files a run cannot land.  Bodies
+    of too large files are not read."""
+    bad = decode_rejects(size_guard(manifest, max_bytes)).withColumn("reason", F.lit("not UTF-8"))
+    if max_bytes is None:
+        return bad
+    return (manifest.where(F.col("length") > F.lit(max_bytes))
+            .select(F.col("path").alias("file_path"), "length", F.lit("too large").alias("reason")).unionByName(bad))
+
+
 def stamp(decoded: DataFrame, ingestion_timestamp=None) -> DataFrame:
     """One load timestamp for every row of a run."""
     ts = F.current_timestamp() if ingestion_timestamp is None else F.lit(str(ingestion_timestamp)).cast("timestamp")
     return decoded.select("file_path", "data", ts.alias("ingestion_timestamp"))
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """The landing table; an absent table reads as empty (create-if-absent)."""
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet table; an absent one reads as empty (create-if-absent)."""
     try:
-        return spark.read.schema(LANDING_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001 - path does not exist yet
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], LANDING_SCHEMA)
+            return spark.createDataFrame([], schema)
         raise
 
 
-def append_landing(rows: DataFrame, path: str) -> None:
-    rows.select(*LANDING_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+def generation(spark: SparkSession, root: str) -> str:
+    """Name of the folder that holds the current rows."""
+    log = read_or_empty(spark, f"{root.rstrip('/')}/_generations", "generation string, at timestamp")
+    return log.agg(F.max_by("generation", "at").alias("g")).first()["g"] or FIRST_GENERATION
 
 
-def select_capped(candidates: DataFrame, max_files: int) -> DataFrame:
-    """The first ``max_files`` decodable candidates by path, exactly, while
-    reading file bodies only for those paths (plus any rejects met).
+def data_path(spark: SparkSession, root: str) -> str:
+    return f"{root.rstrip('/')}/{generation(spark, root)}"
 
-    Paths are chosen from metadata in windows of the still-missing count;
-    only the window's bodies are read (the filter on the listing path is
-    pushed into the file scan) to drop undecodable files, and the window
-    advances past them.  Usually one window; the driver only ever holds
-    <= ``max_files`` paths, which is the cap itself.
-    """
-    src = "source_path" if "source_path" in candidates.columns else "path"
-    chosen: list[str] = []
-    last = None
-    while len(chosen) < max_files:
-        need = max_files - len(chosen)
-        window = candidates if last is None else candidates.where(F.col("path") > F.lit(last))
-        rows = window.select("path", src).orderBy("path").limit(need).collect()
-        if not rows:
-            break
-        srcs = [r[src] for r in rows]
-        ok = candidates.where(F.col(src).isin(srcs) & _valid(F.col("content"))).select(src)
-        chosen += [r[src] for r in ok.collect()]
-        last = rows[-1]["path"]
-    return candidates.where(F.col(src).isin(chosen)) if chosen else candidates.limit(0)
-
-
-def incremental_batch(manifest: DataFrame, landing: DataFrame, max_bytes: int | None = MAX_FILE_BYTES,
-                      max_files: int | None = MAX_FILES_PER_RUN, ingestion_timestamp=None) -> DataFrame:
-    """One incremental run: json keys -> not yet seen -> size guard -> cap
-    over decodable files -> decode -> stamp.  Undecodable files do not use
-    up a slot of the cap (they are skipped and retried next run), and
-    bodies are read only for the files the cap selects."""
+
+def read_landing(spark: SparkSession, root: str) -> DataFrame:
+    """The landing table as of its current generation."""
+    return read_or_empty(spark, data_path(spark, root), LANDING_SCHEMA)
+
+
+def read_skipped(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, f"{root.rstrip('/')}/_skipped", SKIPPED_SCHEMA)
+
+
+def append_landing(rows: DataFrame, root: str) -> None:
+    """The one way rows reach a landing table, from batch and stream alike.
+    Small inputs become few files (rebalance)."""
+    (rows.select(*LANDING_SCHEMA.fieldNames()).hint("rebalance")
+     .write.mode("append").parquet(data_path(rows.sparkSession, root)))
+
+
+def record_skipped(files: DataFrame, root: str, seen_at) -> None:
+    """Add what is not on record yet (a file rejected again as it was adds
+    nothing)."""
+    known = read_skipped(files.sparkSession, root).select("file_path", "length", "reason")
+    (files.join(known, ["file_path", "length", "reason"], "left_anti").withColumn("seen_at", F.lit(str(seen_at)).cast("timestamp"))
+     .hint("rebalance").write.mode("append").parquet(f"{root.rstrip('/')}/_skipped"))
+
+
+def batch_cap(candidates: DataFrame, max_files: int, known_rejects: DataFrame | None = None) -> DataFrame:
+    """The first ``max_files`` candidates by path, chosen from metadata alone
+    (a top-k).  Files an earlier run rejected come last, so they never keep
+    others waiting.  The driver holds the chosen paths, ``max_files`` at
+    most; on a file listing only their bodies are read."""
+    ranked = candidates.select("path", *[c for c in ("source_path",) if c in candidates.columns])
+    if known_rejects is None:
+        ranked = ranked.withColumn("again", F.lit(False))
+    else:
+        known = known_rejects.select(F.col("file_path").alias("path")).distinct().withColumn("again", F.lit(True))
+        ranked = ranked.join(known, "path", "left").withColumn("again", F.coalesce("again", F.lit(False)))
+    rows = ranked.orderBy("again", "path").limit(max_files).collect()
+    if "source_path" not in candidates.columns or not rows:
+        return candidates.where(F.col("path").isin([r["path"] for r in rows])) if rows else candidates.limit(0)
+    # the chosen files alone are opened
+    spark, key = candidates.sparkSession, {r["source_path"]: r["path"] for r in rows}
+    names = F.create_map(*[F.lit(x) for kv in key.items() for x in kv])
+    return (spark.read.format("binaryFile").load(list(key))
+            .withColumn("source_path", F.col("path")).withColumn("path", names[F.col("path")]))
+
+
+def incremental_batch(manifest: DataFrame, landing: DataFrame, max_bytes: int | None = None, max_files: int | None = None,
+                      ingestion_timestamp=None, known_rejects: DataFrame | None = None) -> DataFrame:
+    """One incremental run: json keys -> not yet seen -> size guard -> cap ->
+    decode -> stamp."""
     candidates = size_guard(pending(json_keys(manifest), landing), max_bytes)
     if max_files is not None:
-        candidates = select_capped(candidates, max_files)
+        candidates = batch_cap(candidates, max_files, known_rejects)
     return stamp(decode(candidates), ingestion_timestamp)
 
 
@@ -152,36 +187,49 @@ def run_timestamp(spark: SparkSession) -> str:
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()["t"]
 
 
-def ingest_incremental(spark: SparkSession, manifest: DataFrame, landing_path: str,
-                       max_bytes: int | None = MAX_FILE_BYTES, max_files: int | None = MAX_FILES_PER_RUN,
-                       ingestion_timestamp=None) -> int:
+def ingest_incremental(spark: SparkSession, manifest: DataFrame, landing_path: str, max_bytes: int | None = None,
+                       max_files: int | None = None, ingestion_timestamp=None) -> int:
     """Append one incremental batch to the landing table; returns files added.
 
     The batch is read against the landing snapshot as of the start of the
     run and appended in one write (single writer assumed, as in the
-    reference's hourly job).  Rows added are counted by their load time,
-    a filter the Parquet scan prunes with row-group statistics.
+    reference's hourly job).  Files left out for their size or bytes are
+    recorded and tried again by every later run.  Rows added are counted by
+    their load time, a filter the Parquet scan prunes with row-group
+    statistics.
     """
     ts = str(ingestion_timestamp) if ingestion_timestamp is not None else run_timestamp(spark)
-    landing = read_landing(spark, landing_path)
-    batch = incremental_batch(manifest, landing, max_bytes, max_files, ts)
-    append_landing(batch, landing_path)
-    return read_landing(spark, landing_path).where(
-        F.col("ingestion_timestamp") == F.lit(ts).cast("timestamp")).count()
-
-
-def full_refresh_rows(manifest: DataFrame, max_bytes: int | None = MAX_FILE_BYTES,
-                      ingestion_timestamp=None) -> DataFrame:
+    candidates = pending(json_keys(manifest), read_landing(spark, landing_path))
+    chosen = size_guard(candidates, max_bytes)
+    if max_files is not None:
+        chosen = batch_cap(chosen, max_files, read_skipped(spark, landing_path))
+    append_landing(stamp(decode(chosen), ts), landing_path)
+    rejects = decode_rejects(chosen).withColumn("reason", F.lit("not UTF-8"))
+    if max_bytes is not None:
+        large = candidates.where(F.col("length") > F.lit(max_bytes))
+        rejects = rejects.unionByName(large.select(F.col("path").alias("file_path"), "length", F.lit("too large").alias("reason")))
+    landed = read_landing(spark, landing_path).where(F.col("ingestion_timestamp") == F.lit(ts).cast("timestamp"))
+    # of this run's files, those that have not just been landed
+    record_skipped(rejects.join(landed.select("file_path"), "file_path", "left_anti"), landing_path, ts)
+    return landed.count()
+
+
+def full_refresh_rows(manifest: DataFrame, max_bytes: int | None = None, ingestion_timestamp=None) -> DataFrame:
     """Every json file within the size limit (no ledger, no cap)."""
     return stamp(decode(size_guard(json_keys(manifest), max_bytes)), ingestion_timestamp)
 
 
-def ingest_full_refresh(spark: SparkSession, manifest: DataFrame, landing_path: str,
-                        max_bytes: int | None = MAX_FILE_BYTES, ingestion_timestamp=None) -> bool:
+def ingest_full_refresh(spark: SparkSession, manifest: DataFrame, landing_path: str, max_bytes: int | None = None,
+                        ingestion_timestamp=None) -> bool:
     """Replace the landing table with all current files, if there is at
     least one; otherwise leave it untouched.  Returns whether it replaced."""
-    rows = full_refresh_rows(manifest, max_bytes, ingestion_timestamp)
-    if rows.isEmpty():
+    root = landing_path.rstrip("/")
+    ts = str(ingestion_timestamp) if ingestion_timestamp is not None else run_timestamp(spark)
+    new = f"g-{uuid.uuid4().hex[:12]}"
+    full_refresh_rows(manifest, max_bytes, ts).hint("rebalance").write.parquet(f"{root}/{new}")
+    if read_or_empty(spark, f"{root}/{new}", LANDING_SCHEMA).isEmpty():
         return False
-    rows.write.mode("overwrite").parquet(landing_path)
+    record_skipped(skipped(json_keys(manifest), max_bytes), landing_path, ts)
+    spark.range(1).select(F.lit(new).alias("generation"), F.current_timestamp().alias("at")) \
+        .write.mode("append").parquet(f"{root}/_generations")
     return True
