@@ -150,8 +150,9 @@ def patient_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (
         _ext("quality-adjusted-life-years", valueDecimal=(k % 70).cast("double") / F.lit(4.0)),
     )
     given = F.when(k % 3 == 0, F.array(F.col("c_mktsegment"), F.lit("M"))).otherwise(F.array(F.col("c_mktsegment")))
-    birth = F.make_date((F.lit(1930) + k * 13 % 75).cast("int"), (F.lit(1) + k * 7 % 12).cast("int"),
-                        (F.lit(1) + k * 11 % 28).cast("int"))
+    birth = F.when(k % 50 == 11, F.make_date((F.lit(1932) + k % 18 * 4).cast("int"), F.lit(2), F.lit(29))).otherwise(
+        F.make_date((F.lit(1930) + k * 13 % 75).cast("int"), (F.lit(1) + k * 7 % 12).cast("int"),
+                    (F.lit(1) + k * 11 % 28).cast("int")))
     patient = F.struct(
         F.lit("Patient").alias("resourceType"),
         F.concat(F.lit("pat-"), k.cast("string")).alias("id"),
@@ -223,7 +224,7 @@ def visit_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...] = (1,
         F.array(_coding(F.concat(F.lit("ENC"), (o % 5).cast("string")),
                         F.concat(F.lit("Encounter type "), (o % 5).cast("string")))).alias("type"),
         subject.alias("subject"),
-        F.struct(_iso_local(d, "T23:30:00-05:00").alias("start"),
+        F.struct(F.when(o % 40 != 17, _iso_local(d, "T23:30:00-05:00")).alias("start"),
                  _iso_local(F.date_add(d, (o % 4).cast("int")), "T23:45:00-05:00").alias("end")).alias("period"),
         F.array(F.struct(_ref("prac-", o % 50).alias("individual"))).alias("participant"),
     )
@@ -310,7 +311,7 @@ def observation_bundles(spark: SparkSession, sf_dir: str, loads: tuple[int, ...]
         _coding(F.col("event_type"), F.concat(F.lit("Obs "), F.col("event_type"))).alias("code"),
         subject.alias("subject"),
         F.when(e % 10 != 3, F.struct(value.alias("value"),
-                                     F.when(e % 2 == 0, F.lit("mmHg")).otherwise(F.lit("kg")).alias("unit"))).alias("valueQuantity"),
+                                     F.when(e % 3 != 0, F.lit("mmHg")).otherwise(F.lit("kg")).alias("unit"))).alias("valueQuantity"),
         effective.alias("effectiveDateTime"),
     )
     day = F.date_format(F.col("ts"), "yyyyMMdd")

@@ -26,15 +26,24 @@ def doc_key(doc_id, source):
 
 
 def document_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(path, body)`` for every document."""
+    """``(path, body)`` for every document; the bytes of every seventeenth
+    are not UTF-8."""
     d = read_table(spark, sf_dir, "documents")
-    return d.select(doc_key(F.col("doc_id"), F.col("source")).alias("path"), F.col("text").alias("body"))
+    body = F.encode(F.col("text"), "UTF-8")
+    return d.select(doc_key(F.col("doc_id"), F.col("source")).alias("path"),
+                    F.when(F.col("doc_id") % 17 == 5, F.concat(F.lit(bytearray(b"\xff")), body)).otherwise(body).alias("body"))
+
+
+def repaired_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The undecodable documents, decodable."""
+    d = read_table(spark, sf_dir, "documents").where("doc_id % 17 = 5")
+    return d.select(doc_key(F.col("doc_id"), F.col("source")).alias("path"), F.encode("text", "UTF-8").alias("body"))
 
 
 def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, length, content)`` as a listing would return it."""
     return document_objects(spark, sf_dir).select(
-        "path", F.octet_length("body").cast("long").alias("length"), F.encode("body", "UTF-8").alias("content"))
+        "path", F.octet_length("body").cast("long").alias("length"), F.col("body").alias("content"))
 
 
 def labelled_landing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,9 +29,19 @@ T1 = "2024-02-01 00:00:00"
 T2 = "2024-03-01 00:00:00"
 
 
-@pytest.mark.parametrize("data", ['{"resourceType":"Bundle"}', '{"entry":[]}', '{"entry":5}', '{"entry":{"k":1}}'])
+@pytest.mark.parametrize("data", ['{"resourceType":"Bundle"}', '{"entry":[]}', '{"entry":null}'])
 def test_entry_shapes_without_rows(spark, data):
     assert bundle_entries(landing(spark, [("a.json", data, T1)])).count() == 0
+    assert malformed_bundles(landing(spark, [("a.json", data, T1)])).count() == 0
+
+
+@pytest.mark.parametrize("data", ['{"entry":5}', '{"entry":{"k":1}}'])
+def test_entry_that_is_no_array_fails_or_is_kept_aside(spark, data):
+    lnd = landing(spark, [("a.json", data, T1)])
+    with pytest.raises(Exception):
+        bundle_entries(lnd).count()
+    assert bundle_entries(lnd, "quarantine").count() == 0
+    assert [r.reason for r in malformed_bundles(lnd).collect()] == ["entry is not an array"]
 
 
 def test_null_element_dropped_by_type_filter(spark):
@@ -144,7 +154,7 @@ def test_feb29_birth_and_no_encounters(spark):
     pats = pats.withColumn("ingested_at", F.current_timestamp())
     encs = spark.createDataFrame([], "patient_id string, start_time date")
     r = M.dim_patients(pats, encs, "2001-02-28").first()
-    assert r.age_years == 0  # Spark's elapsed-years rule for Feb 29 births
+    assert r.age_years == 1  # a birthday of Feb 29 falls on the 28th in other years
     assert r.total_encounters == 0 and r.first_encounter_date is None
 
 
@@ -173,12 +183,21 @@ def test_trend_puts_null_month_last(spark):
 
 
 def test_quarantine_through_the_build(spark, tmp_path):
-    from bundlelake.plans.pipeline import build_layers
+    from bundlelake.plans.pipeline import read_quarantine, update_typed_entries
     lnd = landing(spark, [("bad.json", "{bad", T1),
-                          ("ok.json", bundle({"resourceType": "Patient", "id": "p", "gender": "male"}), T1)])
-    out = str(tmp_path / "v")
+                          ("ok.json", bundle({"resourceType": "Patient", "id": "p", "gender": "male", "birthDate": "not-a-date"}), T1)])
     with pytest.raises(Exception):
-        build_layers(spark, lnd, out + "-fail", "2024-12-31")
-    tables = build_layers(spark, lnd, out, "2024-12-31", on_malformed="quarantine")
-    assert tables["stg_patients"].count() == 1
-    assert [r.file_path for r in spark.read.parquet(out + "/_quarantine").collect()] == ["bad.json"]
+        update_typed_entries(spark, lnd, str(tmp_path / "fail"))
+    at = str(tmp_path / "typed")
+    for _ in range(2):  # a poisoned value does not stop later runs, nor is it recorded twice
+        p = stage_typed(update_typed_entries(spark, lnd, at, "quarantine"), "stg_patients").collect()
+        assert [(r.patient_id, r.birth_date) for r in p] == [("p", None)]
+    got = sorted((r.file_path, r.reason, r.column, r.text) for r in read_quarantine(spark, at).collect())
+    assert got == [("bad.json", "not JSON", None, None), ("ok.json", "bad value", "birth_date", "not-a-date")]
+
+
+def test_vital_lookup_takes_the_most_frequent_unit(spark):
+    rows = [("HR", 60.0, "bpm")] * 100 + [("HR", 1.0, "aaa")] * 11
+    df = spark.createDataFrame(rows, "observation_description string, value_quantity double, value_unit string")
+    r = S.vital_lookup(S.vitals_summary(df), "HR").first()
+    assert (r.value_unit, r.avg_value) == ("bpm", 60.0)

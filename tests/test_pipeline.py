@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from bundlelake.operators import incremental as INC
 from bundlelake.operators import quality as Q
 from bundlelake.plans import versions as V
-from bundlelake.plans.build import Build
+from bundlelake.testing.build import Build
 from bundlelake.plans.pipeline import run_pipeline
-from bundlelake.sources.files import write_files
+from bundlelake.testing.files import write_files
 from bundlelake.testing.fixtures import bundle_files
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ def test_run_pipeline_gate_and_versions(spark, tmp_root):
     assert bad == {("fct_vitals", "relationships")}
     # a gate without that test publishes
     checks = [c for c in Q.ALL_CHECKS if not (c.model == "fct_vitals" and c.test == "relationships")]
-    rep2 = run_pipeline(spark, raw, root, "v2", mode="incremental", as_of_date="2024-12-31", max_files=None, checks=checks)
+    rep2 = run_pipeline(spark, raw, root, "v2", mode="incremental", as_of_date="2024-12-31", checks=checks)
     assert rep2.first().published
     assert V.current_label(spark, root) == "v2"
     versions = {r.label: (r.published, r.current) for r in V.list_versions(spark, root).collect()}
@@ -44,11 +44,31 @@ def test_run_pipeline_gate_and_versions(spark, tmp_root):
     assert {r.label for r in V.list_versions(spark, root).where("current").collect()} == {"v2"}
 
 
-def test_publish_or_raise(spark, tmp_root):
-    df = spark.createDataFrame([("a",), ("a",)], "patient_id string").withColumn("dbt_updated_at", F.current_timestamp())
-    with pytest.raises(Q.AuditFailed):
-        V.publish_or_raise(spark, {"dim_patients": df}, tmp_root, "x",
-                           [c for c in Q.MART_CHECKS if c.model == "dim_patients"])
+DIM = [c for c in Q.MART_CHECKS if c.model == "dim_patients"]
+
+
+def patients(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "patient_id string").withColumn("dbt_updated_at", F.current_timestamp())
+
+
+def test_label_is_used_once_and_readers_keep_what_was_published(spark, tmp_root):
+    good, bad = {"dim_patients": patients(spark, "a")}, {"dim_patients": patients(spark, "b", "b")}
+    assert V.write_audit_publish(spark, good, tmp_root, "v1", DIM).first().published
+    with pytest.raises(V.LabelTaken):
+        V.write_audit_publish(spark, bad, tmp_root, "v1", DIM)
+    assert not V.write_audit_publish(spark, bad, tmp_root, "v2", DIM).first().published
+    assert [r.patient_id for r in V.read_version(spark, tmp_root, "dim_patients").collect()] == ["a"]
+    for label in ("v2", "never-written"):
+        with pytest.raises(V.NotPublishable):
+            V.publish(spark, tmp_root, label)
+    assert V.current_label(spark, tmp_root) == "v1"
+
+
+def test_audit_without_its_tables_is_an_error(spark):
+    with pytest.raises(Q.MissingTable):
+        Q.audit({"dim_patients": patients(spark, "a")}, Q.MART_CHECKS)
+    with pytest.raises(Q.MissingTable):
+        Q.audit({"dim_patients": patients(spark, "a")}, [])
 
 
 def test_incremental_plus_upsert_equals_full_rebuild(spark):
@@ -82,6 +102,22 @@ def test_incremental_marts_equal_full_rebuild(spark):
             sorted(full.mart(name).select(cols).collect(), key=repr), name
 
 
+def test_incremental_marts_after_a_moved_encounter_and_a_later_day(spark):
+    from bundlelake.testing.fixtures import fixture_landing
+    first = fixture_landing(spark, SF, loads=(1,))
+    moved = spark.createDataFrame(
+        [("raw/fhir/late/enc-1.json",
+          '{"entry":[{"resource":{"resourceType":"Encounter","id":"enc-1","status":"moved","subject":{"reference":"urn:uuid:pat-2"}}}]}',
+          "2024-01-05 00:00:00"),  # sent again late, stamped newer below
+         ], "file_path string, data string, t string").selectExpr("file_path", "data", "timestamp'2024-05-01 00:00:00' ingestion_timestamp")
+    prev = Build(spark, first, as_of_date="2023-12-31").marts
+    now = Build(spark, first.unionByName(moved), as_of_date="2024-12-31")
+    inc = INC.incremental_marts(now.staging, prev, "2024-12-31")
+    for name in ("dim_patients", "fct_encounters"):
+        cols = [c for c in inc[name].columns if c != "dbt_updated_at"]
+        assert sorted(inc[name].select(cols).collect(), key=repr) == sorted(now.mart(name).select(cols).collect(), key=repr), name
+
+
 def test_incremental_refreshes_facts_of_a_resent_patient(spark):
     """A patient re-sent alone (no new facts) must still refresh the
     demographic columns of that patient's old facts."""
@@ -109,7 +145,7 @@ def test_command_line_run(spark, tmp_root, capsys):
     files = bundle_files(spark, SF, 1).select(F.col("file_path").alias("path"), F.col("data").alias("body"))
     write_files(files, raw).count()
     root = os.path.join(tmp_root, "lake")
-    code = main(["--raw", raw, "--root", root, "--label", "cli1", "--max-files", "0", "--as-of-date", "2024-12-31"])
+    code = main(["--raw", raw, "--root", root, "--label", "cli1", "--as-of-date", "2024-12-31"])
     out = capsys.readouterr().out
     assert code == 1 and "NOT published" in out and "fct_vitals.patient_id relationships" in out
 
@@ -134,8 +170,38 @@ def test_typed_entries_parse_only_new_landing_rows(spark, tmp_root):
         a = stage_typed(t3, m).drop("dbt_processed_at").collect()
         b = full.stg(m).drop("dbt_processed_at").collect()
         assert sorted(a, key=repr) == sorted(b, key=repr)
-    t4 = update_typed_entries(spark, load1, path, rebuild=True)
-    assert t4.count() == n1
+    # a load stamped before the others, and one under a time that is taken
+    late = load1.limit(3).withColumn("ingestion_timestamp", F.lit("2023-01-01 00:00:00").cast("timestamp"))
+    same = load1.limit(2).withColumn("file_path", F.concat(F.lit("again/"), F.col("file_path")))
+    more = land.unionByName(late).unionByName(same)
+    more.write.parquet(os.path.join(tmp_root, "more"))
+    more = spark.read.parquet(os.path.join(tmp_root, "more"))
+    assert update_typed_entries(spark, more, path).count() == bundle_entries(more).count()
+
+
+def test_typed_entries_repeat_a_run_that_broke_off(spark, tmp_root):
+    from pyspark.sql import DataFrameWriter
+
+    from bundlelake.operators.entries import bundle_entries
+    from bundlelake.plans import pipeline as P
+    from bundlelake.testing.fixtures import fixture_landing
+    land = fixture_landing(spark, SF, loads=(1,)).limit(50)
+    land.write.parquet(os.path.join(tmp_root, "land"))
+    land, path = spark.read.parquet(os.path.join(tmp_root, "land")), os.path.join(tmp_root, "typed")
+    real = DataFrameWriter.parquet
+
+    def crash(self, at, *a, **k):
+        if at.endswith("/_loads"):
+            raise RuntimeError("lost")
+        return real(self, at, *a, **k)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", crash)
+        with pytest.raises(RuntimeError):
+            P.update_typed_entries(spark, land, path)
+    assert P.update_typed_entries(spark, land, path).count() == bundle_entries(land).count()
+    P.compact_typed_entries(spark, path, path + "-2")
+    assert P.update_typed_entries(spark, land, path + "-2").count() == bundle_entries(land).count()
 
 
 def test_watermark_filter_is_pushed_into_the_scan(spark, tmp_root):
@@ -152,10 +218,10 @@ def test_watermark_filter_is_pushed_into_the_scan(spark, tmp_root):
     assert [r.k for r in lazy.collect()] == ["b"]
 
 
-def test_stream_typed_mode_matches_watermark_mode(spark, tmp_root):
+def test_stream_typed_mode_matches_batch_mode(spark, tmp_root):
     from bundlelake.plans import versions as VV
     raw = os.path.join(tmp_root, "raw")
-    roots = {m: os.path.join(tmp_root, m) for m in ("watermark", "stream")}
+    roots = {m: os.path.join(tmp_root, m) for m in ("batch", "stream")}
     for load, label in ((1, "r1"), (2, "r2")):
         files = bundle_files(spark, SF, load).select(F.col("file_path").alias("path"), F.col("data").alias("body"))
         write_files(files, raw).count()
@@ -163,7 +229,7 @@ def test_stream_typed_mode_matches_watermark_mode(spark, tmp_root):
             run_pipeline(spark, raw, root, label, mode="incremental", as_of_date="2024-12-31",
                          max_files=None, typed_mode=mode)
     for t in ("stg_observations", "fct_vitals"):
-        a = VV.read_version(spark, roots["watermark"], t, "r2")
+        a = VV.read_version(spark, roots["batch"], t, "r2")
         b = VV.read_version(spark, roots["stream"], t, "r2")
         cols = [c for c in a.columns if c not in ("dbt_processed_at", "dbt_updated_at", "ingested_at",
                                                    "ingestion_timestamp")]

@@ -22,7 +22,7 @@ from bundlelake.operators import quality as Q  # noqa: E402
 from bundlelake.operators import serving as S  # noqa: E402
 from bundlelake.operators.entries import bundle_entries  # noqa: E402
 from bundlelake.operators.staging import stage_typed, typed_entries  # noqa: E402
-from bundlelake.plans.build import Build  # noqa: E402
+from bundlelake.testing.build import Build  # noqa: E402
 from bundlelake.session import build_session  # noqa: E402
 from bundlelake.sources import landing as L  # noqa: E402
 
