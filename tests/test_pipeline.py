@@ -227,7 +227,7 @@ def test_stream_typed_mode_matches_batch_mode(spark, tmp_root):
         write_files(files, raw).count()
         for mode, root in roots.items():
             run_pipeline(spark, raw, root, label, mode="incremental", as_of_date="2024-12-31",
-                         max_files=None, typed_mode=mode)
+                         typed_mode=mode, dedup_allergies=True)
     for t in ("stg_observations", "fct_vitals"):
         a = VV.read_version(spark, roots["batch"], t, "r2")
         b = VV.read_version(spark, roots["stream"], t, "r2")
