@@ -14,6 +14,7 @@ null id is kept; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -23,42 +24,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlelake.llm.textnum import mix64
-from bundlelake.llm.tokencount import MEMO_CHARS, MEMO_PIECES, OTHER, PIECES, Counter
+from bundlelake.llm.tokencount import OTHER, Counter, byte_letters
 from bundlelake.session import scratch_path
 
 BUCKETS, DIMS, BITS = 4096, 3, 16
 SEED = 11
 
 
+# Fixed value: how byte-level vocabularies of this kind split a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Encoder:
-    """Token ids of the library, piece by piece: texts are split as the
-    vocabulary splits them, every new piece is encoded by the library once
-    and its ids are kept (the memo is bounded).  Texts with characters or
-    special strings the simple split does not cover go to it whole."""
+    """Token ids of a byte-level BPE file, as the ``tokenizers`` library gives
+    them.  Where its merges are in the order of the ids they make, texts go
+    through ``tiktoken`` with the same vocabulary, several times as fast;
+    texts with special strings, or with characters on which the two may
+    differ (see ``tokencount``), go to the library itself."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        self.library, self.memo = Tokenizer.from_file(vocabulary), {}
+        self.library = Tokenizer.from_file(vocabulary)
         self.special = Counter(vocabulary).special
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, as packed numbers."""
-        plain = [not OTHER.search(t or "") and not (self.special and self.special.search(t or "")) for t in texts]
-        pieces = [PIECES.findall(t or "") if p else None for t, p in zip(texts, plain)]
-        memo = self.memo
-        new = list({x for p in pieces if p for x in p if x not in memo})
-        own = dict(zip(new, self._ids(new)))
-        whole = iter(self._ids([t for t, p in zip(texts, plain) if not p]))
-        get = lambda x: memo[x] if x in memo else own[x]
-        out = [b"".join(map(get, p)) if p is not None else next(whole) for p in pieces]
-        if len(memo) + len(own) > MEMO_PIECES:
-            memo.clear()
-        memo.update((x, i) for x, i in own.items() if len(x) <= MEMO_CHARS)
+        self.fast = self._same_vocabulary(vocabulary)
+
+    @staticmethod
+    def _same_vocabulary(vocabulary: str):
+        import tiktoken
+
+        with open(vocabulary, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {t["content"] for t in spec["added_tokens"]}
+        ids = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
+        made = [ids.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
+        if spec["pre_tokenizer"].get("add_prefix_space") or None in made or made != sorted(made):
+            return None
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        ranks = {bytes(byte[c] for c in t): i for t, i in ids.items()}
+        return tiktoken.Encoding("same", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        rest = []
+        for i, t in enumerate(texts):
+            if self.fast is None or OTHER.search(t) or (self.special and self.special.search(t)):
+                rest.append(i)
+            else:
+                out[i] = self.fast.encode_to_numpy(t, disallowed_special=()).astype(self.dtype)
+        for i, e in zip(rest, self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, self.dtype)
         return out
 
 
@@ -68,6 +84,11 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
+@lru_cache(maxsize=1)
+def _directions() -> np.ndarray:
+    return np.random.default_rng(SEED).normal(size=(BUCKETS, DIMS))
+
+
 def project(ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """(n, DIMS): the unit hashed vectors of each text's distinct tokens,
     projected on random directions."""
@@ -78,7 +99,7 @@ def project(ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     value = np.bincount(at, weights=sign, minlength=cells.size)
     who, cell = cells // BUCKETS, cells % BUCKETS
     length = np.sqrt(np.maximum(np.bincount(who, weights=value * value, minlength=n), 1))
-    lines = np.random.default_rng(SEED).normal(size=(BUCKETS, DIMS))
+    lines = _directions()
     return np.column_stack([np.bincount(who, weights=value * lines[cell, d], minlength=n) for d in range(DIMS)]) / length[:, None]
 
 
@@ -113,17 +134,16 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 def _encode(vocabulary: str, end_id: int, rows_at_once: int = 256):
     def run(batches):
         encode, tie = encoder(vocabulary), TaskContext.get().partitionId() << 40
-        end = np.array([end_id], encode.dtype).tobytes()
+        end = encode.dtype(end_id)
         for b in batches:
             for s in range(0, b.num_rows, rows_at_once):
                 part = b.slice(s, rows_at_once)
-                data = [x + end for x in encode(part.column(1).to_pylist())]
-                size = np.array([len(x) for x in data]) // encode.dtype().itemsize
-                n = len(data)
-                point = project(np.frombuffer(b"".join(data), encode.dtype), np.repeat(np.arange(n), size), n)
+                ids = [np.append(x, end) for x in encode(part.column(1).to_pylist())]
+                size, n = np.array([x.size for x in ids]), len(ids)
+                point = project(np.concatenate(ids), np.repeat(np.arange(n), size), n)
                 grid = np.clip((0.5 + 0.5 * np.tanh(point / 4)) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(data, pa.binary()), pa.array(size), pa.array(hilbert(grid)), pa.array(tie + np.arange(n))],
+                    [part.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(size), pa.array(hilbert(grid)), pa.array(tie + np.arange(n))],
                     names=["doc_id", "ids", "n", "curve", "tie"])
                 tie += n
     return run
@@ -133,11 +153,10 @@ def _lay(batches):
     """Rows of a partition, in their order: its number and where each starts."""
     part, start = TaskContext.get().partitionId(), 0
     for b in batches:
-        size = b.column(2).to_numpy()
+        size = b.column(1).to_numpy()
         end = start + np.cumsum(size)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), b.column(3), pa.array(np.full(b.num_rows, part)), pa.array(end - size)],
-            names=["doc_id", "ids", "n", "curve", "part", "start"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.full(b.num_rows, part)), pa.array(end - size)],
+                                         names=["tie", "n", "part", "start"])
         start = int(end[-1]) if b.num_rows else start
 
 
@@ -169,16 +188,19 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = 1,
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    rows = src.mapInArrow(_encode(vocabulary, end_id), f"doc_id {kind}, ids binary, n long, curve long, tie long")
-    line = rows.repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie").select("doc_id", "ids", "n", "curve")
+    at = scratch_path(spark, "packing-ids")
+    src.mapInArrow(_encode(vocabulary, end_id), f"doc_id {kind}, ids binary, n long, curve long, tie long").write.parquet(at)
+    rows = spark.read.parquet(at)  # encoded once; the curve is sorted without the ids
     at = scratch_path(spark, "packing-line")
-    line.mapInArrow(_lay, f"doc_id {kind}, ids binary, n long, curve long, part long, start long").write.parquet(at)
+    line = rows.select("tie", "n", "curve").repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie")
+    line.select("tie", "n").mapInArrow(_lay, "tie long, n long, part long, start long").write.parquet(at)
     line = spark.read.parquet(at)
     # one total per partition of the line
     totals = sorted((r["part"], r["n"]) for r in line.groupBy("part").agg(F.sum("n").alias("n")).collect())
     before = np.concatenate([[0], np.cumsum([n for _, n in totals])])
     base = spark.createDataFrame([(p, int(b)) for (p, _), b in zip(totals, before)], "part long, base long")
-    placed = line.join(F.broadcast(base), "part").select("doc_id", "ids", "n", "curve", (F.col("base") + F.col("start")).alias("at"))
+    starts = line.join(F.broadcast(base), "part").select("tie", (F.col("base") + F.col("start")).alias("at"))
+    placed = rows.join(starts, "tie").select("doc_id", "ids", "n", "curve", "at")
     wide = encoder(vocabulary).dtype is np.uint32
     return placed.mapInArrow(_cut(length, wide), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
                                                  "sequence_id long, offset long, curve long")
