@@ -10,6 +10,8 @@ every model then reads Parquet with partition and column pruning.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from bundlelake.operators import marts as M
@@ -30,7 +32,7 @@ class Build:
         self.as_of_date = as_of_date
         self.on_malformed = on_malformed
         self.typed = typed if typed is not None else typed_entries(model_types(bundle_entries(landing, on_malformed)), on_malformed)
-        self._layers_key: tuple = (id(self),)
+        self._layers_key: tuple = (uuid.uuid4().hex,)
         self._staging: dict[str, DataFrame] = {}
         self._marts: dict[str, DataFrame] = {}
 
