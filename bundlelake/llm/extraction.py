@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlelake.llm.dom import BLOCK, HIDDEN, Tree, attributes, parse
+from bundlelake.llm.labelled import first_by_hash
 
 SAMPLE = 200           # labelled pages: the first by a hash of the id
 VARIANTS = 3           # pages built from each of them
@@ -266,8 +267,10 @@ def build_page(paragraphs: list[str], rng: np.random.Generator) -> str:
 def labelled_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
     """(id, html) with ``data-label`` marks: the sampled pages that mark
     their own article, as they are, and pages built from their paragraphs."""
-    few = (pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html"))
-           .where(F.col("html").isNotNull()).orderBy(F.xxhash64("id", "html"), "id").limit(sample))
+    all_pages = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).where(F.col("html").isNotNull())
+    all_pages = all_pages.withColumn("h", F.xxhash64("id", "html"))
+    chosen = first_by_hash(all_pages.select("h").distinct(), F.col("h"), sample)  # ``sample`` numbers
+    few = all_pages.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("id").alias("id"), F.first("html").alias("html")).drop("h")
 
     def run(batches):
         for b in batches:

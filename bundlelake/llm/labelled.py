@@ -15,13 +15,22 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % HOLD_OUT == 0, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, hashed: Column, n: int) -> DataFrame:
+    """The ``n`` rows of the smallest hashes.  A share of the hash range that
+    holds half as many again (and 1000) is taken first, so the final ordering
+    sees a bounded number of rows from any number of partitions."""
+    share = min(1.0, (1.5 * n + 1000) / max(1, rows.count()))
+    within = F.lit(True) if share >= 1 else hashed < F.lit(int(-(1 << 63) + share * (1 << 64)))
+    return rows.where(within).orderBy(hashed, *rows.columns).limit(n)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, text, label) of at most ``max_labelled`` documents outside
     the held-out fold.  A document with several label rows has their maximum;
     a repeated document counts once.  The label side of the join is bounded
     by ``max_labelled`` rows of two numbers, so it is broadcast."""
-    few = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
-           .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
+             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+    few = first_by_hash(known, F.xxhash64("doc_id"), max_labelled)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
