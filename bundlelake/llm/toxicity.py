@@ -29,7 +29,8 @@ from bundlelake.session import scratch_path
 
 BITS = 18                    # hashed features
 BEGINNINGS = (3, 4, 5, 6)    # bytes of a word's beginning that are features too
-MIN_POSITIVE, MIN_LIFT = 3, 4.0   # screening: documents of label 1, times as common there
+# screening of features: documents of label 1, their share, times as common there
+MIN_POSITIVE, MIN_SHARE, MIN_LIFT = 3, 0.02, 4.0
 STEPS, RATE, SHRINK = 400, 0.3, 2e-4
 
 _WORD = np.zeros(256, bool)
@@ -140,7 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     most 2**BITS rows) and, per sampled document, its kept features."""
     spark = docs.sparkSession
     at = scratch_path(spark, "toxicity-sample")
-    training_sample(docs, labels, label).write.parquet(at)
+    # copies of one text are one bag, with the label of most of them
+    sample = training_sample(docs, labels, label).groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.avg("label").alias("label"))
+    sample.select("doc_id", "text", (F.col("label") >= 0.5).cast("int").alias("label")).write.parquet(at)
     rows = spark.read.parquet(at)
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     pos, neg = n.get(1, 0), n.get(0, 0)
@@ -150,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         return Model(prior, flat)
     counts = (rows.mapInArrow(_counts, "feature long, neg long, pos long").groupBy("feature")
               .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-              .where((F.col("pos") >= MIN_POSITIVE) & (F.col("pos") / pos > MIN_LIFT * (F.col("neg") + 1) / neg)))
+              .where((F.col("pos") >= max(MIN_POSITIVE, MIN_SHARE * pos)) & (F.col("pos") / pos > MIN_LIFT * (F.col("neg") + 1) / neg)))
     keep = np.sort(np.array([r["feature"] for r in counts.select("feature").collect()], np.int64))
     if not keep.size:
         return Model(prior, flat)
