@@ -8,10 +8,8 @@ usage: python tools/explain_plans.py [sf_dir] [out.md]
 from __future__ import annotations
 
 import io
-import os
 import re
 import sys
-import tempfile
 from contextlib import redirect_stdout
 
 sys.path.insert(0, ".")
@@ -21,10 +19,13 @@ from bundlelake.operators import marts as M  # noqa: E402,F401
 from bundlelake.operators import quality as Q  # noqa: E402
 from bundlelake.operators import serving as S  # noqa: E402
 from bundlelake.operators.entries import bundle_entries  # noqa: E402
-from bundlelake.operators.staging import stage_typed, typed_entries  # noqa: E402
+from bundlelake.operators.staging import model_types, stage_typed, typed_entries  # noqa: E402
 from bundlelake.testing.build import Build  # noqa: E402
-from bundlelake.session import build_session  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from bundlelake.session import build_session, scratch_path  # noqa: E402
 from bundlelake.sources import landing as L  # noqa: E402
+from bundlelake.testing.files import write_files  # noqa: E402
 
 KEEP = re.compile(r"^(\(\d+\) \S.*|Arguments: (posexplode|explode).*|PartitionFilters:.*|PushedFilters:.*|ReadSchema:.*|Join type:.*|Left keys:.*|"
                   r"Right keys:.*|Keys:.*|Functions:.*|Arguments: .*(WindowGroupLimit|hashpartitioning|SinglePartition|"
@@ -48,27 +49,27 @@ def main():
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     b = Build.from_tables(spark, sf_dir)
-    raw = tempfile.mkdtemp(prefix="plans-raw-")
-    os.makedirs(os.path.join(raw, "d"), exist_ok=True)
-    with open(os.path.join(raw, "d", "a.json"), "w") as f:
-        f.write("{}")
-    landing = b.landing
+    raw = scratch_path(spark, "plans-raw")
+    write_files(spark.createDataFrame([("d/a.json", "{}")], "path string, body string"), raw).count()
+    landing, layers = b.landing, b.layers()
     plans = {
-        "Ingestion, step 1: choose the cap's paths from metadata (no file bodies read)": L.pending(
-            L.size_guard(L.json_keys(L.relative_paths(L.list_raw_files(spark, raw), raw))), landing)
+        "Ingestion with a cap, step 1: choose the paths from metadata (no file bodies read)": L.pending(
+            L.size_guard(L.json_keys(L.relative_paths(L.list_raw_files(spark, raw), raw)), L.MAX_FILE_BYTES), landing)
             .select("path", "source_path").orderBy("path").limit(100),
-        "Ingestion, step 2: read bodies of the chosen paths only (path filter pushed into the file scan)": L.decode(
-            L.size_guard(L.json_keys(L.relative_paths(L.list_raw_files(spark, raw), raw)))
-            .where(L.F.col("source_path").isin(["file:/x/d/a.json", "file:/x/d/b.json"]))),
+        "Ingestion with a cap, step 2: open the chosen files only": L.decode(L.batch_cap(
+            L.json_keys(L.relative_paths(L.list_raw_files(spark, raw), raw)), 100)),
         "typed entries: parse once, walk each path once (Project -> Generate -> Project)":
-            typed_entries(bundle_entries(landing)),
+            typed_entries(model_types(bundle_entries(landing))),
         "stg_observations: typed entries -> latest copy per id": stage_typed(b.typed, "stg_observations"),
         "fct_vitals: fact LEFT JOIN patients": b.mart("fct_vitals"),
         "dim_patients: encounter aggregate then join": b.mart("dim_patients"),
         "top_conditions: top-k": S.top_conditions(b.mart("fct_conditions")),
-        "audit of stg_encounters (unique + not_null share one shuffle)": Q.audit({"stg_encounters": b.stg("stg_encounters")}),
-        "incremental parse: only landing rows newer than the typed table (literal watermark pushed into the scan)":
-            INC.incremental_filter(landing, b.typed.where("resource_type = 'Patient'"), "ingestion_timestamp"),
+        "audit of stg_encounters (unique + not_null share one shuffle)": Q.audit(
+            {"stg_encounters": b.stg("stg_encounters")}, [c for c in Q.STAGING_CHECKS if c.model == "stg_encounters"]),
+        "incremental parse: only the loads that the typed table lacks (literals pushed into the scan)":
+            landing.where(F.col("ingestion_timestamp").isin([F.lit("2024-03-01 00:00:00").cast("timestamp")])),
+        "upsert: the target passes an anti-join with the new keys; only keys that come again are ranked":
+            INC.upsert(layers["fct_vitals"], layers["fct_vitals"].where("ingested_at > '2024-02-15'"), "observation_id"),
         "relationships check fct_vitals -> dim_patients": Q.relationships(b.mart("fct_vitals"), "patient_id",
                                                                           b.mart("dim_patients"), "patient_id"),
     }
