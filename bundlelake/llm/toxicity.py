@@ -29,8 +29,9 @@ from bundlelake.session import scratch_path
 
 BITS = 18                    # hashed features
 BEGINNINGS = (3, 4, 5, 6)    # bytes of a word's beginning that are features too
-# screening of features: documents of label 1, their share, times as common there
-MIN_POSITIVE, MIN_SHARE, MIN_LIFT = 3, 0.02, 4.0
+# screening of features: documents of label 1, times as common there, and the
+# expected share of chance ones among those kept
+MIN_POSITIVE, MIN_LIFT, FALSE_SHARE = 3, 4.0, 0.2
 STEPS, RATE, SHRINK = 400, 0.3, 2e-4
 
 _WORD = np.zeros(256, bool)
@@ -135,6 +136,20 @@ def fit_bags(bags: pd.DataFrame, n_features: int) -> tuple[float, np.ndarray]:
     return bias, w
 
 
+def screened(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Which features, by their documents of each label, are far more common
+    under label 1, by more than chance: Benjamini and Hochberg's rule over
+    Chernoff's bound on the binomial tail, so what a feature needs does not
+    grow with the number of labels."""
+    both, share = np.maximum(pos + neg, 1), n_pos / (n_pos + n_neg)
+    term = lambda k, of: k * np.log(np.maximum(k, 1) / (both * of))
+    chance = np.where(pos > share * both, np.exp(-term(pos, share) - term(neg, 1 - share)), 1.0)
+    ranked = np.sort(chance[pos + neg >= MIN_POSITIVE])
+    low = np.flatnonzero(ranked <= FALSE_SHARE * np.arange(1, ranked.size + 1) / max(1, ranked.size))
+    most = ranked[low[-1]] if low.size else -1.0
+    return (pos >= MIN_POSITIVE) & (pos / n_pos > MIN_LIFT * (neg + 1) / n_neg) & (chance <= most)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Fit on the bounded sample of :func:`training_sample`.  Counting and
     feature extraction run in tasks; the driver gets the feature counts (at
@@ -152,9 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     if not pos or not neg:
         return Model(prior, flat)
     counts = (rows.mapInArrow(_counts, "feature long, neg long, pos long").groupBy("feature")
-              .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-              .where((F.col("pos") >= max(MIN_POSITIVE, MIN_SHARE * pos)) & (F.col("pos") / pos > MIN_LIFT * (F.col("neg") + 1) / neg)))
-    keep = np.sort(np.array([r["feature"] for r in counts.select("feature").collect()], np.int64))
+              .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas())
+    keep = np.sort(counts["feature"].to_numpy()[screened(counts["pos"].to_numpy(), counts["neg"].to_numpy(), pos, neg)])
     if not keep.size:
         return Model(prior, flat)
     bags = rows.mapInArrow(_bags(keep), "label int, total long, sent array<int>, feat array<int>").toPandas()

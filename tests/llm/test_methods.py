@@ -313,6 +313,21 @@ def test_held_out_accuracy(spark, name, label, least):
     assert got.score.between(0, 1).all() and (got.predicted == (got.score >= (0.5 if label == "toxic" else 0.3))).all()
 
 
+def test_rare_toxic_words_are_learnt(spark):
+    """200 toxic words, each in some ten of the 2000 toxic documents."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + x) for x in rng.integers(0, 26, 8))
+    plain, bad = [word() for _ in range(2000)], [word() for _ in range(200)]
+    rows = []
+    for i in range(12_000):
+        words, toxic = [plain[x] for x in rng.integers(0, 2000, 12)], int(i % 6 == 0)
+        rows.append((i, ". ".join(" ".join(words[k:k + 4]) for k in (0, 4, 8)) + (f" {bad[i // 6 % 200]}" if toxic else ""), toxic))
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "text", "toxic"])).repartition(4)
+    got = toxicity.score(df, toxicity.fit(df, df)).toPandas().merge(pd.DataFrame(rows, columns=["doc_id", "text", "toxic"]), on="doc_id")
+    test = got[got.held_out]
+    assert test[test.toxic == 1].predicted.mean() > 0.97 and test[test.toxic == 0].predicted.mean() < 0.01
+
+
 def test_offending_sentences_are_found(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
