@@ -1,13 +1,15 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences; it is toxic if at least one of them is.
-A sentence's probability is a logistic function of its hashed words and word
-beginnings, a document's is the noisy-or of its sentences, and the weights
-are fitted to the document labels by maximum likelihood.  The same weights
-then point to the offending sentences.
+A sentence's probability, as a text on its own, is a logistic function of its
+hashed words and word beginnings.  A document's is the noisy-or of one prior
+(the bias) and of what each sentence's features add to it, so sentences
+without any add nothing, however many; the weights, none below zero, are
+fitted to the document labels by maximum likelihood.  The same weights then
+point to the offending sentences.
 
 Defined cases: a null, empty or wordless text is one empty sentence, so its
-score is the bias's; repeated rows are scored alike, each on its own; texts
+score is the bias's, as is that of any text without a feature; repeated rows are scored alike, each on its own; texts
 are read whole; with no labelled rows, or labels of one kind only, every
 score is the (smoothed) share of label 1; extra columns are not read.
 """
@@ -86,7 +88,6 @@ def _bags(keep: np.ndarray):
             for first, raw, offsets in text_chunks(b.column(1)):
                 (_, _, owner), (feats, of) = sentences(raw, offsets)
                 n = offsets.size - 1
-                total = np.maximum(np.bincount(owner, minlength=n), 1)
                 column = np.searchsorted(keep, feats)
                 hit = (feats >= 0) & (keep[np.minimum(column, keep.size - 1)] == feats)
                 pairs = np.unique(((of[:, None] * keep.size) + column)[hit])
@@ -95,8 +96,8 @@ def _bags(keep: np.ndarray):
                 cut = np.searchsorted(doc, np.arange(n + 1))
                 lists = lambda v: pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(v.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(2).slice(first, n).cast(pa.int32()), pa.array(total.astype(np.int64)), lists(sent), lists(feat)],
-                    names=["label", "total", "sent", "feat"])
+                    [b.column(2).slice(first, n).cast(pa.int32()), lists(sent), lists(feat)],
+                    names=["label", "sent", "feat"])
     return run
 
 
@@ -113,25 +114,25 @@ def fit_bags(bags: pd.DataFrame, n_features: int) -> tuple[float, np.ndarray]:
     feat = np.concatenate([*bags["feat"], np.zeros(0, int)]).astype(np.int64)
     key, at = np.unique((doc << 32) | sent, return_inverse=True)
     s_doc = key >> 32
-    plain = bags["total"].to_numpy() - np.bincount(s_doc, minlength=len(y))  # sentences without a kept feature
+    found = np.bincount(s_doc, minlength=len(y))  # sentences with a kept feature
     share = (y.sum() + 0.5) / (len(y) + 1.0)
-    bias = float(np.log(share / max(1.0, bags["total"].mean())) - 2)
+    bias = float(np.log(share) - 2)
     w = np.zeros(n_features)
     gw, gb = np.full(n_features, 1e-8), 1e-8
     n = len(y)
     for _ in range(STEPS):
         z = bias + np.bincount(at, weights=w[feat], minlength=key.size)
-        total = np.bincount(s_doc, weights=_softplus(z), minlength=n) + plain * _softplus(bias)
+        total = _softplus(bias) + np.bincount(s_doc, weights=_softplus(z) - _softplus(bias), minlength=n)
         # d loss / d total: 1 for label 0, -1 / (e^total - 1) for label 1
         d = np.where(y == 1, -1.0 / np.expm1(np.clip(total, 1e-9, 50)), 1.0) / n
         slope = d[s_doc] / (1 + np.exp(-z))
         g = np.bincount(feat, weights=slope[at], minlength=n_features)
-        b = slope.sum() + (d * plain).sum() / (1 + np.exp(-bias))
+        b = slope.sum() + (d * (1 - found)).sum() / (1 + np.exp(-bias))
         gw += g * g
         gb += b * b
         step = RATE / np.sqrt(gw)
         w = w - step * g
-        w = np.sign(w) * np.maximum(np.abs(w) - step * SHRINK / n ** 0.5, 0)
+        w = np.maximum(w - step * SHRINK / n ** 0.5, 0)
         bias -= RATE / np.sqrt(gb) * b
     return bias, w
 
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     keep = np.sort(counts["feature"].to_numpy()[screened(counts["pos"].to_numpy(), counts["neg"].to_numpy(), pos, neg)])
     if not keep.size:
         return Model(prior, flat)
-    bags = rows.mapInArrow(_bags(keep), "label int, total long, sent array<int>, feat array<int>").toPandas()
+    bags = rows.mapInArrow(_bags(keep), "label int, sent array<int>, feat array<int>").toPandas()
     bias, w = fit_bags(bags, keep.size)
     flat[keep] = w
     return Model(bias, flat)
@@ -190,8 +191,8 @@ def score_chunk(model: Model, raw: np.ndarray, offsets: np.ndarray):
         sent, value = np.repeat(of, feats.shape[1])[some], feats.ravel()[some]
         _, first = np.unique((sent << BITS) | value, return_index=True)
         z += np.bincount(sent[first], weights=gain.ravel()[some][first], minlength=s.size)
-    total = np.bincount(owner, weights=_softplus(z), minlength=n)
-    total[np.bincount(owner, minlength=n) == 0] = _softplus(model.bias)
+    more = np.where(z > model.bias, _softplus(z) - _softplus(model.bias), 0.0)  # nothing where no feature is found
+    total = _softplus(model.bias) + np.bincount(owner, weights=more, minlength=n)
     p = 1 / (1 + np.exp(-z))
     order = np.lexsort((np.arange(s.size), -z, owner))
     lead = order[np.searchsorted(owner[order], np.arange(n))] if s.size else np.zeros(n, np.int64)

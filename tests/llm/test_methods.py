@@ -328,6 +328,19 @@ def test_rare_toxic_words_are_learnt(spark):
     assert test[test.toxic == 1].predicted.mean() > 0.97 and test[test.toxic == 0].predicted.mean() < 0.01
 
 
+def test_length_alone_is_not_toxic(spark):
+    """A clean text of some 4 MB scores as a short one; one toxic sentence shows in it."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    sentence = "Zzzq xkwv. "
+    worst = toxicity.score(docs, model).orderBy(F.desc("worst_score")).first()["worst_sentence"]
+    rows = [(1, sentence), (2, sentence * 400_000), (3, sentence * 200_000 + worst + ". " + sentence * 200_000)]
+    got = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).toPandas().set_index("doc_id")
+    assert got.score[1] == got.score[2] < 0.5 and got.predicted.to_dict() == {1: 0, 2: 0, 3: 1}
+    assert toxicity.keep(spark.createDataFrame(rows, "doc_id long, text string"), model).count() == 2
+
+
 def test_offending_sentences_are_found(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
