@@ -1,8 +1,8 @@
 """Quality rules by repetition coverage.
 
 Rolling hashes of the words and of windows of several lengths are computed
-in numpy for a whole Arrow batch; a window is duplicated if its hash occurs
-twice or more in the text, and the measure is the share of word characters
+in numpy for a whole Arrow batch; a window is duplicated if its 64-bit hash
+occurs twice or more in the text, and the measure is the share of word characters
 inside duplicated windows and lines.  No shuffle.
 
 Defined cases: a null, empty or blank text has no words (all figures 0,
@@ -33,14 +33,35 @@ def _per_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=n).astype(np.int64)
 
 
-def _repeated(keys: np.ndarray) -> np.ndarray:
-    """Which keys occur twice or more."""
+def _grouped(owner: np.ndarray, hashes: np.ndarray):
+    """The items whose (owner, hash) may occur twice or more, equal ones side
+    by side in their order, and which equal the one before.  The short keys
+    of one plain sort only find candidates; whole hashes decide."""
+    keys = keyed(owner, hashes)
     order = np.argsort(keys)
-    ranked = keys[order]
-    same = ranked[1:] == ranked[:-1]
-    hit = np.zeros(keys.size, bool)
-    hit[order[1:][same]] = True
-    hit[order[:-1][same]] = True
+    met = keys[order][1:] == keys[order][:-1]
+    near = np.zeros(keys.size, bool)
+    near[order[1:][met]] = True
+    near[order[:-1][met]] = True
+    at = np.flatnonzero(near)
+    at = at[np.lexsort((hashes[at], owner[at]))]
+    return at, (owner[at][1:] == owner[at][:-1]) & (hashes[at][1:] == hashes[at][:-1])
+
+
+def _repeated(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which items occur twice or more in their text."""
+    at, same = _grouped(owner, hashes)
+    hit = np.zeros(hashes.size, bool)
+    hit[at[1:][same]] = True
+    hit[at[:-1][same]] = True
+    return hit
+
+
+def _later(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which items their text has had before."""
+    at, same = _grouped(owner, hashes)
+    hit = np.zeros(hashes.size, bool)
+    hit[at[1:][same]] = True
     return hit
 
 
@@ -49,7 +70,7 @@ def _covered(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     h, first = windows(hashes, owner, n)
     delta = np.zeros(hashes.size + 1, np.int64)
     if first.size:
-        starts = first[_repeated(keyed(owner[first], h))]
+        starts = first[_repeated(owner[first], h)]
         delta[starts] += 1
         np.subtract.at(delta, starts + n, 1)
     return np.cumsum(delta[:-1]) > 0
@@ -77,9 +98,7 @@ def measure(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     ls, le, lo = ls[full], le[full], lo[full]
     up_to = np.concatenate([[0], np.cumsum(chars)])
     line_chars = up_to[word_at[1][full]] - up_to[word_at[0][full]]
-    keys = keyed(lo, rolling.of(ls, le))
-    later = np.ones(keys.size, bool)
-    later[np.unique(keys, return_index=True)[1]] = False
+    later = _later(lo, rolling.of(ls, le))
     out |= {"n_dup_lines": _per_text(later, lo, n), "n_lines": np.bincount(lo, minlength=n).astype(np.int64),
             "dup_line_chars": _per_text(line_chars * later, lo, n)}
     return out

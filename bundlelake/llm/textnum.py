@@ -102,8 +102,10 @@ def windows(hashes: np.ndarray, owner: np.ndarray, n: int):
 
 
 def keyed(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """40 hash bits below 24 bits of the text's index in its chunk: equal
-    only for equal items of one text, and one plain sort groups them."""
+    """40 hash bits below 24 bits of the text's index in its chunk: equal for
+    equal items of one text, and one plain sort groups them.  Of some hundred
+    thousand different items of a text, two may meet by chance; where counts
+    must be exact, compare the whole hashes."""
     return (owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
 
 

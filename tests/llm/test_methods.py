@@ -14,7 +14,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, extraction, knn, mixing, neardup, packing, probminhash, queries, tokencount, toxicity
+from bundlelake.llm import chat, extraction, knn, mixing, neardup, packing, probminhash, queries, repetition, textnum, tokencount, toxicity
 from bundlelake.llm.components import components
 from bundlelake.llm.dom import parse
 from bundlelake.llm.textnum import text_chunks
@@ -255,6 +255,35 @@ def test_hilbert_curve_visits_neighbours():
         assert (np.abs(np.diff(grid[np.argsort(key)], axis=0)).sum(axis=1) == 1).all()
 
 
+# --- 5 ---
+
+def test_short_keys_that_meet_are_not_repeats():
+    """Lines and windows whose 64-bit hashes differ but whose 40-bit keys are equal."""
+    def pair(hashes):
+        short = hashes >> np.uint64(24)
+        order = np.argsort(short, kind="stable")
+        i = np.flatnonzero(short[order][1:] == short[order][:-1])[0]
+        a, b = order[i], order[i + 1]
+        assert hashes[a] != hashes[b]
+        return sorted((int(a), int(b)))
+
+    n, wide = 4_000_000, 12
+    letters = np.random.default_rng(5).integers(97, 123, (n, wide), dtype=np.uint8)
+    letters[:, -1] = 32
+    raw = letters.ravel()
+    starts = np.arange(n) * wide
+    word = lambda i: letters[i, :-1].tobytes().decode()
+    hashes = textnum.Rolling(raw).of(starts, starts + wide - 1)
+    (a, b), owner = pair(hashes), np.zeros(n, np.int64)
+    (c, d) = pair(textnum.windows(hashes, owner, 3)[0])
+    same = "one same line"
+    for text, repeats, lines in ((f"{word(a)}\n{word(b)}", 0, 0), (" ".join(map(word, (c, c + 1, c + 2, d, d + 1, d + 2))), 0, 0),
+                                 (f"{same}\n{word(a)}\n{same}\n{word(b)}\n{same}", 9, 2)):
+        (_, chunk, offsets), = text_chunks(pa.array([text]))
+        f = repetition.measure(chunk, offsets)
+        assert (f["n_repeat_words"][0], f["n_dup_lines"][0]) == (repeats, lines)
+
+
 # --- 6 ---
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>
