@@ -12,9 +12,10 @@ space; blocks are joined by two line feeds in page order.
 
 Defined cases: a null, empty or tagless page is parsed like any other (bare
 text is judged as a text node); repeated rows are extracted each on its own;
-pages are read whole; if no sample page marks its article, only the built
-pages' chrome is learnt and an empty table gives no rows; other columns are
-carried by ``extract`` only if asked for.
+pages are read whole; the sample is drawn from the pages that mark their
+article, and where these are too few, pages built around other pages' texts
+make up for them; an empty table gives no rows; other columns are carried by
+``extract`` only if asked for.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from bundlelake.llm.dom import BLOCK, HIDDEN, Tree, attributes, parse
 from bundlelake.llm.labelled import first_by_hash
+from bundlelake.session import scratch_path
 
 SAMPLE = 200           # labelled pages: the first by a hash of the id
 VARIANTS = 3           # pages built from each of them
@@ -179,6 +181,7 @@ def train(trees: list[Tree]) -> Model:
 
 # --- labelled pages -------------------------------------------------------------------------
 
+CHROME_TAGS = {"nav", "menu", "header", "footer", "aside", "dialog", "form", "a", "button"}
 _CONTENT = ['<article{}>', '<main{}>', '<div class="content"{}>', '<div id="main-content"{}>', '<section class="post entry"{}>', '<div{}>',
             '<div class="story-body" itemprop="articleBody"{}>', '<td{}>', '<div class="wrap"{}>']
 _CHROME = {
@@ -215,6 +218,19 @@ def article_paragraphs(page: str) -> list[str]:
     return blocks(tree, inside)
 
 
+def other_paragraphs(page: str) -> list[str]:
+    """Block texts of a page outside elements named as chrome, without the
+    short ones if there are others; of the whole page if there are none."""
+    tree = parse(page)
+    seen, plain = np.ones(len(tree.tag), bool), np.ones(len(tree.tag), bool)
+    for i, tag in enumerate(tree.tag):
+        p = tree.parent[i]
+        seen[i] = tag not in HIDDEN and (p < 0 or seen[p])
+        plain[i] = seen[i] and tag not in CHROME_TAGS and (p < 0 or plain[p])
+    texts = blocks(tree, plain) or blocks(tree, seen)
+    return [t for t in texts if len(t) >= 25] or texts
+
+
 def build_page(paragraphs: list[str], rng: np.random.Generator) -> str:
     """A labelled page around real paragraphs, with chrome of other kinds."""
     esc = html.escape
@@ -264,27 +280,50 @@ def build_page(paragraphs: list[str], rng: np.random.Generator) -> str:
     return f"<html><head><title>{some(3)}</title></head><body>{''.join(before)}{main}{''.join(after)}</body></html>"
 
 
-def labelled_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """(id, html) with ``data-label`` marks: the sampled pages that mark
-    their own article, as they are, and pages built from their paragraphs."""
-    all_pages = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).where(F.col("html").isNotNull())
-    all_pages = all_pages.withColumn("h", F.xxhash64("id", "html"))
-    chosen = first_by_hash(all_pages.select("h").distinct(), F.col("h"), sample)  # ``sample`` numbers
-    few = all_pages.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("id").alias("id"), F.first("html").alias("html")).drop("h")
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for i, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                paragraphs = article_paragraphs(page)
-                if not paragraphs:
-                    continue
-                out.append((i, re.sub(r"<(article|main)\b", rf'<\1 {LABEL}="1"', page, count=1)))
+def _kinds(batches):
+    """(h, kind): 2 for a page that marks an article with text, 1 for another
+    page with text, 0 for the rest."""
+    for b in batches:
+        pages = b.column(1).to_pylist()
+        kinds = [2 if article_paragraphs(p) else int(bool(other_paragraphs(p))) for p in pages]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kinds, pa.int32())], names=["h", "kind"])
+
+
+def _labelled(batches):
+    for b in batches:
+        out = []
+        for i, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            paragraphs = article_paragraphs(page)
+            if paragraphs:
+                out.append((i, re.sub(r"<(article|main)\b", rf'<\1 {LABEL}="1"', page, count=1, flags=re.IGNORECASE)))
+            else:
+                paragraphs = other_paragraphs(page)
+            if paragraphs:
                 rng = np.random.default_rng([(i or 0) & 0x7FFFFFFF, 5])
                 out += [(i, build_page(paragraphs, rng)) for _ in range(VARIANTS)]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([p for _, p in out], pa.string())], names=["id", "html"])
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([p for _, p in out], pa.string())], names=["id", "html"])
+
 
-    return few.mapInArrow(run, "id long, html string")
+def labelled_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
+    """(id, html) with ``data-label`` marks: ``sample`` of the pages that mark
+    their own article, as they are, and pages built from their paragraphs.
+    Where fewer mark one, pages built around the texts of others fill up.
+    All pages are parsed for that only if the first ``sample`` by hash do not
+    all mark an article."""
+    all_pages = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).where(F.col("html").isNotNull())
+    all_pages = all_pages.withColumn("h", F.xxhash64("id", "html"))
+    take = lambda h: (all_pages.join(F.broadcast(h), "h").groupBy("h").agg(F.first("id").alias("id"), F.first("html").alias("html")))
+    first = take(first_by_hash(all_pages.select("h").distinct(), F.col("h"), sample))  # ``sample`` numbers
+    kinds = [r["kind"] for r in first.select("h", "html").mapInArrow(_kinds, "h long, kind int").select("kind").collect()]
+    if any(k != 2 for k in kinds):
+        at = scratch_path(pages.sparkSession, "extraction-kinds")
+        all_pages.select("h", "html").mapInArrow(_kinds, "h long, kind int").where("kind > 0").write.parquet(at)
+        every = pages.sparkSession.read.parquet(at).distinct()
+        marked = [r["h"] for r in first_by_hash(every.where("kind = 2").select("h"), F.col("h"), sample).collect()]
+        rest = [r["h"] for r in first_by_hash(every.where("kind = 1").select("h"), F.col("h"), sample - len(marked)).collect()] \
+            if len(marked) < sample else []
+        first = take(pages.sparkSession.createDataFrame([(h,) for h in marked + rest], "h long"))
+    return first.select("id", "html").mapInArrow(_labelled, "id long, html string")
 
 
 def fit(labelled: DataFrame) -> Model:

@@ -315,6 +315,29 @@ def test_extraction_of_other_layouts(page_model, tag):
     assert extraction.extract_texts(page_model, [PAGE.format(open=tag, close=close)]) == [TEXT]
 
 
+@pytest.mark.parametrize("marked", [0, 2])
+def test_extraction_where_few_pages_mark_an_article(spark, marked):
+    """One page in a thousand marks its article, or none; the first by hash do not."""
+    words = [w for t in read("documents").text.head(20) for w in t.split()]
+    rng = np.random.default_rng(6)
+    some = lambda n: " ".join(words[x] for x in rng.integers(0, len(words), n))
+    rows, want = [], []
+    for i in range(2000):
+        tag = "article" if i < marked else "div"
+        text = [f"{some(40)}." for _ in range(3)]
+        want.append("\n\n".join(text))
+        rows.append((i, f'<html><body><nav><ul><li><a href="/a">{some(2)}</a></li><li><a href="/b">{some(2)}</a></li></ul></nav><div class="ad">{some(4)}.</div>'
+                        f'<{tag} class="content">' + "".join(f"<p>{t}</p>" for t in text) + f"</{tag}><footer>&copy; {some(3)}.</footer></body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(4)
+    labelled = extraction.labelled_pages(pages, sample=60)
+    own = {f'<article {extraction.LABEL}="1" class="content">' in r["html"] for r in labelled.collect()}
+    assert own == ({True, False} if marked else {False})
+    model = extraction.fit(labelled)
+    assert np.abs(model.weights).max() > 0
+    got = extraction.extract_texts(model, [h for _, h in rows[:200]])
+    assert np.mean([a == b for a, b in zip(got, want[:200])]) > 0.9
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
     tree = parse("<div><p>one<b>two</b></p><ul><li>x</ul></div>")
