@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, extraction, knn, mixing, neardup, packing, ranking, repetition, tokencount, toxicity
+from bundlelake.llm import (chat, codebooks, extraction, fim, knn, mixing, neardup, packing, ranking, repetition, tokencount, toxicity,
+                            wordbpe)
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -193,3 +194,73 @@ def op6(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     model = extraction.fit(extraction.labelled_pages(pages))
     return extraction.extract(pages, model).withColumn("n_chars", F.length("text").cast("long"))
+
+
+# --- 11: byte-level BPE by distinct words -----------------------------------------------------
+
+@query("op11_distinct_word_bpe")
+def op11(spark, sf_dir):
+    """No SQL: byte-pair merging is iterative (tested against the library)."""
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    done = wordbpe.decode(wordbpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return done.select("doc_id", "n_tokens", wordbpe.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# --- 12: vector codes -------------------------------------------------------------------------
+
+def _lloyd_sql() -> str:
+    """All rounds unrolled, over one row per vector, component and entry."""
+    parts, entries, rounds = codebooks.PARTS, codebooks.ENTRIES, codebooks.ROUNDS
+    ctes = [f"""kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND coalesce(list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding]), true)),
+x AS MATERIALIZED (SELECT r, vec_id, label, (i - 1) // (n // {parts}) AS part, (i - 1) % (n // {parts}) AS pos,
+    CAST(floor(CAST(embedding[i] AS DOUBLE) * {codebooks.SCALE}) AS BIGINT) AS v
+  FROM (SELECT *, len(embedding) AS n, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, pos, v FROM x WHERE r <= {entries})"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""d{k} AS MATERIALIZED (SELECT r, part, entry, CAST(sum((x.v - b.v) * (x.v - b.v)) AS BIGINT) AS d
+  FROM x JOIN b{k} b USING (part, pos) GROUP BY r, part, entry),
+a{k} AS MATERIALIZED (SELECT r, part, entry, d FROM d{k} QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1)""")
+        if k < rounds:
+            ctes.append(f"""s{k} AS MATERIALIZED (SELECT part, entry, pos, CAST(sum(v) AS BIGINT) AS s, count(*) AS c FROM x JOIN a{k} USING (r, part) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, pos, CASE WHEN c IS NULL THEN v ELSE (s - (((s % c) + c) % c)) // c END AS v
+  FROM b{k} LEFT JOIN s{k} USING (part, entry, pos))""")
+    ctes.append(f"""e AS (SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds})""")
+    return ("WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN e USING (r) CROSS JOIN h""")
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12(spark, sf_dir):
+    codes, books = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    return codebooks.group_error(codes).select("vec_id", "code", "error", "label_error",
+                                               F.lit(codebooks.fingerprint(books)).alias("codebooks_sha256"))
+
+
+# --- 13: fill-in-middle -------------------------------------------------------------------------
+
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+OP13_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u FROM documents),
+d AS (SELECT *, len(u) AS n, {", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))} FROM t),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+       WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark, sf_dir):
+    done = fim.transform(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
