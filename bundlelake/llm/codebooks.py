@@ -78,10 +78,11 @@ def plant(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         start, end = links[node][:2]
         rest = order[start:end].copy()
         away = np.sqrt(((points[rest] - points[rest[0]]) ** 2).sum(axis=1).astype(float))
-        wide = radius[node] = float(away.max()) * (1 + _SLACK)
+        wide = float(away.max())
+        radius[node] = wide * (1 + _SLACK)
         if rest.size <= LEAF or wide == 0:
             continue
-        scale = 2.0 ** (np.ceil(np.log2(wide)) - 1)  # of the children; the first keeps the centre
+        scale = 2.0 ** (np.ceil(np.log2(wide)) - 1)  # of the children, below the radius; the first keeps the centre
         links[node][2], at = len(links), start
         while True:
             near = away <= scale

@@ -6,9 +6,11 @@ Encoding:
    chunks; a chunk is its words, each once, and the place of each of its
    tokens among them.  So a word crosses the network once per chunk, however
    often a text repeats it, and no word is hot.
-2. The words of all chunks are exploded and shuffled by word.  Sorted within
-   their partition, equal words meet, and each distinct word is merged once;
-   its ids go back to every chunk that asked.
+2. The words of all chunks are exploded and shuffled by word: by one of
+   ``BUCKETS`` hash buckets, and a chunk's words of a bucket travel as one
+   row, as rows of a single word would be mostly overhead.  All requests for
+   a word meet, each distinct word is merged once, and its ids go back to
+   every chunk that asked.
 3. Chunks and the ids of their words are joined by chunk and put together by
    position, document by document.
 
@@ -39,15 +41,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from bundlelake.llm.packing import SPLIT
+from bundlelake.llm.textnum import Rolling
 from bundlelake.llm.tokencount import OTHER, PIECES
 
 CHUNK_CHARS = 12 << 20   # text of a chunk; one longer text is a chunk of its own
+BUCKETS = 1024           # of words; a task holds one bucket's distinct words at a time
 SLICE_CHARS = 1 << 18    # of a long text cut into words at a time
 CHUNK_IDS = 1 << 20      # tokens decoded together
 
@@ -155,23 +160,41 @@ class _Slots(dict):
         return n
 
 
+def _zip(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _pack(values) -> bytes:
+    """Unsigned numbers in as few bytes as the largest needs, first bytes
+    before second ones, compressed."""
+    values = np.asarray(values, np.uint32)
+    size = next(k for k in (1, 2, 4) if not values.size or values.max() < 1 << 8 * k)
+    return bytes([size]) + _zip(values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    size = data[0]
+    planes = np.frombuffer(_unzip(data[1:]), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64)
+
+
 def _chunks(pattern: str, kind: pa.DataType):
     """(id, text) -> chunks: ids, tokens per document, token places, words.
-    Places are packed, as they cross the network with their chunk."""
+    Places and words are packed, as they cross the network with their chunk."""
     def run(batches):
         split, key = splitter(pattern), TaskContext.get().partitionId() << 32
         ids, sizes, places, slots, chars = [], [], [], _Slots(), 0
 
         def chunk():
-            packed = pa.compress(np.concatenate([np.zeros(0, np.uint32), *places]).tobytes(), codec="zstd", asbytes=True)
-            # words as bytes behind one another, with their lengths
             words = [w.encode() for w in slots]
-            body = pa.compress(b"".join(words), codec="zstd", asbytes=True)
-            sizes_of = np.array([len(w) for w in words], np.uint32).tobytes()
+            packed = _pack(np.concatenate([np.zeros(0, np.uint32), *places])), _zip(b"".join(words)), _pack([len(w) for w in words])
             return pa.RecordBatch.from_arrays(
-                [pa.array([key], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed], pa.binary()),
-                 pa.array([body], pa.binary()), pa.array([sizes_of], pa.binary()), pa.array([sum(map(len, words))], pa.int64())],
-                names=["chunk", "ids", "sizes", "places", "words", "word_sizes", "bytes"])
+                [pa.array([key], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64())),
+                 *(pa.array([x], pa.binary()) for x in packed)], names=["chunk", "ids", "sizes", "places", "words", "word_sizes"])
 
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -192,69 +215,96 @@ def _chunks(pattern: str, kind: pa.DataType):
     return run
 
 
-def _unzip(data: bytes, size: int) -> bytes:
-    return pa.decompress(data, size, codec="zstd", asbytes=True)
+def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The given stretches of ``data`` behind one another."""
+    end = np.cumsum(length)
+    return data[np.repeat(start - (end - length), length) + np.arange(end[-1] if end.size else 0)]
 
 
-def _requests(batches):
-    """A row for every word of a chunk and its place."""
-    for b in batches:
-        for r in range(b.num_rows):
-            key, words, sizes, size = (b.column(c)[r].as_py() for c in ("chunk", "words", "word_sizes", "bytes"))
-            at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.uint32))]).astype(np.int32)
-            n = at.size - 1
-            words = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(_unzip(words, size))])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(np.arange(n, dtype=np.int32)), words], names=["chunk", "slot", "word"])
+def _dealt(row: dict, buckets: int):
+    """Words of a chunk by bucket: (bytes, start and size of every word, the
+    words in the order of their buckets, their buckets)."""
+    body, size = np.frombuffer(_unzip(row["words"]), np.uint8), _unpack(row["word_sizes"])
+    start = np.cumsum(size) - size
+    bucket = (Rolling(body).of(start, start + size) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    return body, start, size, order, bucket[order]
 
 
-def _answers(vocabulary: str):
-    """Rows come sorted by word: each distinct one is merged once."""
+def _requests(buckets: int):
+    """The words of each chunk, a row for each bucket that has some."""
     def run(batches):
-        ranks, last, ids = ranks_of(vocabulary), None, b""
         for b in batches:
-            out = []
-            for word in b.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, np.array(merged(word, ranks), np.uint32).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["chunk", "slot", "ids"])
+            for row in b.to_pylist():
+                body, start, size, order, bucket = _dealt(row, buckets)
+                start, size = start[order], size[order]
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                runs = list(zip(first.tolist(), [*first[1:].tolist(), bucket.size]))
+                words = [_zip(_gather(body, start[i:j], size[i:j]).tobytes()) for i, j in runs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(first.size, row["chunk"])), pa.array(bucket[first]), pa.array(words, pa.binary()),
+                     pa.array([_pack(size[i:j]) for i, j in runs], pa.binary())], names=["chunk", "bucket", "words", "word_sizes"])
     return run
 
 
-def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids behind one another, and where each part starts."""
-    at = np.cumsum([0, *(len(p) // 4 for p in parts)])
-    return np.frombuffer(b"".join(parts), np.uint32), at
+def _answers(vocabulary: str):
+    """Rows come sorted by bucket.  All requests for a word are in one
+    bucket, whose words are remembered, so each distinct one is merged once."""
+    def run(batches):
+        ranks, now, known = ranks_of(vocabulary), None, {}
+        for b in batches:
+            ids, counts = [], []
+            for bucket, body, sizes in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
+                if bucket != now:
+                    now, known = bucket, {}
+                found, body, at = [], _unzip(body), 0
+                for n in _unpack(sizes).tolist():
+                    word = body[at:at + n]
+                    at += n
+                    got = known.get(word)
+                    if got is None:
+                        got = known[word] = merged(word, ranks)
+                    found.append(got)
+                ids.append(_pack([x for f in found for x in f]))
+                counts.append(_pack([len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())],
+                                             names=["chunk", "bucket", "ids", "counts"])
+    return run
 
 
-def _together(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+def _together(buckets: int):
     """The ids of a chunk's documents, by the places of their tokens."""
-    docs = chunk.column("ids")[0].values
-    sizes = np.array(chunk.column("sizes")[0].as_py(), np.int64)
-    places = np.frombuffer(_unzip(chunk.column("places")[0].as_py(), 4 * int(sizes.sum())), np.uint32)
-    ids, at = _flat(answers.sort_by("slot").column("ids").to_pylist())
-    out, first = [], 0
-    for n in sizes.tolist():
-        own = places[first:first + n]
-        length = at[own + 1] - at[own]
-        end = np.cumsum(length)
-        out.append(ids[np.repeat(at[own] - (end - length), length) + np.arange(end[-1] if n else 0)])
-        first += n
-    return pa.table({"id": docs, "n_tokens": pa.array([x.size for x in out], pa.int64()), "ids": pa.array([x.tobytes() for x in out], pa.binary())})
-
-
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        docs, row = chunk.column("ids")[0].values, chunk.drop_columns(["ids"]).to_pylist()[0]
+        *_, order, _ = _dealt(row, buckets)
+        answers = answers.sort_by("bucket")
+        ids, count = (np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers.column(c).to_pylist())]) for c in ("ids", "counts"))
+        length, start = np.zeros(order.size, np.int64), np.zeros(order.size, np.int64)  # by the word's place
+        length[order], start[order] = count, np.cumsum(count) - count
+        places, ids, out, first = _unpack(row["places"]), ids.astype(np.uint32), [], 0
+        for n in row["sizes"]:
+            own = places[first:first + n]
+            out.append(_gather(ids, start[own], length[own]))
+            first += n
+        return pa.table({"id": docs, "n_tokens": pa.array([x.size for x in out], pa.int64()), "ids": pa.array([x.tobytes() for x in out], pa.binary())})
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(id, n_tokens, ids) of every row; ids are packed as little-endian
-    unsigned 32 bits."""
+    unsigned 32 bits.  A task holds the distinct words of one bucket, some
+    200 bytes each: give more ``buckets`` to a corpus of billions of them."""
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType
     chunks = src.mapInArrow(_chunks(pattern, to_arrow_type(kind)), f"chunk long, ids array<{kind.simpleString()}>, sizes array<long>, "
-                            "places binary, words binary, word_sizes binary, bytes long")
+                            "places binary, words binary, word_sizes binary")
     # both readers take all columns, so one exchange serves them and texts are cut once
     chunks = chunks.repartition("chunk")
-    met = chunks.mapInArrow(_requests, "chunk long, slot int, word binary").repartition("word").sortWithinPartitions("word")
-    answers = met.mapInArrow(_answers(vocabulary), "chunk long, slot int, ids binary")
-    out = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_together, f"id {kind.simpleString()}, n_tokens long, ids binary")
+    met = (chunks.mapInArrow(_requests(buckets), "chunk long, bucket int, words binary, word_sizes binary")
+           .repartition("bucket").sortWithinPartitions("bucket"))
+    answers = met.mapInArrow(_answers(vocabulary), "chunk long, bucket int, ids binary, counts binary")
+    out = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _together(buckets), f"id {kind.simpleString()}, n_tokens long, ids binary")
     return out.withColumnRenamed("id", id_col)
 
 
