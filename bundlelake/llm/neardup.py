@@ -38,7 +38,8 @@ from bundlelake.session import scratch_path
 SIZE, ROWS = 160, 5      # components of a signature, rows of a band
 LEAST = 0.8              # similarity of a link
 BLOCK = 1024             # classes on either side of a verification block
-BLOCK_BYTES = 16 << 20   # and bytes of shingles (32 bits each)
+BLOCK_BYTES = 3 << 20    # and bytes of shingles (32 bits each)
+TEXTS = 1024             # texts whose signatures are drawn together: their arrays grow with texts x SIZE
 SLICE = 2048             # shingles of a matrix product
 
 
@@ -57,8 +58,9 @@ def _keys(id_col: str, text_col: str) -> list[Column]:
 
 
 def _bands(batches):
-    for b in batches:
-        for first, raw, offsets in text_chunks(b.column(3)):
+    for part in batches:
+        for b, first, raw, offsets in ((b, *c) for b in (part.slice(s, TEXTS) for s in range(0, part.num_rows, TEXTS))
+                                       for c in text_chunks(b.column(4))):
             n = offsets.size - 1
             t, key, weight = P.shingles(raw, offsets)
             keys = P.band_keys(P.signatures(t, key, weight, n, SIZE), ROWS)
@@ -66,8 +68,8 @@ def _bands(batches):
             has[t] = True
             cut = np.concatenate([[0], np.cumsum(np.where(has, keys.shape[1], 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(keys[has].ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(i).slice(first, n) for i in range(3)] + [lists],
-                                             names=["id", "c", "k", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(i).slice(first, n) for i in range(4)] + [lists],
+                                             names=["id", "c", "k", "tag", "bands"])
 
 
 def _shingle_sets(batches):
@@ -175,13 +177,15 @@ def _block_links(members: DataFrame, label: DataFrame, sets: DataFrame, least: f
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float):
-    """(rows: id, c, k; classes: node, c, id, k, n_copies, group id and key)."""
+    """(rows: id, c, tag; classes: node, c, rep, n_copies, the group's first
+    row and sizes).  A tag tells rows of equal id and text apart."""
     c, k = _keys(id_col, text_col)
-    src = docs.select(F.col(id_col).alias("id"), c, k, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = docs.select(F.col(id_col).alias("id"), c, k, F.monotonically_increasing_id().alias("tag"),
+                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    order = F.struct(F.col("id").isNull().alias("null_id"), F.col("id"), F.col("k"))
-    classes = (src.mapInArrow(_bands, f"id {kind}, c string, k string, bands array<long>")
-               .groupBy("c").agg(F.min(order).alias("rep"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"))
+    order = F.struct(F.col("id").isNull().alias("null_id"), F.col("id"), F.col("k"), F.col("tag"))
+    rows = _written(src.mapInArrow(_bands, f"id {kind}, c string, k string, tag long, bands array<long>"), "neardup-rows")
+    classes = (rows.groupBy("c").agg(F.min(order).alias("rep"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = _written(classes, "neardup-classes")  # fixes the node numbers
 
@@ -207,17 +211,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, least: float):
     whole = classes.select("node", "c", "rep", "n_copies").join(label, "node", "left")
     whole = whole.withColumn("label", F.coalesce("label", "node"))
     first = whole.groupBy("label").agg(F.min("rep").alias("first"), F.count("*").alias("n_classes"), F.sum("n_copies").alias("n_rows"))
-    return src.select("id", "c", "k"), whole.join(first, "label")
+    return rows.select("id", "c", "tag"), whole.join(first, "label")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """One row per input row: id, class_id (smallest id of equal text),
     group_id (smallest id of its near-duplicate group), n_classes and n_docs
-    of the group, and kept (it is the group's first document)."""
+    of the group, and kept (true for one row of the group, its first)."""
     rows, classes = _grouped(docs, id_col, text_col, least)
     out = rows.join(classes.select("c", "rep", "first", "n_classes", "n_rows"), "c")
     return out.select(F.col("id").alias(id_col), F.col("rep.id").alias("class_id"), F.col("first.id").alias("group_id"),
-                      "n_classes", F.col("n_rows").alias("n_docs"), (F.col("k") == F.col("first.k")).alias("kept"))
+                      "n_classes", F.col("n_rows").alias("n_docs"), (F.col("tag") == F.col("first.tag")).alias("kept"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:

@@ -10,7 +10,9 @@ probability equal to their probability Jaccard
 
 A text's processes stop as soon as they have passed the latest of its
 components' arrivals (early termination).  Arrivals of all texts of a chunk
-are drawn at once in numpy, in batches that double in length.
+are drawn at once in numpy, in batches that double in length while a batch
+stays below ``CELLS`` arrivals.  A text of one shingle needs no draw: its
+signature is that shingle.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from bundlelake.llm.textnum import Rolling, is_space, mix64, spans, windows
 
 WORDS = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_FIRST_BATCH, _LAST_BATCH = 1, 256
+_LAST_BATCH = 256
+CELLS = 1 << 18  # arrivals drawn at once (more only for the first of each shingle of a very long text)
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, words: int = WORDS):
@@ -51,10 +54,12 @@ def signatures(text: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, si
     out = np.zeros(n * size, np.uint32)
     has = np.zeros(n, bool)
     has[text] = True
+    alone = np.bincount(text, minlength=n)[text] == 1
+    out.reshape(n, size)[text[alone]] = key[alone][:, None]
     seed = mix64(key.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + _STEP)
     time = np.zeros(key.size)
-    live = np.arange(key.size)
-    done, batch = 0, _FIRST_BATCH
+    live = np.flatnonzero(~alone)
+    done, batch = 0, 1
     while live.size:
         steps = np.arange(done + 1, done + batch + 1, dtype=np.uint64) * _STEP
         draw = mix64(seed[live][:, None] + steps[None, :])
@@ -74,7 +79,7 @@ def signatures(text: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, si
         latest = best.reshape(n, size).max(axis=1)
         live = live[time[live] < latest[text[live]]]
         done += batch
-        batch = min(batch * 2, _LAST_BATCH)
+        batch = max(1, min(batch * 2, _LAST_BATCH, CELLS // max(1, live.size)))
     return out.reshape(n, size) * has[:, None]
 
 
