@@ -1,4 +1,5 @@
-"""Incremental marts: watermark filter and keyed upsert.
+"""Watermark filter and keyed upsert (whole incremental builds:
+``plans.current``).
 
 Parquet has no ``MERGE INTO``; an upsert is ``target UNION new`` reduced
 to the newest row per key and written as a new table version.
@@ -57,39 +58,3 @@ def upsert(target: DataFrame, new: DataFrame, key: str, order_column: str = "ing
     both = again.unionByName(new.select(*target.columns).withColumn("_src", F.lit(1)))
     newest = dedup_latest(both, key, [F.col(order_column).desc_nulls_last(), F.col("_src").desc()]).drop("_src")
     return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(newest)
-
-
-def changed(source: DataFrame, previous: DataFrame, key: str, column: str = "ingested_at") -> DataFrame:
-    """Source rows that ``previous`` was not built from: no row of their key
-    and load time.  Unlike a watermark it also finds loads whose time lies
-    before the newest one."""
-    seen = previous.select(F.col(key).alias("_key"), F.col(column).alias("_at"))
-    return source.join(seen, (F.col(key) == F.col("_key")) & (F.col(column) == F.col("_at")), "left_anti")
-
-
-def incremental_marts(staging: dict[str, DataFrame], previous: dict[str, DataFrame], as_of_date=None) -> dict:
-    """Opt-in incremental build of every mart on top of the previous version,
-    equal to a full rebuild as long as no source row disappears (a full
-    refresh rebuilds).
-
-    Besides changed rows it recomputes those that depend on them: facts of
-    patients that were sent again, and patients that a changed encounter
-    belongs to or belonged to.  ``age_years`` depends on the day of the run,
-    so it is computed over the whole dimension.
-    """
-    from bundlelake.operators import marts as M
-
-    patients, encounters = staging["stg_patients"], staging["stg_encounters"]
-    prev_dim = previous["dim_patients"]
-    resent = changed(patients, prev_dim, "patient_id").select("patient_id").where(F.col("patient_id").isNotNull())
-    visits = changed(encounters, previous["fct_encounters"], "encounter_id").select("encounter_id", "patient_id")
-    before = previous["fct_encounters"].join(visits.select("encounter_id"), "encounter_id", "left_semi").select("patient_id")
-    touched = resent.unionByName(visits.select("patient_id")).unionByName(before).where(F.col("patient_id").isNotNull()).distinct()
-    redo = M.dim_patients(patients.join(touched, "patient_id", "left_semi"), encounters.join(touched, "patient_id", "left_semi"), as_of_date)
-    dim = upsert(prev_dim, redo, "patient_id")
-    out = {"dim_patients": dim.withColumn("age_years", M.age_at(F.col("birth_date"), as_of_date))}
-    for name, (fn, model) in M.FACTS.items():
-        key, source = M.MART_KEYS[name], staging[model]
-        again = source.join(resent.distinct(), "patient_id", "left_semi").unionByName(changed(source, previous[name], key))
-        out[name] = upsert(previous[name], fn(again, patients), key)
-    return out

@@ -103,12 +103,12 @@ MART_CHECKS = [
 ALL_CHECKS = STAGING_CHECKS + MART_CHECKS
 
 
-def _row_condition(c: Check):
+def row_condition(c: Check):
     col = F.col(c.column)
     return col.isNull() if c.test == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
 
 
-def _stack(model: str, wide: DataFrame, labels: list[tuple[str, str, str]]) -> DataFrame:
+def stacked(model: str, wide: DataFrame, labels: list[tuple[str, str, str]]) -> DataFrame:
     """One-row ``wide`` (columns named in ``labels``) -> one row per check."""
     stack = ", ".join(f"'{test}', '{column}', coalesce({name}, 0L)" for test, column, name in labels)
     return (wide.selectExpr(f"stack({len(labels)}, {stack}) as (test, column, violations)")
@@ -160,15 +160,15 @@ def audit(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> Da
         if uniques:
             key = uniques[0].column
             per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                          *[F.count_if(_row_condition(c)).alias(f"c{i}")
+                                          *[F.count_if(row_condition(c)).alias(f"c{i}")
                                             for i, c in enumerate(row_checks)])
             wide = per_key.agg(F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("u0"),
                                *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(row_checks))])
-            parts.append(_stack(model, wide, [("unique", key, "u0")] + labels))
+            parts.append(stacked(model, wide, [("unique", key, "u0")] + labels))
             uniques = uniques[1:]
         elif row_checks:
-            wide = df.agg(*[F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
-            parts.append(_stack(model, wide, labels))
+            wide = df.agg(*[F.count_if(row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
+            parts.append(stacked(model, wide, labels))
         for c in uniques:
             v = unique(df, c.column).agg(F.count(F.lit(1)).alias("violations"))
             parts.append(v.select(F.lit(model).alias("model"), F.lit("unique").alias("test"),

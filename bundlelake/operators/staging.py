@@ -143,8 +143,9 @@ def typed_entries(entries: DataFrame, on_malformed: str = "fail") -> DataFrame:
 
 
 def stage_typed(typed: DataFrame, model: str, dedup: bool | None = None,
-                processed_at: Column | None = None) -> DataFrame:
-    """A staging model from the typed-entries table (see ``typed_entries``)."""
+                processed_at: Column | None = None, keep_pos: bool = False) -> DataFrame:
+    """A staging model from the typed-entries table (see ``typed_entries``);
+    ``keep_pos`` keeps the entry's position, the last tie-break of copies."""
     spec = STAGING_SPECS[model]
     df = (typed.where(F.col("resource_type") == F.lit(spec["resource_type"]))
           .select(*[F.col(f"{model}.{name}").alias(name) for name, _, _ in spec["columns"]],
@@ -154,4 +155,4 @@ def stage_typed(typed: DataFrame, model: str, dedup: bool | None = None,
                   F.col("pos").alias("_pos")))
     if spec["dedup"] if dedup is None else dedup:
         df = dedup_latest(df, spec["key"])
-    return df.drop("_pos")
+    return df if keep_pos else df.drop("_pos")

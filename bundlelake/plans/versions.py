@@ -2,7 +2,8 @@
 
 Layout under ``root`` (a shared folder):
 
-* ``versions/<label>/<table>/``  - the tables of one build, ``_audit`` its report
+* ``versions/<label>/<table>/``  - the tables of one build, ``_audit`` its report; an incremental
+  build has ``_state`` instead, the generation of the current-state tables (``plans.current``)
 * ``_write_log/``                - append-only Parquet log ``(label, table, written_at)``
 * ``_publish_log/``              - append-only Parquet log ``(label, published_at)``
 
@@ -22,6 +23,7 @@ from bundlelake.sources.landing import read_or_empty
 
 LOG_SCHEMA = "label string, published_at timestamp"
 WRITE_LOG_SCHEMA = "label string, table string, written_at timestamp"
+STATE_SCHEMA = "state_root string, gen long, as_of string, dedup_allergies boolean"
 REPORT_SCHEMA = "model string, test string, column string, violations long, final boolean"
 
 
@@ -77,7 +79,20 @@ def read_version(spark: SparkSession, root: str, table: str, label: str | None =
     label = label or current_label(spark, root)
     if label is None:
         raise LookupError(f"nothing published under {root}")
-    return spark.read.parquet(version_path(root, label, table))
+    kept = read_or_empty(spark, version_path(root, label, "_state"), STATE_SCHEMA).first()
+    if kept is None:
+        return spark.read.parquet(version_path(root, label, table))
+    from bundlelake.plans.current import at_generation
+    state = at_generation(spark, kept["state_root"], kept["gen"])
+    return state.tables(kept["as_of"], kept["dedup_allergies"])[table]
+
+
+def point_to_state(spark: SparkSession, root: str, label: str, state_root: str, gen: int, as_of_date, dedup_allergies: bool) -> None:
+    """Make a claimed label stand for a generation of the state tables."""
+    (spark.range(1).select(F.lit(state_root).alias("state_root"), F.lit(gen).cast("long").alias("gen"), F.coalesce(F.lit(as_of_date).cast("date"), F.current_date()).cast("string").alias("as_of"),
+                           F.lit(dedup_allergies).alias("dedup_allergies"))
+     .write.parquet(version_path(root, label, "_state")))
+    _log_written(spark, root, label, ["_state"])
 
 
 def current_label(spark: SparkSession, root: str) -> str | None:
@@ -118,8 +133,11 @@ def list_versions(spark: SparkSession, root: str) -> DataFrame:
 def audit_step(spark: SparkSession, root: str, label: str, tables: dict[str, DataFrame], checks, final: bool = True) -> int:
     """Audit written tables once and keep the report with the version;
     returns how many tests failed.  ``final``: no further step follows."""
-    report = audit(tables, checks).withColumn("final", F.lit(final))
-    report.coalesce(1).write.mode("append").parquet(version_path(root, label, "_audit"))
+    return keep_report(spark, root, label, audit(tables, checks), final)
+
+
+def keep_report(spark: SparkSession, root: str, label: str, report: DataFrame, final: bool = True) -> int:
+    report.withColumn("final", F.lit(final)).coalesce(1).write.mode("append").parquet(version_path(root, label, "_audit"))
     return audit_report(spark, root, label).where("violations > 0").count()
 
 

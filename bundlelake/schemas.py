@@ -173,3 +173,13 @@ RESOURCE_TYPES = [s["resource_type"] for s in STAGING_SPECS.values()]
 
 # Fixed value: accepted values of the gender test.
 ACCEPTED_GENDERS = ["male", "female", "other", "unknown"]
+
+
+# kind of a staging column -> its type
+COLUMN_TYPES = {"str": "string", "ref": "string", "date": "date", "date10": "date", "ts": "timestamp", "double": "double", "int": "int"}
+
+
+def typed_schema() -> str:
+    """Columns of the typed-entries table: one struct per staging model."""
+    models = [f"{m} struct<" + ", ".join(f"`{n}`: {COLUMN_TYPES[k]}" for n, _, k in s["columns"]) + ">" for m, s in STAGING_SPECS.items()]
+    return "file_path string, ingestion_timestamp timestamp, pos int, resource_type string, " + ", ".join(models)

@@ -92,51 +92,6 @@ def test_watermark_equal_not_selected_and_empty_target(spark):
     assert INC.incremental_filter(src, empty, empty_target_loads_all=False).count() == 0
 
 
-def test_incremental_marts_equal_full_rebuild(spark):
-    full = Build.from_tables(spark, SF).layers()
-    inc = INC.incremental_marts(full, Build.from_tables(spark, SF, loads=(1,)).layers(), "2024-12-31")
-    for name, df in inc.items():
-        cols = [c for c in df.columns if c != "dbt_updated_at"]
-        assert sorted(df.select(cols).collect(), key=repr) == sorted(full[name].select(cols).collect(), key=repr), name
-
-
-def test_incremental_marts_after_a_moved_encounter_and_a_later_day(spark):
-    from bundlelake.testing.fixtures import fixture_landing
-    first = fixture_landing(spark, SF, loads=(1,))
-    moved = spark.createDataFrame(
-        [("raw/fhir/late/enc-1.json",
-          '{"entry":[{"resource":{"resourceType":"Encounter","id":"enc-1","status":"moved","subject":{"reference":"urn:uuid:pat-2"}}}]}',
-          "2024-01-05 00:00:00"),  # sent again late, stamped newer below
-         ], "file_path string, data string, t string").selectExpr("file_path", "data", "timestamp'2024-05-01 00:00:00' ingestion_timestamp")
-    prev = Build(spark, first, as_of_date="2023-12-31").layers()
-    now = Build(spark, first.unionByName(moved), as_of_date="2024-12-31").layers()
-    inc = INC.incremental_marts(now, prev, "2024-12-31")
-    for name in ("dim_patients", "fct_encounters"):
-        cols = [c for c in inc[name].columns if c != "dbt_updated_at"]
-        assert sorted(inc[name].select(cols).collect(), key=repr) == sorted(now[name].select(cols).collect(), key=repr), name
-
-
-def test_incremental_refreshes_facts_of_a_resent_patient(spark):
-    """A patient re-sent alone (no new facts) must still refresh the
-    demographic columns of that patient's old facts."""
-    from bundlelake.testing.fixtures import fixture_landing
-    first = fixture_landing(spark, SF, loads=(1,))
-    resend = spark.createDataFrame(
-        [("raw/fhir/late/pat-1.json",
-          '{"entry":[{"resource":{"resourceType":"Patient","id":"pat-1","gender":"female",'
-          '"birthDate":"1950-01-01","address":[{"city":"Elsewhere"}]}}]}', "2024-05-01 00:00:00")],
-        "file_path string, data string, t string").selectExpr("file_path", "data", "cast(t as timestamp) ingestion_timestamp")
-    prev = Build(spark, first).layers()
-    now = Build(spark, first.unionByName(resend)).layers()
-    inc = INC.incremental_marts(now, prev, "2024-12-31")
-    encs = inc["fct_encounters"].where("patient_id = 'pat-1'").collect()
-    assert encs and all(r.patient_city == "Elsewhere" for r in encs)
-    dim = inc["dim_patients"].where("patient_id = 'pat-1'").first()
-    assert dim.city == "Elsewhere"
-    full = now["fct_encounters"].where("patient_id = 'pat-1'")
-    assert sorted(r.encounter_id for r in encs) == sorted(r.encounter_id for r in full.collect())
-
-
 def test_command_line_run(spark, tmp_root, capsys):
     from bundlelake.plans.pipeline import main
     raw = os.path.join(tmp_root, "raw")
