@@ -51,7 +51,7 @@ from bundlelake.llm.packing import SPLIT
 from bundlelake.llm.textnum import Rolling
 from bundlelake.llm.tokencount import OTHER, PIECES
 
-CHUNK_CHARS = 12 << 20   # text of a chunk; one longer text is a chunk of its own
+CHUNK_CHARS = 6 << 20    # text of a chunk; one longer text is a chunk of its own
 BUCKETS = 1024           # of words; a task holds one bucket's distinct words at a time
 SLICE_CHARS = 1 << 18    # of a long text cut into words at a time
 CHUNK_IDS = 1 << 20      # tokens decoded together
@@ -73,28 +73,27 @@ class Splitter:
         import tiktoken
 
         single = {bytes([b]): b for b in range(256)}
-        every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
-        exact, differing = pattern, set()
+        every = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4").tobytes().decode("utf-32-le")
+        exact, differing = pattern, np.zeros(0, np.uint32)
         for name in (r"\p{L}", r"\p{N}", r"\s"):
-            theirs = set(bytes(tiktoken.Encoding("one", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(every)).decode())
-            ours = set(regex.findall(name, every))
-            for extra, sign in ((theirs - ours, "||"), (ours - theirs, "--")):
-                if extra:
+            theirs = self._codes(bytes(tiktoken.Encoding("one", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(every)).decode())
+            ours = self._codes(regex.sub(f"[^{name}]+", "", every))
+            for extra, sign in ((np.setdiff1d(theirs, ours), "||"), (np.setdiff1d(ours, theirs), "--")):
+                if extra.size:
                     exact = exact.replace(name, f"[{name}{sign}{self._set(extra)}]")
-                    differing |= extra
+                    differing = np.union1d(differing, extra)
         self.plain, self.exact = regex.compile(pattern), regex.compile("(?V1)" + exact)
-        self.differing = regex.compile(self._set(differing)) if differing else None
+        self.differing = regex.compile(self._set(differing)) if differing.size else None
         self.latin = PIECES if pattern == SPLIT else None  # the same rules below U+0250
 
     @staticmethod
-    def _set(characters: set[str]) -> str:
-        codes, out = sorted(map(ord, characters)), []
-        for c in codes:
-            if out and out[-1][1] == c - 1:
-                out[-1][1] = c
-            else:
-                out.append([c, c])
-        return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out) + "]"
+    def _codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+    @staticmethod
+    def _set(codes: np.ndarray) -> str:
+        runs = np.split(codes, np.flatnonzero(np.diff(codes) > 1) + 1)  # of consecutive characters
+        return "[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]"
 
     def __call__(self, text: str) -> Iterator[list[str]]:
         """Lists of consecutive words."""
