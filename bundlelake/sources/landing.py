@@ -227,9 +227,9 @@ def ingest_full_refresh(spark: SparkSession, manifest: DataFrame, landing_path:
     ts = str(ingestion_timestamp) if ingestion_timestamp is not None else run_timestamp(spark)
     new = f"g-{uuid.uuid4().hex[:12]}"
     full_refresh_rows(manifest, max_bytes, ts).hint("rebalance").write.parquet(f"{root}/{new}")
+    record_skipped(skipped(json_keys(manifest), max_bytes), landing_path, ts)  # also where nothing lands
     if read_or_empty(spark, f"{root}/{new}", LANDING_SCHEMA).isEmpty():
         return False
-    record_skipped(skipped(json_keys(manifest), max_bytes), landing_path, ts)
     spark.range(1).select(F.lit(new).alias("generation"), F.current_timestamp().alias("at")) \
         .write.mode("append").parquet(f"{root}/_generations")
     return True

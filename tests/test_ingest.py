@@ -147,3 +147,24 @@ def test_failed_refresh_leaves_the_old_generation(spark, tmp_root, monkeypatch):
     except RuntimeError:
         pass
     assert L.read_landing(spark, lp).count() == 1
+
+
+def test_refresh_that_lands_nothing_records_why(spark, tmp_root):
+    bad = spark.createDataFrame([("a.json", 2, b"\xff\xfe")], "path string, length long, content binary")
+    at = os.path.join(tmp_root, "landing")
+    assert not L.ingest_full_refresh(spark, bad, at)
+    assert [(r.file_path, r.reason) for r in L.read_skipped(spark, at).collect()] == [("a.json", "not UTF-8")]
+    assert L.read_landing(spark, at).count() == 0
+
+
+def test_stream_mode_keeps_quarantine_and_stands_an_empty_landing(spark, tmp_root):
+    from bundlelake.plans.pipeline import read_quarantine
+    from bundlelake.streaming.typed import read_typed_stream, run_typed_available_now
+    landing, typed, ckpt = (os.path.join(tmp_root, x) for x in ("landing", "typed/data", "ckpt"))
+    assert read_typed_stream(spark, typed).count() == 0
+    rows = [("p", '{"entry":[{"resource":{"resourceType":"Patient","id":"1","birthDate":"never"}}]}'), ("q", '{"entry":'), ("r", '{"entry":5}')]
+    L.append_landing(L.stamp(spark.createDataFrame(rows, "file_path string, data string"), "2024-01-01 00:00:00"), landing)
+    run_typed_available_now(spark, landing, typed, ckpt, on_malformed="quarantine")
+    assert [r.stg_patients.patient_id for r in read_typed_stream(spark, typed).collect()] == ["1"]
+    kept = {(r.file_path, r.reason, r.column, r.text) for r in read_quarantine(spark, os.path.join(tmp_root, "typed")).collect()}
+    assert kept == {("p", "bad value", "birth_date", "never"), ("q", "not JSON", None, None), ("r", "entry is not an array", None, None)}
