@@ -234,7 +234,8 @@ def _requests(buckets: int):
     """The words of each chunk, a row for each bucket that has some."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for r in range(b.num_rows):  # one chunk at a time, and of it the words only
+                row = {c: b.column(c)[r].as_py() for c in ("chunk", "words", "word_sizes")}
                 body, start, size, order, bucket = _dealt(row, buckets)
                 start, size = start[order], size[order]
                 first = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -251,7 +252,7 @@ def _answers(vocabulary: str):
     bucket, whose words are remembered, so each distinct one is merged once."""
     def run(batches):
         ranks, now, known = ranks_of(vocabulary), None, {}
-        for b in batches:
+        for b in (x.slice(s, 1024) for x in batches for s in range(0, x.num_rows, 1024)):
             ids, counts = [], []
             for bucket, body, sizes in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
                 if bucket != now:
@@ -274,7 +275,7 @@ def _answers(vocabulary: str):
 def _together(buckets: int):
     """The ids of a chunk's documents, by the places of their tokens."""
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        docs, row = chunk.column("ids")[0].values, chunk.drop_columns(["ids"]).to_pylist()[0]
+        docs, row = chunk.column("ids")[0].values, {c: chunk.column(c)[0].as_py() for c in ("sizes", "places", "words", "word_sizes")}
         *_, order, _ = _dealt(row, buckets)
         answers = answers.sort_by("bucket")
         ids, count = (np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers.column(c).to_pylist())]) for c in ("ids", "counts"))
