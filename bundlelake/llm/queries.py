@@ -205,7 +205,7 @@ def op11(spark, sf_dir):
 
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
     done = wordbpe.decode(wordbpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
-    return done.select("doc_id", "n_tokens", wordbpe.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 # --- 12: vector codes -------------------------------------------------------------------------

@@ -38,12 +38,11 @@ from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -341,9 +340,13 @@ def _decoded(batches):
 
     def chunk():
         ids = docs[1].to_pylist()
-        texts = [b"".join(map(table.__getitem__, np.frombuffer(x, np.uint32).tolist())) for x in ids]
-        return pa.RecordBatch.from_arrays([docs[0], pa.array([len(x) // 4 for x in ids], pa.int64()), docs[1], pa.array(texts, pa.binary())],
-                                          names=["id", "n_tokens", "ids", "decoded"])
+        texts, digests = [], []
+        for x in ids:
+            tokens = np.frombuffer(x, np.uint32).tolist()
+            texts.append(b"".join(map(table.__getitem__, tokens)))
+            digests.append(sha256(",".join(map(str, tokens)).encode()).hexdigest())
+        return pa.RecordBatch.from_arrays([docs[0], pa.array([len(x) // 4 for x in ids], pa.int64()), docs[1], pa.array(digests, pa.string()),
+                                           pa.array(texts, pa.binary())], names=["id", "n_tokens", "ids", "ids_sha256", "decoded"])
 
     for b in batches:
         for r, (token, data) in enumerate(zip(b.column(1).to_pylist(), b.column(4).to_pylist())):
@@ -358,19 +361,12 @@ def _decoded(batches):
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids, decoded bytes) of every row of (id, ids)."""
+    """(id, n_tokens, ids, ids_sha256, decoded) of every row of (id, ids):
+    the decoded bytes, and the hex digest of the decimal ids joined by commas
+    (taken here, as a further Python step would be a further worker)."""
     src = encoded.select(F.col(id_col).alias("id"), F.col("ids"))
     kind = src.schema["id"].dataType.simpleString()
     asked = src.mapInArrow(_distinct_ids, f"chunk long, token int, docs array<{kind}>, ids array<binary>")
     found = asked.join(F.broadcast(token_bytes(src.sparkSession, vocabulary)), "token", "left").select("chunk", "token", "docs", "ids", "bytes")
-    out = found.sortWithinPartitions("chunk", "token").mapInArrow(_decoded, f"id {kind}, n_tokens long, ids binary, decoded binary")
+    out = found.sortWithinPartitions("chunk", "token").mapInArrow(_decoded, f"id {kind}, n_tokens long, ids binary, ids_sha256 string, decoded binary")
     return out.withColumnRenamed("id", id_col)
-
-
-def _hex(ids: pd.Series) -> pd.Series:
-    return ids.map(lambda x: sha256(",".join(map(str, np.frombuffer(x, np.uint32).tolist())).encode()).hexdigest())
-
-
-def ids_sha256(ids: Column) -> Column:
-    """Hex digest of the decimal ids joined by commas."""
-    return F.pandas_udf(_hex, "string")(ids)

@@ -52,11 +52,11 @@ def test_words_and_merges_are_the_librarys(library):
 
 
 def check_ids(spark, docs, library):
-    done = wordbpe.decode(wordbpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY).withColumn("hex", wordbpe.ids_sha256(F.col("ids")))
+    done = wordbpe.decode(wordbpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY)
     got, want = [], []
     for r in done.collect():
         ids = np.frombuffer(r["ids"], "<u4").tolist()
-        assert r["n_tokens"] == len(ids) and r["hex"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         got.append((r["doc_id"], bytes(r["decoded"]).decode(), ids))
     for r in docs.collect():
         text = r["text"] or ""
