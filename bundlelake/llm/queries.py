@@ -204,7 +204,7 @@ def op11(spark, sf_dir):
     import public_tokenizers
 
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    done = wordbpe.decode(wordbpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    done = wordbpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

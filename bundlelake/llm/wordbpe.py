@@ -45,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from bundlelake.llm.packing import SPLIT
 from bundlelake.llm.textnum import Rolling
@@ -54,6 +55,7 @@ CHUNK_CHARS = 6 << 20    # text of a chunk; one longer text is a chunk of its ow
 BUCKETS = 1024           # of words; a task holds one bucket's distinct words at a time
 SLICE_CHARS = 1 << 18    # of a long text cut into words at a time
 CHUNK_IDS = 1 << 20      # tokens decoded together
+PART_BITS = 12           # a chunk's documents have at most 4 * CHUNK_CHARS tokens, hence some 50 parts
 
 
 @lru_cache(maxsize=4)
@@ -271,8 +273,9 @@ def _answers(vocabulary: str):
     return run
 
 
-def _together(buckets: int):
-    """The ids of a chunk's documents, by the places of their tokens."""
+def _together(buckets: int, parts: bool = False):
+    """The ids of a chunk's documents, by the places of their tokens; or the
+    parts that decoding starts from (a chunk has few: see ``PART_BITS``)."""
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         docs, row = chunk.column("ids")[0].values, {c: chunk.column(c)[0].as_py() for c in ("sizes", "places", "words", "word_sizes")}
         *_, order, _ = _dealt(row, buckets)
@@ -285,14 +288,14 @@ def _together(buckets: int):
             own = places[first:first + n]
             out.append(_gather(ids, start[own], length[own]))
             first += n
-        return pa.table({"id": docs, "n_tokens": pa.array([x.size for x in out], pa.int64()), "ids": pa.array([x.tobytes() for x in out], pa.binary())})
+        packed = pa.array([x.tobytes() for x in out], pa.binary())
+        if parts:
+            return pa.Table.from_batches(list(_parts(chunk.column("chunk")[0].as_py() << PART_BITS, docs, packed)))
+        return pa.table({"id": docs, "n_tokens": pa.array([x.size for x in out], pa.int64()), "ids": packed})
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """(id, n_tokens, ids) of every row; ids are packed as little-endian
-    unsigned 32 bits.  A task holds the distinct words of one bucket, some
-    200 bytes each: give more ``buckets`` to a corpus of billions of them."""
+def _encoded(docs: DataFrame, vocabulary: str, pattern: str, id_col: str, text_col: str, buckets: int, parts: bool) -> DataFrame:
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType
     chunks = src.mapInArrow(_chunks(pattern, to_arrow_type(kind)), f"chunk long, ids array<{kind.simpleString()}>, sizes array<long>, "
@@ -302,9 +305,19 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     met = (chunks.mapInArrow(_requests(buckets), "chunk long, bucket int, words binary, word_sizes binary")
            .repartition("bucket").sortWithinPartitions("bucket"))
     answers = met.mapInArrow(_answers(vocabulary), "chunk long, bucket int, ids binary, counts binary")
-    out = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _together(buckets), f"id {kind.simpleString()}, n_tokens long, ids binary")
-    return out.withColumnRenamed("id", id_col)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _together(buckets, parts), _parts_schema(kind) if parts else f"id {kind.simpleString()}, n_tokens long, ids binary")
+
+
+def _parts_schema(kind: DataType) -> str:
+    return f"chunk long, token int, docs array<{kind.simpleString()}>, ids array<binary>"
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """(id, n_tokens, ids) of every row; ids are packed as little-endian
+    unsigned 32 bits.  A task holds the distinct words of one bucket, some
+    200 bytes each: give more ``buckets`` to a corpus of billions of them."""
+    return _encoded(docs, vocabulary, pattern, id_col, text_col, buckets, False).withColumnRenamed("id", id_col)
 
 
 def token_bytes(spark: SparkSession, vocabulary: str) -> DataFrame:
@@ -313,25 +326,28 @@ def token_bytes(spark: SparkSession, vocabulary: str) -> DataFrame:
     return spark.createDataFrame(rows, "token int, bytes binary")
 
 
-def _distinct_ids(batches):
-    """(id, ids) -> per chunk one row with its documents (token -1) and one
-    row per distinct token."""
-    key = TaskContext.get().partitionId() << 32
+def _parts(key: int, docs: pa.Array, ids: pa.Array):
+    """Parts of some ``CHUNK_IDS`` tokens: of each one row with its documents
+    (token -1) and one row per distinct token.  Returns the next key."""
+    size = np.cumsum([0, *(len(x.as_buffer()) // 4 for x in ids)])
+    first = 0
+    while first < len(docs):
+        last = max(first + 1, int(np.searchsorted(size, size[first] + CHUNK_IDS, "right")) - 1)
+        own = ids.slice(first, last - first)
+        found = np.unique(np.frombuffer(b"".join(own.to_pylist()), np.uint32)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.full(found.size + 1, len(x))]).astype(np.int32)), x)
+                 for x in (docs.slice(first, last - first), own)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(found.size + 1, key)), pa.array(np.concatenate([[-1], found]).astype(np.int32)), *lists],
+                                         names=["chunk", "token", "docs", "ids"])
+        key, first = key + 1, last
+    return key
 
-    def chunk(docs: pa.Array, ids: pa.Array):
-        found = np.unique(np.frombuffer(b"".join(ids.to_pylist()), np.uint32)).astype(np.int32)
-        empty = lambda a: pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.full(found.size + 1, len(a))]).astype(np.int32)), a)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(found.size + 1, key)), pa.array(np.concatenate([[-1], found]).astype(np.int32)),
-                                           empty(docs), empty(ids)], names=["chunk", "token", "docs", "ids"])
 
+def _distinct_ids(batches):
+    """(id, ids) -> parts."""
+    key = TaskContext.get().partitionId() << 32
     for b in batches:
-        size = np.cumsum([0, *(len(x.as_buffer()) // 4 for x in b.column(1))])
-        first = 0
-        while first < b.num_rows:
-            last = max(first + 1, int(np.searchsorted(size, size[first] + CHUNK_IDS, "right")) - 1)
-            yield chunk(b.column(0).slice(first, last - first), b.column(1).slice(first, last - first))
-            key, first = key + 1, last
+        key = yield from _parts(key, b.column(0), b.column(1))
 
 
 def _decoded(batches):
@@ -360,13 +376,23 @@ def _decoded(batches):
         yield chunk()
 
 
+def _from_parts(asked: DataFrame, vocabulary: str, kind: DataType, id_col: str) -> DataFrame:
+    found = asked.join(F.broadcast(token_bytes(asked.sparkSession, vocabulary)), "token", "left").select("chunk", "token", "docs", "ids", "bytes")
+    out = found.sortWithinPartitions("chunk", "token").mapInArrow(
+        _decoded, f"id {kind.simpleString()}, n_tokens long, ids binary, ids_sha256 string, decoded binary")
+    return out.withColumnRenamed("id", id_col)
+
+
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids, ids_sha256, decoded) of every row of (id, ids):
     the decoded bytes, and the hex digest of the decimal ids joined by commas
     (taken here, as a further Python step would be a further worker)."""
     src = encoded.select(F.col(id_col).alias("id"), F.col("ids"))
-    kind = src.schema["id"].dataType.simpleString()
-    asked = src.mapInArrow(_distinct_ids, f"chunk long, token int, docs array<{kind}>, ids array<binary>")
-    found = asked.join(F.broadcast(token_bytes(src.sparkSession, vocabulary)), "token", "left").select("chunk", "token", "docs", "ids", "bytes")
-    out = found.sortWithinPartitions("chunk", "token").mapInArrow(_decoded, f"id {kind}, n_tokens long, ids binary, ids_sha256 string, decoded binary")
-    return out.withColumnRenamed("id", id_col)
+    kind = src.schema["id"].dataType
+    return _from_parts(src.mapInArrow(_distinct_ids, _parts_schema(kind)), vocabulary, kind, id_col)
+
+
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """``decode(encode(docs))`` with one Python step less: the step that puts
+    ids together hands on the parts that decoding starts from."""
+    return _from_parts(_encoded(docs, vocabulary, pattern, id_col, text_col, buckets, True), vocabulary, docs.schema[id_col].dataType, id_col)

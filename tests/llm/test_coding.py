@@ -52,17 +52,19 @@ def test_words_and_merges_are_the_librarys(library):
 
 
 def check_ids(spark, docs, library):
-    done = wordbpe.decode(wordbpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY)
-    got, want = [], []
-    for r in done.collect():
-        ids = np.frombuffer(r["ids"], "<u4").tolist()
-        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-        got.append((r["doc_id"], bytes(r["decoded"]).decode(), ids))
+    want = []
     for r in docs.collect():
         text = r["text"] or ""
         want.append((r["doc_id"], text, library.encode_ordinary(text)))
     key = lambda x: (x[0] is None, x)
-    assert sorted(got, key=key) == sorted(want, key=key)
+    for done in (wordbpe.decode(wordbpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY),
+                 wordbpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN)):
+        got = []
+        for r in done.collect():
+            ids = np.frombuffer(r["ids"], "<u4").tolist()
+            assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            got.append((r["doc_id"], bytes(r["decoded"]).decode(), ids))
+        assert sorted(got, key=key) == sorted(want, key=key)
 
 
 def test_ids_of_documents(spark, library):
@@ -76,6 +78,17 @@ def test_ids_odd_and_empty(spark, library, monkeypatch):
     assert wordbpe.decode(wordbpe.encode(no_documents(spark), VOCABULARY, public_tokenizers.PATTERN), VOCABULARY).count() == 0
 
 
+def test_parts_hold_every_document_once(monkeypatch):
+    monkeypatch.setattr(wordbpe, "CHUNK_IDS", 4)
+    docs = [[3, 3, 9], [], [1], [7] * 9, [2, 5], [2]]
+    packed = pa.array([np.array(x, np.uint32).tobytes() for x in docs], pa.binary())
+    rows = [r for b in wordbpe._parts(40, pa.array(range(len(docs))), packed) for r in b.to_pylist()]
+    held = [(r["chunk"], r["docs"]) for r in rows if r["token"] == -1]
+    assert held == [(40, [0, 1, 2]), (41, [3]), (42, [4, 5])]
+    for chunk, own in held:
+        assert [r["token"] for r in rows if r["chunk"] == chunk] == [-1, *sorted({x for d in own for x in docs[d]})]
+
+
 def test_each_word_crosses_once_per_chunk(spark):
     docs = spark.createDataFrame([(i, "hot " * 1000) for i in range(50)], "doc_id long, text string").coalesce(1)
     chunks = docs.mapInArrow(wordbpe._chunks(public_tokenizers.PATTERN, pa.int64()),
