@@ -165,6 +165,11 @@ MART_KEYS = {
 }
 
 
+def sources(mart: str) -> set[str]:
+    """The staging models a mart reads."""
+    return {"stg_patients", "stg_encounters" if mart == "dim_patients" else FACTS[mart][1]}
+
+
 def build_marts(staging: dict[str, DataFrame], as_of_date=None) -> dict[str, DataFrame]:
     patients = staging["stg_patients"]
     return {"dim_patients": dim_patients(patients, staging["stg_encounters"], as_of_date),

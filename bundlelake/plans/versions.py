@@ -10,7 +10,9 @@ Layout under ``root`` (a shared folder):
 A build is written under a new label, audited from what was written, and
 only then published by appending one log row; a label is used once.  Readers resolve the
 current label as the newest log row, so a failed audit (or a crashed
-write) never changes what readers see.  Nothing is overwritten in place.
+write) never changes what readers see.  Nothing that was audited to the end
+is overwritten; a build that broke off before can be resumed under its label
+(``claim_label(resume=True)``): it starts anew and replaces what is there.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ REPORT_SCHEMA = "model string, test string, column string, violations long, fina
 
 
 class LabelTaken(ValueError):
-    """A build of that label was begun before; labels are used once."""
+    """A build of that label was begun before (or, when resuming, audited to the end)."""
 
 
 class NotPublishable(ValueError):
@@ -40,12 +42,18 @@ def version_path(root: str, label: str, table: str | None = None) -> str:
     return f"{p}/{table}" if table else p
 
 
-def claim_label(spark: SparkSession, root: str, label: str) -> None:
-    """Take a label for a new build, before anything is written under it."""
+def claim_label(spark: SparkSession, root: str, label: str, resume: bool = False) -> bool:
+    """Take a label for a new build, before anything is written under it.
+    With ``resume`` a label whose build broke off (no audit to the end) is
+    taken again, as when a scheduler retries a task; the earlier run must
+    have ended.  Returns whether something was begun under it before."""
     known = write_log(spark, root).select("label").unionByName(publish_log(spark, root).select("label"))
-    if known.where(F.col("label") == label).limit(1).count():
+    begun = known.where(F.col("label") == label).limit(1).count() > 0
+    if begun and not (resume and not audit_report(spark, root, label).where("final").limit(1).count()):
         raise LabelTaken(f"label {label!r} has been used under {root}")
-    _log_written(spark, root, label, [None])
+    if not begun:
+        _log_written(spark, root, label, [None])
+    return begun
 
 
 def _log_written(spark: SparkSession, root: str, label: str, names) -> None:
@@ -54,12 +62,13 @@ def _log_written(spark: SparkSession, root: str, label: str, names) -> None:
      .write.mode("append").parquet(f"{root.rstrip('/')}/_write_log"))
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, label: str) -> dict[str, DataFrame]:
-    """Write tables under a claimed label; returns them as read back."""
+def write_tables(tables: dict[str, DataFrame], root: str, label: str, resumed: bool = False) -> dict[str, DataFrame]:
+    """Write tables under a claimed label; returns them as read back.  Only a
+    ``resumed`` build replaces tables that are there."""
     out = {}
     for name, df in tables.items():
         p = version_path(root, label, name)
-        df.write.mode("errorifexists").parquet(p)
+        df.write.mode("overwrite" if resumed else "errorifexists").parquet(p)
         out[name] = df.sparkSession.read.parquet(p)
     if tables:
         _log_written(next(iter(tables.values())).sparkSession, root, label, list(tables))
@@ -87,11 +96,12 @@ def read_version(spark: SparkSession, root: str, table: str, label: str | None =
     return state.tables(kept["as_of"], kept["dedup_allergies"])[table]
 
 
-def point_to_state(spark: SparkSession, root: str, label: str, state_root: str, gen: int, as_of_date, dedup_allergies: bool) -> None:
+def point_to_state(spark: SparkSession, root: str, label: str, state_root: str, gen: int, as_of_date, dedup_allergies: bool,
+                   resumed: bool = False) -> None:
     """Make a claimed label stand for a generation of the state tables."""
     (spark.range(1).select(F.lit(state_root).alias("state_root"), F.lit(gen).cast("long").alias("gen"), F.coalesce(F.lit(as_of_date).cast("date"), F.current_date()).cast("string").alias("as_of"),
                            F.lit(dedup_allergies).alias("dedup_allergies"))
-     .write.parquet(version_path(root, label, "_state")))
+     .write.mode("overwrite" if resumed else "errorifexists").parquet(version_path(root, label, "_state")))
     _log_written(spark, root, label, ["_state"])
 
 
@@ -130,17 +140,25 @@ def list_versions(spark: SparkSession, root: str) -> DataFrame:
             .orderBy(F.col("written_at").desc_nulls_last(), F.col("label")))
 
 
-def audit_step(spark: SparkSession, root: str, label: str, tables: dict[str, DataFrame], checks, final: bool = True) -> int:
+def audit_step(spark: SparkSession, root: str, label: str, tables: dict[str, DataFrame], checks, final: bool = True,
+               first: bool = True) -> int:
     """Audit written tables once and keep the report with the version;
-    returns how many tests failed.  ``final``: no further step follows."""
-    return keep_report(spark, root, label, audit(tables, checks), final)
+    returns how many tests failed.  ``final``: no further step follows;
+    ``first``: none came before (a report of a build that broke off goes)."""
+    return keep_report(spark, root, label, audit(tables, checks), final, first)
 
 
-def keep_report(spark: SparkSession, root: str, label: str, report: DataFrame, final: bool = True) -> int:
-    report.withColumn("final", F.lit(final)).coalesce(1).write.mode("append").parquet(version_path(root, label, "_audit"))
+def keep_report(spark: SparkSession, root: str, label: str, report: DataFrame, final: bool = True, first: bool = True) -> int:
+    (report.withColumn("final", F.lit(final)).coalesce(1)
+     .write.mode("overwrite" if first else "append").parquet(version_path(root, label, "_audit")))
     return audit_report(spark, root, label).where("violations > 0").count()
 
 
+def failed_models(spark: SparkSession, root: str, label: str) -> set[str]:
+    """Models of the report's failed tests (at most one per model)."""
+    return {r["model"] for r in audit_report(spark, root, label).where("violations > 0").select("model").distinct().collect()}
+
+
 def outcome(spark: SparkSession, root: str, label: str) -> DataFrame:
     """The version's report with ``label`` and ``published``."""
     live = publish_log(spark, root).where(F.col("label") == label).limit(1).count() > 0
@@ -149,12 +167,12 @@ def outcome(spark: SparkSession, root: str, label: str) -> DataFrame:
 
 
 def write_audit_publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, label: str,
-                        checks=None) -> DataFrame:
+                        checks=None, resume: bool = False) -> DataFrame:
     """Write a build under a new label, audit what was written, publish if
     every test passes (a failed audit leaves the current label as it is).
     Returns the audit report with ``label`` and ``published``."""
-    claim_label(spark, root, label)
-    written = write_tables(tables, root, label)
+    resumed = claim_label(spark, root, label, resume)
+    written = write_tables(tables, root, label, resumed)
     if not audit_step(spark, root, label, written, checks if checks is not None else ALL_CHECKS):
         publish(spark, root, label)
     return outcome(spark, root, label)

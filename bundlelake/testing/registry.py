@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -649,12 +651,13 @@ def _read_version(spark, sf_dir):
 
 @register("pipeline_run", O.with_all(
     "SELECT model, test, \"column\", violations, 'v2' AS label, false AS published FROM ("
-    + O.audit_sql(Q.STAGING_CHECKS) + ") r"))
+    + O.audit_sql(Q.ALL_CHECKS) + ") r"))
 def _pipeline_run(spark, sf_dir):
     """Two scheduled runs over real bundle files.  Run 1 ingests the
     first load's files and builds v1; then the re-sent files arrive and
-    run 2 ingests only those (ledger), and audits v2's staging.  The audit
-    finds the re-sent allergies, so no marts are built on it."""
+    run 2 ingests only those (ledger), and builds and audits v2.  The audit
+    finds the re-sent allergies, which no mart reads, so the marts are built
+    too, and the observations of unknown patients; v2 does not go live."""
     raw = scratch_path(spark, "raw-bundles")
     root = scratch_path(spark, "lake")
     for load, label in ((1, "v1"), (2, "v2")):
@@ -664,6 +667,58 @@ def _pipeline_run(spark, sf_dir):
     return report
 
 
+# a sender that knows its patients: what was sent for an unknown one is patient 1's
+_KNOWN = O.STG_OBSERVATIONS.replace("'ghost-' || CAST(event_id AS VARCHAR)", "'pat-1'")
+
+
+@register("pipeline_run_clean", "SELECT * EXCLUDE (ingested_at), 'v2' AS label, CAST(" + str(len(Q.ALL_CHECKS)) + " AS BIGINT) AS n_passed FROM ("
+          + O.FCT_VITALS_BODY.replace(O.STG_OBSERVATIONS, _KNOWN) + ") t")
+def _pipeline_run_clean(spark, sf_dir):
+    """Two scheduled runs whose files pass every test, copies
+    of allergies merged.  Run 2 breaks off while it writes marts and is run
+    again under its label; it goes live.  Rows: ``fct_vitals`` as readers of
+    the current version see it, with the version's label and number of
+    passed tests."""
+    raw, root = scratch_path(spark, "raw-bundles"), scratch_path(spark, "lake")
+    for load, label in ((1, "v1"), (2, "v2")):
+        data = F.regexp_replace("data", r"urn:uuid:ghost-\d+", "urn:uuid:pat-1")
+        write_files(bundle_files(spark, sf_dir, load).select(F.col("file_path").alias("path"), data.alias("body")), raw).count()
+        if load == 2:
+            _left_by_a_broken_run(spark, root, label)
+        run_pipeline(spark, raw, root, label, mode="incremental", as_of_date=O.AS_OF_DATE_TEXT, dedup_allergies=True)
+    live = V.current_label(spark, root)
+    passed = V.audit_report(spark, root, live).where("violations = 0").count()
+    vitals = for_oracle(V.read_version(spark, root, "fct_vitals")).drop("ingested_at")
+    return vitals.withColumn("label", F.lit(live)).withColumn("n_passed", F.lit(passed).cast("long"))
+
+
+def _left_by_a_broken_run(spark, root: str, label: str) -> None:
+    """What a run leaves that claims its label, writes and audits a part of
+    its staging, and ends: tables of the version before under the new label."""
+    V.claim_label(spark, root, label)
+    old = {m: V.read_version(spark, root, m) for m in ("stg_patients", "stg_encounters", "dim_patients")}
+    V.write_tables(old, root, label)
+    V.audit_step(spark, root, label, old, [c for c in Q.STAGING_CHECKS if c.model in old], final=False)
+
+
+@register("wap_resume", O.with_marts("""
+SELECT l.label, refused, n * copies AS n, 'v4' AS current
+FROM (VALUES ('v1', 'LabelTaken', 1), ('v2', 'LabelTaken', 2), ('v3', 'LabelTaken', 1), ('v4', NULL, 1)) l(label, refused, copies),
+  (SELECT count(*) AS n FROM dim_patients) d
+""", "dim_patients"))
+def _wap_resume(spark, sf_dir):
+    """a build that broke off before its last audit is resumed under its
+    label and goes live; labels audited to the end are refused, passed or
+    not, and keep their rows."""
+    root = _dim_versions(spark, sf_dir)
+    dim = _b(spark, sf_dir).layers()["dim_patients"]
+    checks = [c for c in Q.MART_CHECKS if c.model == "dim_patients"]
+    labels = ["v1", "v2", "v3", "v4"]
+    done = _attempts(spark, root, lambda x: V.write_audit_publish(spark, {"dim_patients": dim}, root, x, checks, resume=True), labels)
+    n = [V.read_version(spark, root, "dim_patients", x).agg(F.count("*").alias("n")).withColumn("label", F.lit(x)) for x in labels]
+    return done.join(reduce(DataFrame.unionByName, n), "label").withColumn("current", F.lit(V.current_label(spark, root)))
+
+
 # encounters sent again under another patient
 _MOVED = "CASE WHEN o_orderkey % 11 = 3 AND o_custkey % 5 = 0 THEN 1 ELSE o_custkey END"
 

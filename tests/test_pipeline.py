@@ -187,3 +187,41 @@ def test_stream_typed_mode_matches_batch_mode(spark, tmp_root):
         cols = [c for c in a.columns if c not in ("dbt_processed_at", "dbt_updated_at", "ingested_at",
                                                    "ingestion_timestamp")]
         assert sorted(a.select(cols).collect(), key=repr) == sorted(b.select(cols).collect(), key=repr)
+
+
+def typed_fixture(spark, tmp_root):
+    from bundlelake.testing.build import written_fixture
+    return written_fixture(spark, SF, (1,))[1]
+
+
+def test_a_failed_model_stops_only_what_reads_it(spark, tmp_root):
+    from bundlelake.plans.pipeline import build_version
+    typed = typed_fixture(spark, tmp_root)
+    never = Q.Check("stg_conditions", "accepted_values", "condition_id", ("none of them",))
+    checks = [c for c in Q.ALL_CHECKS if not (c.model == "fct_vitals" and c.test == "relationships")] + [never]
+    rep = build_version(spark, typed, tmp_root, "v1", "2024-12-31", checks).collect()
+    assert len(rep) == len(checks) and not any(r.published for r in rep)
+    assert {r.model for r in rep if r.violations} == {"stg_conditions"}
+    assert {r.model for r in rep if r.violations is None} == {"fct_conditions"}
+    tables = V.list_versions(spark, tmp_root).first().tables
+    assert "fct_vitals" in tables and "fct_conditions" not in tables
+    # patients are read by every mart
+    never = Q.Check("stg_patients", "accepted_values", "patient_id", ("none of them",))
+    rep = build_version(spark, typed, tmp_root, "v2", "2024-12-31", [never, *Q.MART_CHECKS]).collect()
+    assert sum(r.violations is None for r in rep) == len(Q.MART_CHECKS) and not any(r.published for r in rep)
+    with pytest.raises(V.NotPublishable):
+        V.publish(spark, tmp_root, "v2")
+
+
+def test_a_broken_run_is_resumed_under_its_label(spark, tmp_root):
+    first, second = {"dim_patients": patients(spark, "a")}, {"dim_patients": patients(spark, "b", "c")}
+    assert not V.claim_label(spark, tmp_root, "v1")
+    V.write_tables(first, tmp_root, "v1")
+    V.audit_step(spark, tmp_root, "v1", first, DIM[:1], final=False)
+    with pytest.raises(V.LabelTaken):
+        V.write_audit_publish(spark, second, tmp_root, "v1", DIM)
+    rep = V.write_audit_publish(spark, second, tmp_root, "v1", DIM, resume=True)
+    assert rep.count() == len(DIM) and rep.first().published
+    assert sorted(r.patient_id for r in V.read_version(spark, tmp_root, "dim_patients").collect()) == ["b", "c"]
+    with pytest.raises(V.LabelTaken):
+        V.write_audit_publish(spark, first, tmp_root, "v1", DIM, resume=True)
