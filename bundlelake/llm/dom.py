@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style noscript template iframe svg math object canvas audio video map noembed noframes "
+HIDDEN = frozenset("head script style noscript template iframe svg object canvas audio video map noembed noframes "
                    "textarea select option button datalist title".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp noscript".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -54,6 +54,7 @@ def parse(page: str | None) -> Tree:
     page, tree = page or "", Tree()
     tree.add("#document", -1)
     stack, at, size = [0], 0, len(page)
+    places: dict[str, list[int]] = {}  # of a tag's open elements in the stack
 
     def text(upto: int) -> None:
         if upto > at:
@@ -63,14 +64,16 @@ def parse(page: str | None) -> Tree:
             else:
                 tree.add("#text", stack[-1], text=words)
 
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def close(names, holders) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = tree.tag[stack[i]]
-            if tag in names:
-                del stack[i:]
-                return
-            if tag in holders:
-                return
+        """Ends the innermost of ``names`` unless a holder is open inside it."""
+        i = innermost(names)
+        if i and i >= innermost(holders):
+            for node in stack[i:]:
+                places[tree.tag[node]].pop()
+            del stack[i:]
 
     while at < size:
         lt = page.find("<", at)
@@ -95,7 +98,7 @@ def parse(page: str | None) -> Tree:
             for _ in range(3):  # a cell, its row, its section
                 if start in ENDS:
                     close(*ENDS[start])
-            if start in {"html", "head", "body"} and start in [tree.tag[i] for i in stack]:
+            if start in {"html", "head", "body"} and places.get(start):
                 continue
             if start == "body":
                 close({"head"}, set())
@@ -105,5 +108,6 @@ def parse(page: str | None) -> Tree:
                 found = re.compile(f"</{re.escape(start)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(page, at)
                 at = found.end() if found else size
             elif start not in VOID:
+                places.setdefault(start, []).append(len(stack))
                 stack.append(node)  # as in HTML, a slash at the end does not end it
     return tree
