@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 QUERIES = 2048        # queries of a tile
 BLOCK = 2048          # candidates of a product
 TILES_PER_CORE = 4
+RECHECK = 1 << 22     # components recomputed together, whatever the dimension
 _SLAB = 1024          # dimensions whose int8 products add up exactly in float32
 _ULP = 1e-9           # covers the rounding of the bounds themselves
 
@@ -83,8 +84,9 @@ class _Tile:
         if low.shape[1] >= self.k:
             floor = np.maximum(floor, np.partition(low, low.shape[1] - self.k, axis=1)[:, -self.k])
         qi, ci = np.nonzero((near + off >= floor[:, None]) & ~own)
-        for s in range(0, qi.size, 1 << 16):
-            a, b = qi[s:s + (1 << 16)], ci[s:s + (1 << 16)]
+        step = max(1, RECHECK // dim)
+        for s in range(0, qi.size, step):
+            a, b = qi[s:s + step], ci[s:s + step]
             score = (q.x[a] * c.x[b]).sum(axis=1) / (q.norm[a] * c.norm[b])
             # a query's k best of these, then its heap
             order = np.lexsort((c.ids[b], -score, a))

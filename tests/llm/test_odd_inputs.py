@@ -89,3 +89,45 @@ def test_neighbours_odd_and_empty(spark):
     out = knn.nearest(df.where("vec_id % 50 = 0"), df, 5).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in out] == [(0, 1, 1), (0, 2, 2), (0, 3, 10), (50, 1, 9)]
     assert knn.nearest(df.limit(0), df.limit(0), 5).count() == 0
+
+
+def test_nesting_costs_linear_time_and_closes_as_before():
+    import time
+
+    from bundlelake.llm.dom import parse
+    begun = time.process_time()
+    for page in ("<div>" * 100_000 + "deep", "<p><button>" + "<div>" * 100_000 + "deep", "<table><tr><td><p>" + "<section><b>" * 50_000 + "deep</p>" * 1000):
+        tree = parse(page)
+        assert tree.text[-1].endswith("deep")
+    assert time.process_time() - begun < 10
+    tree = parse("<ul><li>a<p>b<li>c<ul><li>d</ul>e</ul><p>f<table><tr><td><p>g<td>h<tr><td>i</table><body>j")
+    up = {t: tree.tag[tree.parent[i]] for i, t in enumerate(tree.text) if t}
+    assert up == {"a": "li", "b": "p", "c": "li", "d": "li", "e": "li", "f": "p", "g": "p", "h": "td", "i": "td", "j": "body"}
+
+
+def test_mathematics_is_text_of_the_article():
+    from bundlelake.llm.dom import HIDDEN, parse
+    tree = parse("<p>Energy <math><mi>E</mi></math> is given.</p>")
+    assert not HIDDEN & set(tree.tag)
+
+
+def test_recheck_of_wide_vectors_is_bounded(monkeypatch):
+    """One product of wide vectors, every pair of which is recomputed."""
+    import tracemalloc
+
+    import numpy as np
+
+    from bundlelake.llm import knn
+    x = np.ones((700, 768)) + np.random.default_rng(1).normal(0, 1e-7, (700, 768))
+    tile, side = knn._Tile(5), knn._Side(np.arange(700), x)
+    tile.ask(768, side)
+    tracemalloc.start()
+    tile.see(768, knn._Side(np.arange(1000, 1700), x[::-1]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    found = tile.found().to_pydict()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    best = np.sort((unit[:3] @ unit[::-1].T), axis=1)[:, ::-1][:, :5]
+    got = np.sort(np.array(found["score"]).reshape(-1, 5)[:3], axis=1)[:, ::-1]
+    assert np.allclose(got, best, atol=1e-12)
