@@ -7,10 +7,17 @@ with the same columns.  Size and per-run limits are the caller's choice
 (none by default); whatever a run leaves out because of its size or its
 bytes is written to the landing table's ``_skipped`` table.
 
-Layout of a landing table at ``root``: ``<generation>/`` with the rows,
-``_generations`` (one row per full refresh, the newest names the current
-folder) and ``_skipped``.  A full refresh writes a new generation and
-switches by one log row, so a crash leaves readers on the old one.
+Layout of a landing table at ``root``: ``<generation>/outcome=landed`` with
+the rows, ``<generation>/outcome=rejected`` with what the same writes could
+not land (no bodies), ``_generations`` (one row per full refresh, the newest
+names the current folder) and ``_skipped``, which holds each reject once.  A
+full refresh writes a new generation and switches by one log row, so a crash
+leaves readers on the old one.
+
+Bodies are opened once: what is pending is found from the listing's metadata
+alone, the scan of bodies starts at the oldest pending file (a filter that
+the source applies before it opens a file), and one write sorts the files by
+outcome, with the counts taken on the way.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bundlelake.schemas import LANDING_SCHEMA
@@ -29,7 +36,9 @@ MAX_FILE_BYTES = 3 * 1024 * 1024
 MAX_FILES_PER_RUN = 100
 
 FIRST_GENERATION = "g0"
-SKIPPED_SCHEMA = "file_path string, length long, reason string, seen_at timestamp"
+SKIPPED_SCHEMA = "file_path string, length long, reason string, seen_at timestamp, modified_at timestamp"
+REJECTED_SCHEMA = "file_path string, length long, reason string, ingestion_timestamp timestamp, modified_at timestamp"
+NOT_UTF8, TOO_LARGE, NO_CONTENT = "not UTF-8", "too large", "no content"
 
 
 def list_raw_files(spark: SparkSession, prefix: str, glob: str | None = "*.json", modified_after: str | None = None) -> DataFrame:
@@ -123,7 +132,11 @@ def generation(spark: SparkSession, root: str) -> str:
 
 
 def data_path(spark: SparkSession, root: str) -> str:
-    return f"{root.rstrip('/')}/{generation(spark, root)}"
+    return landed_path(root, generation(spark, root))
+
+
+def landed_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/outcome=landed"
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
@@ -142,14 +155,89 @@ def append_landing(rows: DataFrame, root: str) -> None:
      .write.mode("append").parquet(data_path(rows.sparkSession, root)))
 
 
-def record_skipped(files: DataFrame, root: str, seen_at) -> None:
+def record_skipped(files: DataFrame, root: str, seen_at, n: int | None = None) -> None:
     """Add what is not on record yet (a file rejected again as it was adds
-    nothing)."""
-    known = read_skipped(files.sparkSession, root).select("file_path", "length", "reason")
-    (files.join(known, ["file_path", "length", "reason"], "left_anti").withColumn("seen_at", F.lit(str(seen_at)).cast("timestamp"))
+    nothing).  ``n``: how many files these are, where that is known."""
+    if n == 0:
+        return
+    known = read_skipped(files.sparkSession, root).select(
+        F.col("file_path").alias("_path"), F.col("length").alias("_length"), F.col("reason").alias("_reason"), F.col("modified_at").alias("_at"))
+    same = ((F.col("file_path") == F.col("_path")) & F.col("length").eqNullSafe(F.col("_length")) & (F.col("reason") == F.col("_reason"))
+            & F.col("modified_at").eqNullSafe(F.col("_at")))
+    (files.join(known, same, "left_anti").withColumn("seen_at", F.lit(str(seen_at)).cast("timestamp"))
+     .select("file_path", "length", "reason", "seen_at", "modified_at")
      .hint("rebalance").write.mode("append").parquet(f"{root.rstrip('/')}/_skipped"))
 
 
+def _modified(manifest: DataFrame) -> Column:
+    """When a file was changed last, where the manifest knows it."""
+    return F.col("modificationTime") if "modificationTime" in manifest.columns else F.lit(None).cast("timestamp")
+
+
+def outcomes(readable: DataFrame, ingestion_timestamp, large: DataFrame | None = None) -> DataFrame:
+    """One row per file of a run: its text, or the reason why it has none.
+    Of ``large`` (too large to be taken) bodies are not read."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    reason = F.when(F.col("content").isNull(), NO_CONTENT).when(text.isNull(), NOT_UTF8)
+    files = readable.select(F.col("path").alias("file_path"), text.alias("data"), "length", _modified(readable).alias("modified_at"),
+                            reason.alias("reason"))
+    if large is not None:
+        files = files.unionByName(large.select(F.col("path").alias("file_path"), F.lit(None).cast("string").alias("data"), "length",
+                                               _modified(large).alias("modified_at"), F.lit(TOO_LARGE).alias("reason")))
+    return (files.withColumn("ingestion_timestamp", F.lit(str(ingestion_timestamp)).cast("timestamp"))
+            .withColumn("outcome", F.when(F.col("reason").isNull(), "landed").otherwise("rejected")))
+
+
+def land(files: DataFrame, root: str, name: str, ingestion_timestamp) -> int:
+    """Write a run's ``outcomes`` into a generation, in one pass, and put its
+    rejects on record.  Returns the number of files landed.  The counts are
+    taken behind the exchange, in the stage that writes: a task that is
+    repeated counts once."""
+    spark, at = files.sparkSession, f"{root.rstrip('/')}/{name}"
+    seen = Observation()
+    (files.hint("rebalance").observe(seen, F.count_if(F.col("reason").isNull()).alias("landed"), F.count("reason").alias("rejected"))
+     .write.mode("append").partitionBy("outcome").parquet(at))
+    counts = seen.get
+    if not counts.get("landed"):  # readers and streams expect the folder
+        spark.createDataFrame([], LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landed_path(root, name))
+    of_run = read_or_empty(spark, f"{at}/outcome=rejected", REJECTED_SCHEMA).where(
+        F.col("ingestion_timestamp") == F.lit(str(ingestion_timestamp)).cast("timestamp"))
+    record_skipped(of_run, root, ingestion_timestamp, counts.get("rejected"))
+    return counts.get("landed") or 0
+
+
+def unchanged_rejects(files: DataFrame, skipped_files: DataFrame) -> DataFrame:
+    """Files whose bytes an earlier run could not decode and that have not
+    been changed since, so need not be opened again.  None where the manifest
+    does not know when files were changed."""
+    known = skipped_files.where((F.col("reason") == NOT_UTF8) & F.col("modified_at").isNotNull()).select(
+        F.col("file_path").alias("_path"), F.col("length").alias("_length"), F.col("modified_at").alias("_at")).distinct()
+    return files.join(known, (F.col("path") == F.col("_path")) & (F.col("length") == F.col("_length")) & (_modified(files) == F.col("_at")), "left_semi")
+
+
+def to_land(manifest: DataFrame, landing: DataFrame, skipped_files: DataFrame) -> DataFrame:
+    """Metadata ``(path, length[, modificationTime])`` of the files a run has
+    to look at: not landed, and not rejected as they are now."""
+    names = [c for c in ("path", "source_path", "length", "modificationTime") if c in manifest.columns]
+    todo = pending(json_keys(manifest).select(*names), landing)
+    if "modificationTime" not in names:
+        return todo
+    return todo.join(unchanged_rejects(todo, skipped_files).select(F.col("path").alias("_known")), F.col("path") == F.col("_known"), "left_anti")
+
+
+def bodies(manifest: DataFrame, todo: DataFrame) -> DataFrame:
+    """The manifest's rows of the files to be landed.  The source opens no
+    file older than the oldest of them; in an hourly run that leaves the new
+    files.  The join is against those few names, not against the ledger, so
+    it moves no bodies where they are few enough to be broadcast."""
+    if "modificationTime" in manifest.columns:
+        oldest = todo.agg(F.min("modificationTime").alias("t")).first()["t"]
+        if oldest is None:
+            return manifest.where(F.lit(False))
+        manifest = manifest.where(F.col("modificationTime") >= F.lit(oldest))
+    return manifest.join(todo.select(F.col("path").alias("_todo")), F.col("path") == F.col("_todo"), "left_semi")
+
+
 def batch_cap(candidates: DataFrame, max_files: int, known_rejects: DataFrame | None = None) -> DataFrame:
     """The first ``max_files`` candidates by path, chosen from metadata alone
     (a top-k).  Files an earlier run rejected come last, so they never keep
@@ -194,24 +282,20 @@ def ingest_incremental(spark: SparkSession, manifest: DataFrame, landing_path: s
     The batch is read against the landing snapshot as of the start of the
     run and appended in one write (single writer assumed, as in the
     reference's hourly job).  Files left out for their size or bytes are
-    recorded and tried again by every later run.  Rows added are counted by
-    their load time, a filter the Parquet scan prunes with row-group
-    statistics.
+    recorded.  A later run tries them again: those too large whenever its
+    limit allows, undecodable ones when they have been changed (always, if
+    the manifest does not tell when files were changed).
     """
     ts = str(ingestion_timestamp) if ingestion_timestamp is not None else run_timestamp(spark)
-    candidates = pending(json_keys(manifest), read_landing(spark, landing_path))
-    chosen = size_guard(candidates, max_bytes)
-    if max_files is not None:
-        chosen = batch_cap(chosen, max_files, read_skipped(spark, landing_path))
-    append_landing(stamp(decode(chosen), ts), landing_path)
-    rejects = decode_rejects(chosen).withColumn("reason", F.lit("not UTF-8"))
-    if max_bytes is not None:
-        large = candidates.where(F.col("length") > F.lit(max_bytes))
-        rejects = rejects.unionByName(large.select(F.col("path").alias("file_path"), "length", F.lit("too large").alias("reason")))
-    landed = read_landing(spark, landing_path).where(F.col("ingestion_timestamp") == F.lit(ts).cast("timestamp"))
-    # of this run's files, those that have not just been landed
-    record_skipped(rejects.join(landed.select("file_path"), "file_path", "left_anti"), landing_path, ts)
-    return landed.count()
+    on_record = read_skipped(spark, landing_path)
+    todo = to_land(manifest, read_landing(spark, landing_path), on_record)
+    large = None if max_bytes is None else todo.where(F.col("length") > F.lit(max_bytes))
+    fit = size_guard(todo, max_bytes)
+    if max_files is None:
+        chosen = bodies(manifest, fit)
+    else:
+        chosen = batch_cap(bodies(manifest, fit), max_files, on_record)
+    return land(outcomes(chosen, ts, large), landing_path, generation(spark, landing_path), ts)
 
 
 def full_refresh_rows(manifest: DataFrame, max_bytes: int | None = None, ingestion_timestamp=None) -> DataFrame:
@@ -226,9 +310,9 @@ def ingest_full_refresh(spark: SparkSession, manifest: DataFrame, landing_path:
     root = landing_path.rstrip("/")
     ts = str(ingestion_timestamp) if ingestion_timestamp is not None else run_timestamp(spark)
     new = f"g-{uuid.uuid4().hex[:12]}"
-    full_refresh_rows(manifest, max_bytes, ts).hint("rebalance").write.parquet(f"{root}/{new}")
-    record_skipped(skipped(json_keys(manifest), max_bytes), landing_path, ts)  # also where nothing lands
-    if read_or_empty(spark, f"{root}/{new}", LANDING_SCHEMA).isEmpty():
+    files = json_keys(manifest)
+    large = None if max_bytes is None else files.where(F.col("length") > F.lit(max_bytes))
+    if not land(outcomes(size_guard(files, max_bytes), ts, large), root, new, ts):  # its rejects are on record all the same
         return False
     spark.range(1).select(F.lit(new).alias("generation"), F.current_timestamp().alias("at")) \
         .write.mode("append").parquet(f"{root}/_generations")

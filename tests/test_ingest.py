@@ -149,6 +149,65 @@ def test_failed_refresh_leaves_the_old_generation(spark, tmp_root, monkeypatch):
     assert L.read_landing(spark, lp).count() == 1
 
 
+def test_bodies_are_opened_once_and_only_from_the_oldest_pending_file_on(spark, tmp_root):
+    raw, lp = os.path.join(tmp_root, "raw"), os.path.join(tmp_root, "landing")
+    for i in range(6):
+        put(raw, f"n{i}.json", b'{"n":1}')
+        os.utime(os.path.join(raw, f"n{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    m = manifest(spark, raw)
+    run = L.outcomes(L.bodies(m, L.to_land(m, L.read_landing(spark, lp), L.read_skipped(spark, lp))), "2024-01-01 00:00:00")
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan binaryFile" in x]
+    assert sum("content" in x.split("Batched")[0] for x in scans) == 1
+    assert L.ingest_incremental(spark, m, lp) == 6
+
+    for name in ("late.json", "bad.json"):
+        put(raw, name, b"\xff" if name == "bad.json" else b"{}")
+        os.utime(os.path.join(raw, name), (1_800_000_000, 1_800_000_000))
+    m = manifest(spark, raw)
+    todo = L.to_land(m, L.read_landing(spark, lp), L.read_skipped(spark, lp))
+    assert sorted(r.path for r in todo.collect()) == ["raw/bad.json", "raw/late.json"]
+    plan = L.bodies(m, todo)._jdf.queryExecution().executedPlan().toString()
+    assert any("GreaterThanOrEqual(modificationTime" in x and "content" in x for x in plan.splitlines() if "FileScan binaryFile" in x)
+    # the filter alone, without the join, leaves the old files closed
+    oldest = todo.agg(F.min("modificationTime").alias("t")).first()["t"]
+    assert m.where(F.col("modificationTime") >= F.lit(oldest)).count() == 2
+    assert L.ingest_incremental(spark, m, lp) == 1
+    # rejected and unchanged: not opened again; changed: tried again
+    assert L.to_land(m, L.read_landing(spark, lp), L.read_skipped(spark, lp)).isEmpty()
+    assert L.ingest_incremental(spark, m, lp) == 0
+    put(raw, "bad.json", b"{}")
+    assert L.ingest_incremental(spark, manifest(spark, raw), lp) == 1
+    assert L.read_landing(spark, lp).count() == 8 and L.read_skipped(spark, lp).count() == 1
+
+
+def test_every_file_has_one_outcome(spark, tmp_root):
+    rows = [("a.json", 2, b"{}"), ("b.json", 2, b"\xff\xfe"), ("c.json", 0, None), ("d.json", 9, b"123456789"), ("e.txt", 1, b"x")]
+    m = spark.createDataFrame(rows, "path string, length long, content binary")
+    lp = os.path.join(tmp_root, "landing")
+    assert L.ingest_incremental(spark, m, lp, max_bytes=8) == 1
+    assert {(r.file_path, r.reason) for r in L.read_skipped(spark, lp).collect()} == {
+        ("b.json", "not UTF-8"), ("c.json", "no content"), ("d.json", "too large")}
+    assert L.ingest_incremental(spark, m, lp, max_bytes=8) == 0
+    assert L.read_skipped(spark, lp).count() == 3
+    assert L.ingest_incremental(spark, m, lp) == 1  # the limit is gone
+    assert sorted(r.file_path for r in L.read_landing(spark, lp).collect()) == ["a.json", "d.json"]
+
+
+def test_unchanged_rejects_are_left_alone_by_the_stream(spark, tmp_root):
+    from bundlelake.streaming.ingest import due_again
+    raw, lp, ck = (os.path.join(tmp_root, x) for x in ("raw", "landing", "ckpt"))
+    for i in range(40):
+        put(raw, f"bad{i}.json", b"\xff%d" % i)
+    assert run_available_now(spark, raw, lp, ck) == {"batches": 1, "rows": 0, "retried": 0}
+    put(raw, "bad7.json", b"{}")
+    listed = L.relative_paths(L.list_raw_files(spark, raw), raw).drop("content")
+    due = due_again(listed, L.read_skipped(spark, lp), L.read_landing(spark, lp))
+    assert [r.path for r in due.collect()] == ["bad7.json"]
+    assert run_available_now(spark, raw, lp, ck)["retried"] == 1
+    assert run_available_now(spark, raw, lp, ck)["retried"] == 0
+
+
 def test_refresh_that_lands_nothing_records_why(spark, tmp_root):
     bad = spark.createDataFrame([("a.json", 2, b"\xff\xfe")], "path string, length long, content binary")
     at = os.path.join(tmp_root, "landing")
