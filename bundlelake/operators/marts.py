@@ -47,9 +47,10 @@ def patient_encounter_stats(encounters: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_encounters"))
 
 
-def dim_patients(patients: DataFrame, encounters: DataFrame, as_of_date=None,
-                 updated_at: Column | None = None) -> DataFrame:
-    stats = patient_encounter_stats(encounters).withColumnRenamed("patient_id", "_pid")
+def dim_patients(patients: DataFrame, encounters: DataFrame | None, as_of_date=None,
+                 updated_at: Column | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """``stats``: the patients' encounter stats, where they are at hand."""
+    stats = (patient_encounter_stats(encounters) if stats is None else stats).withColumnRenamed("patient_id", "_pid")
     p = patients
     j = p.join(stats, p["patient_id"] == stats["_pid"], "left")
     return j.select(

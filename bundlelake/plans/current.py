@@ -10,7 +10,9 @@ is already there: only the new rows move.
 Besides the models there is one table of links (patient, model, id),
 bucketed by patient, which finds the facts of a patient sent again without
 a scan of all facts.  A link is never withdrawn; the row it leads to tells
-whom it belongs to now.
+whom it belongs to now.  And there is one table of counted encounter days per
+patient: moved and withdrawn encounters are taken off it again, so a
+patient's first, last and number of encounters need no look at the history.
 
 Layout below ``root/state``: ``_log`` (generations begun and completed, with
 the loads they hold), ``<era>/<table>``.  ``compact`` folds the generations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from bundlelake.operators import marts as M
-from bundlelake.operators import quality
+from bundlelake.operators import partials, quality
 from bundlelake.operators.quality import Check
 from bundlelake.operators.staging import stage_typed
 from bundlelake.schemas import STAGING_SPECS, typed_schema
@@ -38,9 +40,10 @@ from bundlelake.sources.landing import read_or_empty
 
 LOG_SCHEMA = "era string, gen long, buckets int, load string, n long, completed boolean, at timestamp"
 LINKS = "links"
+DAYS = "visit_days"
 AT_ONCE = 8  # appends running side by side: most are small
 FACT_OF = {model: (mart, fn) for mart, (fn, model) in M.FACTS.items()}
-KEYS = {m: s["key"] for m, s in STAGING_SPECS.items()} | M.MART_KEYS | {LINKS: "patient_id"}
+KEYS = {m: s["key"] for m, s in STAGING_SPECS.items()} | M.MART_KEYS | {LINKS: "patient_id", DAYS: "patient_id"}
 
 
 class State:
@@ -98,6 +101,8 @@ def _schema(table: str) -> StructType:
     spark = SparkSession.active()
     if table == LINKS:
         return StructType().add("patient_id", "string").add("model", "string").add("id", "string")
+    if table == DAYS:
+        return StructType().add("patient_id", "string").add("start_time", "date").add("n", "long")
     nothing = spark.createDataFrame([], typed_schema())
     if table in STAGING_SPECS:
         return stage_typed(nothing, table, dedup=False, keep_pos=True).schema
@@ -200,17 +205,27 @@ def apply(spark: SparkSession, root: str, typed: DataFrame, loads: list[tuple[st
         ids = fresh[model].select(F.col(key).alias("_id")).unionByName(linked).distinct()
         return now.merged(model, among(now.rows(model), key, ids))
 
+    def days() -> DataFrame:
+        """What encounters that came, went or moved change in counted days."""
+        if before is None or now.rows(DAYS).isEmpty():  # nothing was counted yet
+            return partials.visit_days(None, now.staging("stg_encounters"))
+        ids = fresh["stg_encounters"].select(F.col("encounter_id").alias("_id")).distinct()
+        was, new_rows = (x.merged("stg_encounters", among(x.rows("stg_encounters"), "encounter_id", ids)) for x in (before, now))
+        return partials.visit_days(was, new_rows)
+
     def dimension() -> DataFrame:
-        visits = fresh["stg_encounters"].select("encounter_id", "patient_id")
-        touched = resent.unionByName(visits.select("patient_id"))
-        if before is not None:
-            was = among(before.rows("stg_encounters"), "encounter_id", visits.select(F.col("encounter_id").alias("_id")).distinct())
-            touched = touched.unionByName(before.merged("stg_encounters", was).select("patient_id"))
-        touched = touched.where("patient_id is not null").distinct()
-        again = now.merged("stg_patients", among(now.rows("stg_patients"), "patient_id", touched.select(F.col("patient_id").alias("_id"))))
-        return M.dim_patients(again, changed("stg_encounters", touched), as_of_date)
-
-    jobs = [lambda: now.append("dim_patients", dimension())]
+        counted = now.rows(DAYS)
+        touched = resent.unionByName(counted.where((F.col("_gen") == now.gen) & F.col("patient_id").isNotNull()).select("patient_id")).distinct()
+        ids = touched.select(F.col("patient_id").alias("_id"))
+        again = now.merged("stg_patients", among(now.rows("stg_patients"), "patient_id", ids))
+        stats = partials.patient_stats(counted.drop("_gen").join(ids, F.col("patient_id") == F.col("_id"), "left_semi"))
+        return M.dim_patients(again, None, as_of_date, stats=stats)
+
+    def count_and_build() -> None:
+        now.append(DAYS, days())
+        now.append("dim_patients", dimension())
+
+    jobs = [count_and_build]
     for m in facts:
         mart, build = FACT_OF[m]
         jobs.append(lambda m=m, mart=mart, build=build: now.append(mart, build(changed(m, resent), patients)))
@@ -228,6 +243,7 @@ def compact(spark: SparkSession, root: str, buckets: int | None = None) -> State
     tables = {m: before.merged(m, before.rows(m).withColumn("_at", F.col("_pos"))).withColumnRenamed("_at", "_pos") for m in STAGING_SPECS}
     tables |= {m: before.merged(m, before.rows(m)) for m in M.MART_KEYS}
     tables[LINKS] = before.rows(LINKS).drop("_gen").distinct()
+    tables[DAYS] = partials.visit_days(None, before.staging("stg_encounters"))
     _side_by_side([lambda t=t, df=df: now.append(t, df) for t, df in tables.items()])
     held = _log(spark, root).where("completed and load is not null").groupBy("load").agg(F.max_by("n", "gen").alias("n")).collect()
     _note(now, [(r["load"], r["n"]) for r in held], True)

@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 from bundlelake.functions.json import json_scalar, strip_ref
 from bundlelake.operators import incremental as INC
 from bundlelake.operators import marts as M
+from bundlelake.operators import partials as P
 from bundlelake.operators import quality as Q
 from bundlelake.operators import serving as S
 from bundlelake.operators.entries import bundle_entries, entries_of_type, entry_type_counts, malformed_bundles
 from bundlelake.operators.staging import cast_rejects, dedup_latest, flatten, model_types
 from bundlelake.plans import current as CUR
+from bundlelake.plans import rollups as R
 from bundlelake.plans import versions as V
 from bundlelake.plans.pipeline import run_pipeline, update_typed_entries
 from bundlelake.schemas import STAGING_SPECS
 from bundlelake.session import apply_conf, scratch_path
 from bundlelake.sources import landing as L
-from bundlelake.streaming.ingest import run_available_now
+from bundlelake.streaming.ingest import due_again, run_available_now
 from bundlelake.testing import manifests as DM
 from bundlelake.testing import oracle as O
 from bundlelake.testing.build import Build
@@ -498,6 +500,25 @@ def _stream_then_batch(spark, sf_dir):
     return _chars(L.read_landing(spark, landing))
 
 
+@register("stream_retry_due", f"""
+SELECT path, length + (CASE WHEN doc_id % 2 = 1 AND {O.DOC_BAD} THEN 1 ELSE 0 END) AS length
+FROM ({O.DOC_PENDING}) t WHERE ({O.DOC_BAD} AND doc_id % 2 = 1 AND length < 2 * {DM.DOC_SIZE_LIMIT})
+  OR (NOT ({_SIZE}) AND length <= 2 * {DM.DOC_SIZE_LIMIT} AND NOT ({O.DOC_BAD} AND doc_id % 2 = 1))
+""")
+def _stream_retry_due(spark, sf_dir):
+    """A10: which rejects of a run with a size limit the next run tries again,
+    whose limit is twice as large: those that now fit, and the undecodable
+    ones that were changed since (odd documents: one byte longer)."""
+    path = _seeded_landing(spark, sf_dir)
+    m = DM.document_manifest(spark, sf_dir).withColumn("modificationTime", F.lit("2024-03-31 12:00:00").cast("timestamp"))
+    L.ingest_incremental(spark, m, path, max_bytes=DM.DOC_SIZE_LIMIT, ingestion_timestamp="2024-04-01 00:00:00")
+    doc = F.regexp_extract("path", r"(\d+)\.json$", 1).try_cast("long")
+    changed = (doc % 17 == 5) & (doc % 2 == 1)
+    now = m.select("path", F.when(changed, F.col("length") + 1).otherwise(F.col("length")).alias("length"),
+                   F.when(changed, F.lit("2024-04-01 12:00:00").cast("timestamp")).otherwise(F.col("modificationTime")).alias("modificationTime"))
+    return due_again(now, L.read_skipped(spark, path), L.read_landing(spark, path), 2 * DM.DOC_SIZE_LIMIT).select("path", "length")
+
+
 @register("full_refresh_generation", f"""
 SELECT resource_type, count(*) AS n_entries FROM ({O.BUNDLE_ENTRIES}) e WHERE ingestion_timestamp = TIMESTAMP '2024-02-01 00:00:00' GROUP BY 1
 """)
@@ -756,3 +777,55 @@ def _state(spark, sf_dir) -> CUR.State:
 for _m in O.MARTS:
     register(f"incremental_{_m}", _incremental_sql(_m))(
         (lambda m: lambda spark, sf_dir: for_oracle(_state(spark, sf_dir).mart(m, O.AS_OF_DATE_TEXT)))(_m))
+
+
+# --- aggregates that can be taken back --------------------------------------------------------
+
+@register("patient_stats_delta", f"""
+SELECT 'pat-' || CAST(k AS VARCHAR) AS patient_id, min(d) AS first_encounter_date, max(d) AS last_encounter_date, count(*) AS total_encounters
+FROM (SELECT {_MOVED} AS k, CASE WHEN o_orderkey % 40 <> 17 THEN CAST(o_orderdate AS DATE) END AS d FROM orders WHERE o_orderkey % 13 <> 5) v
+GROUP BY 1
+""")
+def _patient_stats_delta(spark, sf_dir):
+    """First, last and number of encounters from counted days: those of
+    the first load, and the change when a second load moves encounters to
+    another patient and withdraws some."""
+    was = _load1_build(spark, sf_dir).stg("stg_encounters")
+    order = F.substring("encounter_id", 5, 20).cast("long")
+    moved = (order % 11 == 3) & (F.substring("patient_id", 5, 20).cast("long") % 5 == 0)
+    now = (_b(spark, sf_dir).stg("stg_encounters").where(order % 13 != 5)
+           .withColumn("patient_id", F.when(moved, F.lit("pat-1")).otherwise(F.col("patient_id"))))
+    return P.patient_stats(P.visit_days(None, was).unionByName(P.visit_days(was, now)))
+
+
+def _panel(spark, sf_dir, mart: str) -> DataFrame:
+    """A panel of the state's rollups, brought up generation by generation
+    (the second meets facts sent again with other values)."""
+    state = _state(spark, sf_dir)
+    for gen in range(1, state.gen + 1):
+        R.update(spark, state.root, gen)
+    return R.panel(spark, state.root, mart)
+
+
+@register("rollup_top_conditions", ORACLE_SQL["top_conditions"])
+def _rollup_top_conditions(spark, sf_dir):
+    """E2 from the rollups."""
+    return R.top(_panel(spark, sf_dir, "fct_conditions"), "condition_description")
+
+
+@register("rollup_top_medications", ORACLE_SQL["top_medications"])
+def _rollup_top_medications(spark, sf_dir):
+    """E3 from the rollups."""
+    return R.top(_panel(spark, sf_dir, "fct_medications"), "medication_description")
+
+
+@register("rollup_encounter_trends", ORACLE_SQL["encounter_trends"])
+def _rollup_encounter_trends(spark, sf_dir):
+    """E4 from the rollups."""
+    return R.encounter_trends(_panel(spark, sf_dir, "fct_encounters"))
+
+
+@register("rollup_vitals_summary", ORACLE_SQL["vitals_summary"])
+def _rollup_vitals_summary(spark, sf_dir):
+    """E5 from the rollups."""
+    return for_oracle(R.vitals_summary(_panel(spark, sf_dir, "fct_vitals")), round_cols=("avg_value",))
