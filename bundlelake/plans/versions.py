@@ -47,9 +47,9 @@ def claim_label(spark: SparkSession, root: str, label: str, resume: bool = False
     With ``resume`` a label whose build broke off (no audit to the end) is
     taken again, as when a scheduler retries a task; the earlier run must
     have ended.  Returns whether something was begun under it before."""
-    known = write_log(spark, root).select("label").unionByName(publish_log(spark, root).select("label"))
-    begun = known.where(F.col("label") == label).limit(1).count() > 0
-    if begun and not (resume and not audit_report(spark, root, label).where("final").limit(1).count()):
+    live = publish_log(spark, root).where(F.col("label") == label).limit(1).count() > 0  # also of a version since swept
+    begun = live or write_log(spark, root).where(F.col("label") == label).limit(1).count() > 0
+    if live or (begun and not (resume and not audit_report(spark, root, label).where("final").limit(1).count())):
         raise LabelTaken(f"label {label!r} has been used under {root}")
     if not begun:
         _log_written(spark, root, label, [None])

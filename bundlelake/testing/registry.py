@@ -16,6 +16,7 @@ from bundlelake.operators import serving as S
 from bundlelake.operators.entries import bundle_entries, entries_of_type, entry_type_counts, malformed_bundles
 from bundlelake.operators.staging import cast_rejects, dedup_latest, flatten, model_types
 from bundlelake.plans import current as CUR
+from bundlelake.plans import retention as RET
 from bundlelake.plans import rollups as R
 from bundlelake.plans import versions as V
 from bundlelake.plans.pipeline import run_pipeline, update_typed_entries
@@ -661,6 +662,20 @@ def _list_versions(spark, sf_dir):
     return v.select("label", F.array_join("tables", ",").alias("tables"), "published", "current")
 
 
+@register("unreachable_versions", O.with_marts("""
+SELECT label, reason, CAST(n * CASE WHEN label = 'v2' THEN 2 ELSE 1 END AS BIGINT) AS n_rows
+FROM (VALUES ('v2', 'failed its audit'), ('v1', 'replaced')) l(label, reason), (SELECT count(*) AS n FROM dim_patients) d
+""", "dim_patients"))
+def _unreachable_versions(spark, sf_dir):
+    """versions nobody reads once v3 has been promoted and nothing older
+    is kept, with the rows they hold; v3 is current, v4 can be resumed."""
+    root = _dim_versions(spark, sf_dir)
+    V.publish(spark, root, "v3")
+    out = RET.sweep(spark, root, keep=0).where("kind = 'version'").select(F.col("name").alias("label"), "reason")
+    n = [V.read_version(spark, root, "dim_patients", x).agg(F.count("*").alias("n_rows")).withColumn("label", F.lit(x)) for x in ("v1", "v2", "v3", "v4")]
+    return out.join(reduce(DataFrame.unionByName, n), "label")
+
+
 @register("read_version", O.mart_sql("dim_patients"))
 def _read_version(spark, sf_dir):
     """read a table of the current version."""
