@@ -8,6 +8,10 @@ topic table only (its size is checked); sources are rows, each with its
 cells, and their factors are solved where they lie.  Each sweep is one Spark
 job over the written cell table.
 
+Tokens are those of a vocabulary (a file for ``packing.encoder``); without
+one, white-space separated words, by which a text in a script without spaces
+weighs next to nothing.
+
 Targets: a side's value of t tokens weighs t ** exponent (or a given share);
 totals are capped at what there is and the rest goes to the others.  Where
 the three sides exclude each other, the sources' totals are met and the
@@ -31,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
+from bundlelake.llm.packing import encoder
 from bundlelake.llm.rows import column, column_of, packed, schema
 from bundlelake.llm.textnum import Rolling, is_space, keyed, spans, text_chunks
 from bundlelake.session import scratch_path
@@ -66,11 +71,22 @@ def describe(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.bincount(owner, minlength=n).astype(np.int64), topic
 
 
-def _described(docs: DataFrame, text_col: str) -> DataFrame:
+def token_counts(raw: np.ndarray, offsets: np.ndarray, vocabulary: str, at_once: int = 64) -> np.ndarray:
+    """Tokens of each text; ids of ``at_once`` texts are held at a time."""
+    encode, text = encoder(vocabulary), raw.tobytes()
+    cut = [(text[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    return np.array([x.size for s in range(0, len(cut), at_once) for x in encode(cut[s:s + at_once])], np.int64)
+
+
+def _described(docs: DataFrame, text_col: str, vocabulary: str | None) -> DataFrame:
     """(row, n_tokens, topic): every row of ``docs`` as a struct."""
+    def chunk(raw, offsets):
+        words, topic = describe(raw, offsets)
+        return (token_counts(raw, offsets, vocabulary) if vocabulary else words), topic
+
     def run(batches):
         for b in batches:
-            found = [describe(raw, offsets) for _, raw, offsets in text_chunks(column_of(b, text_col))]
+            found = [chunk(raw, offsets) for _, raw, offsets in text_chunks(column_of(b, text_col))]
             if found:
                 n, topic = (np.concatenate(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array([f"t{x}" for x in topic])],
@@ -229,29 +245,31 @@ def _draw(id_col: str, text_col: str, seed: int) -> Column:
     return F.pmod(h, F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def _rows(docs: DataFrame, text_col: str) -> DataFrame:
-    return _described(docs, text_col).withColumns({"source": _side("row.source"), "lang": _side("row.lang")})
+def _rows(docs: DataFrame, text_col: str, vocabulary: str | None = None) -> DataFrame:
+    return _described(docs, text_col, vocabulary).withColumns({"source": _side("row.source"), "lang": _side("row.lang")})
 
 
 def _cells(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"))
 
 
-def mix_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
+                  vocabulary: str | None = None) -> DataFrame:
     """One row per input row: id, source, lang, topic, n_tokens, probability
     and kept."""
     few = docs.select(column(id_col).alias("id"), column(text_col).alias("text"), "source", "lang",
                       _draw(id_col, text_col, mix.seed).alias("draw"))
     at = scratch_path(docs.sparkSession, "mixing-rows")
-    _rows(few, "text").select("row.id", "row.draw", "source", "lang", "topic", "n_tokens").write.parquet(at)
+    _rows(few, "text", vocabulary).select("row.id", "row.draw", "source", "lang", "topic", "n_tokens").write.parquet(at)
     rows = docs.sparkSession.read.parquet(at)
     return (rows.join(rake(_cells(rows), mix), ["source", "lang", "topic"])
             .select(F.col("id").alias(id_col), "source", "lang", "topic", "n_tokens", "probability",
                     (F.col("draw") < F.col("probability")).alias("kept")))
 
 
-def keep(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The drawn rows of ``docs``, all columns as they were."""
-    rows = _rows(docs, text_col)
-    drawn = rows.join(rake(_cells(rows), mix), ["source", "lang", "topic"])
+def keep(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """The drawn rows of ``docs``, all columns as they were.  Tokens are
+    counted once, for the cells; drawing needs a row's cell only."""
+    few = docs.select(column(text_col).alias("text"), "source", "lang")
+    drawn = _rows(docs, text_col).join(rake(_cells(_rows(few, "text", vocabulary)), mix), ["source", "lang", "topic"])
     return drawn.where(_draw(f"row.{id_col}", f"row.{text_col}", mix.seed) < F.col("probability")).select("row.*")

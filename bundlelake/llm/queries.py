@@ -183,7 +183,7 @@ def op7(spark, sf_dir):
 @query("op2_source_mixing")
 def op2(spark, sf_dir):
     """No SQL: raking is iterative (tested against raking in one array)."""
-    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), vocabulary=vocabulary())
 
 
 # --- 6: HTML extraction ---------------------------------------------------------------------

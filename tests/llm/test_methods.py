@@ -14,7 +14,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bundlelake.llm import chat, extraction, knn, mixing, neardup, packing, probminhash, queries, repetition, textnum, tokencount, toxicity
+from bundlelake.llm import chat, extraction, knn, labelled, mixing, neardup, packing, probminhash, queries, repetition, textnum, tokencount, toxicity
 from bundlelake.llm.components import components
 from bundlelake.llm.dom import parse
 from bundlelake.llm.textnum import text_chunks
@@ -97,6 +97,30 @@ def test_mixing_draws_by_probability(spark):
     assert set(mixing.keep(spark.read.parquet(f"{SF}/documents.parquet")).toPandas().doc_id) == set(out[out.kept].doc_id)
 
 
+def test_mixing_weighs_by_the_vocabularys_tokens(spark):
+    from tokenizers import Tokenizer
+
+    d = read("documents").fillna({"text": ""})
+    out = mixing.mix_documents(spark.read.parquet(f"{SF}/documents.parquet"), vocabulary=queries.vocabulary()).toPandas()
+    library = Tokenizer.from_file(queries.vocabulary())
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in zip(d.doc_id, d.text)}
+    assert dict(zip(out.doc_id, out.n_tokens)) == want
+    kept = mixing.keep(spark.read.parquet(f"{SF}/documents.parquet"), vocabulary=queries.vocabulary()).toPandas()
+    assert sorted(kept.doc_id) == sorted(out[out.kept].doc_id)
+    # a script without spaces weighs what it holds
+    rows = [(i, "机器学习需要大量的训练数据和计算资源" * 20, "zh", "s") for i in range(4)] + [(9 + i, "short words here " * 20, "en", "s") for i in range(4)]
+    n = mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), vocabulary=queries.vocabulary())
+    totals = {r.lang: r.n for r in n.groupBy("lang").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert totals["zh"] > totals["en"]
+
+
+def test_labels_of_absent_documents_do_not_use_up_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    many = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, quality int")
+    some = labelled.training_sample(docs, many, "quality", 20).toPandas()
+    assert len(some) == 20 and set(some.doc_id) <= set(range(40))
+
+
 # --- 3 ---
 
 def shingle_sets(texts):
