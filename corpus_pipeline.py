@@ -38,7 +38,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are drawn so that sources, languages and topics meet their
     target weights."""
-    return mixing.keep(docs)
+    return mixing.keep(docs, vocabulary=vocabulary())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
