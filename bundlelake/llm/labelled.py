@@ -24,15 +24,30 @@ def first_by_hash(rows: DataFrame, hashed: Column, n: int) -> DataFrame:
     return rows.where(within).orderBy(hashed, *rows.columns).limit(n)
 
 
+def known_labels(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the documents outside the held-out fold.  A document
+    with several label rows has their maximum."""
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
+             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+    return known.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def _texts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, text, label) of every labelled document outside the held-out
+    fold; a repeated document counts once."""
+    return _texts(docs, known_labels(docs, labels, label))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, text, label) of at most ``max_labelled`` documents outside
     the held-out fold.  Labels of documents that are not there (any more) do
     not use up the sample.  A document with several label rows has their maximum;
     a repeated document counts once.  The label side of the join is bounded
     by ``max_labelled`` rows of two numbers, so it is broadcast."""
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
-    few = first_by_hash(known, F.xxhash64("doc_id"), max_labelled)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
-    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
+    few = first_by_hash(known_labels(docs, labels, label), F.xxhash64("doc_id"), max_labelled)
+    return _texts(docs, F.broadcast(few))

@@ -4,7 +4,7 @@ Documents get scores such that a preferred one beats the other with the
 logistic probability of the score difference; the weights over surface
 features are fitted to preference pairs (a good label against a bad one) by
 Newton steps on the logistic loss of feature differences.  The cut is a
-quantile of the sample's scores: the share of bad labels.
+quantile of the labelled rows' scores: the share of bad labels.
 
 Defined cases: a null, empty or wordless text has all-zero features and is
 scored like any other; repeated rows are scored alike; texts are read whole;
@@ -19,15 +19,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from bundlelake.llm.labelled import held_out, training_sample
+from bundlelake.llm.labelled import held_out, training_rows
 from bundlelake.llm.repetition import SYMBOLS, _covered
 from bundlelake.llm.rows import kept
 from bundlelake.llm.textnum import Rolling, is_space, keyed, spans, text_chunks
+from bundlelake.session import scratch_path
 
 CUT = 0.3            # score at the quantile
-PAIRS_PER_ROW = 8    # rivals drawn for each sampled row
-RIDGE, STEPS = 1e-3, 25
+PAIRS_PER_ROW = 8    # rivals drawn for each row
+RIDGE, STEPS, SMALL_STEP = 1e-3, 25, 1e-12
+BUCKET, RARER = 20_000, 100  # rows that draw rivals among themselves; at least so many of the rarer label are due to each
+PAIRS_AT_ONCE, BINS, LOOKED_AT = 100_000, 1024, 10_000
 
 NAMES = ["log_words", "word_length", "symbols", "exclamations", "digits", "upper", "wide", "marks", "line_breaks",
          "distinct", "echo", "repeat3", "dup_lines", "short_words", "top_run"]
@@ -81,27 +85,125 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         root(lines - own_lines, np.maximum(lines, 1)), root(per((ends - starts) <= 2), w), np.log1p(longest)])
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
-    """Bradley-Terry weights from pairs of rows with unlike labels."""
-    d = x.shape[1]
-    mean, scale = (x.mean(0), np.maximum(x.std(0), 1e-6)) if len(x) else (np.zeros(d), np.ones(d))
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not good.size or not bad.size:
-        return Model(mean, scale, np.zeros(d), 0.0)
-    z = (x - mean) / scale
-    rng = np.random.default_rng(seed)
-    first = np.concatenate([np.repeat(good, PAIRS_PER_ROW), rng.choice(good, bad.size * PAIRS_PER_ROW)])
-    second = np.concatenate([rng.choice(bad, good.size * PAIRS_PER_ROW), np.repeat(bad, PAIRS_PER_ROW)])
-    diff = z[first] - z[second]
-    w = np.zeros(d)
+def _moments(x, y, bucket):
+    return [len(x), (y == 1).sum(), (y == 0).sum(), *x.sum(0)]
+
+
+def _deviations(mean):
+    return lambda x, y, bucket: [*((x - mean) ** 2).sum(0)]
+
+
+def _newton(model: Model, seed: int):
+    """Number of pairs, gradient and Hessian over the pairs of one bucket:
+    each row meets rivals of the other label drawn from its bucket."""
+    def of(x, y, bucket):
+        d = x.shape[1]
+        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+        n, grad, hess = 0, np.zeros(d), np.zeros((d, d))
+        if good.size and bad.size:
+            z = (x - model.mean) / model.scale
+            rng = np.random.default_rng(seed + bucket)
+            first = np.concatenate([np.repeat(good, PAIRS_PER_ROW), rng.choice(good, bad.size * PAIRS_PER_ROW)])
+            second = np.concatenate([rng.choice(bad, good.size * PAIRS_PER_ROW), np.repeat(bad, PAIRS_PER_ROW)])
+            n = len(first)
+            for at in range(0, n, PAIRS_AT_ONCE):
+                diff = z[first[at:at + PAIRS_AT_ONCE]] - z[second[at:at + PAIRS_AT_ONCE]]
+                p = 1 / (1 + np.exp(-np.clip(diff @ model.weights, -50, 50)))
+                grad += diff.T @ (p - 1)
+                hess += (diff * (p * (1 - p))[:, None]).T @ diff
+        return [n, *grad, *hess.ravel()]
+
+    return of
+
+
+def _spread(model: Model, lo: float, hi: float):
+    """Number, smallest and largest of the strengths from lo to below hi."""
+    def of(x, y, bucket):
+        s = model.raw(x)
+        s = s[(s >= lo) & (s < hi)]
+        return [s.size, s.min(initial=np.inf), s.max(initial=-np.inf)]
+
+    return of
+
+
+def _histogram(model: Model, edges: np.ndarray):
+    def of(x, y, bucket):
+        s = model.raw(x)
+        s = s[(s >= edges[0]) & (s < edges[-1])]
+        return [*np.bincount(np.searchsorted(edges, s, side="right") - 1, minlength=len(edges) - 1)]
+
+    return of
+
+
+def _between(model: Model, lo: float, hi: float):
+    def of(x, y, bucket):
+        s = model.raw(x)
+        return [*s[(s >= lo) & (s < hi)]]
+
+    return of
+
+
+def _per_bucket(rows: DataFrame, of) -> list[np.ndarray]:
+    """``of(features, labels, bucket)`` of every bucket, in their order; a
+    bucket's rows are in the order of their ids."""
+    def run(table):
+        table = table.sort_by("doc_id")
+        x = table["features"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, len(NAMES))
+        bucket = table["bucket"][0].as_py()
+        return pa.table({"bucket": pa.array([bucket], pa.int64()),
+                         "v": pa.array([[float(v) for v in of(x, table["label"].to_numpy(), bucket)]], pa.list_(pa.float64()))})
+
+    got = rows.groupBy("bucket").applyInArrow(run, "bucket long, v array<double>").collect()
+    return [np.array(r["v"], float) for r in sorted(got, key=lambda r: r["bucket"])]
+
+
+def _ranked(rows: DataFrame, model: Model, rank: int) -> float:
+    """The strength of the given rank (from 0): counts in ever finer bins,
+    until few enough strengths are left to be looked at."""
+    lo, hi = -np.inf, np.inf
+    while True:
+        parts = np.array(_per_bucket(rows, _spread(model, lo, hi)))
+        n, least, most = parts[:, 0].sum(), parts[:, 1].min(), parts[:, 2].max()
+        if least == most:
+            return float(least)
+        if n <= LOOKED_AT:
+            return float(np.sort(np.concatenate(_per_bucket(rows, _between(model, lo, hi))))[rank])
+        edges = np.linspace(least, np.nextafter(most, np.inf), BINS + 1)
+        upto = np.cumsum(np.sum(_per_bucket(rows, _histogram(model, edges)), axis=0))
+        j = int(np.searchsorted(upto, rank, side="right"))
+        rank -= int(upto[j - 1]) if j else 0
+        lo, hi = edges[j], edges[j + 1]
+
+
+def fit_pairs(rows: DataFrame, seed: int = 7) -> Model:
+    """Bradley-Terry weights from pairs of rows ``(doc_id, label, features)``
+    with unlike labels.  Every row takes part: rows lie in buckets by a hash
+    of the id, each some ``BUCKET`` rows and with both labels, a bucket adds
+    up its own pairs, and the driver adds up one gradient per bucket."""
+    d = len(NAMES)
+    one = rows.groupBy("label").count().collect()
+    n, kinds = sum(r["count"] for r in one), {r["label"]: r["count"] for r in one}
+    if not n:
+        return Model(np.zeros(d), np.ones(d), np.zeros(d), 0.0)
+    rarer = min(kinds.get(0, 0), kinds.get(1, 0))
+    buckets = max(1, min(-(-n // BUCKET), rarer // RARER if rarer else -(-n // BUCKET)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("long"))
+    total = np.sum(_per_bucket(rows, _moments), axis=0)
+    mean = total[3:] / n
+    scale = np.maximum(np.sqrt(np.sum(_per_bucket(rows, _deviations(mean)), axis=0) / n), 1e-6)
+    model = Model(mean, scale, np.zeros(d), 0.0)
+    if not rarer:
+        return model
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(diff @ w, -50, 50)))
-        grad = diff.T @ (p - 1) / len(diff) + RIDGE * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + RIDGE * np.eye(d)
-        w = w - np.linalg.solve(hess, grad)
-    s = np.sort(z @ w)
-    k = bad.size  # the quantile at the share of bad rows, half-way between its neighbours
-    return Model(mean, scale, w, float((s[k - 1] + s[k]) / 2))
+        total = np.sum(_per_bucket(rows, _newton(model, seed)), axis=0)
+        w, pairs = model.weights, max(total[0], 1)
+        grad, hess = total[1:d + 1] / pairs + RIDGE * w, total[d + 1:].reshape(d, d) / pairs + RIDGE * np.eye(d)
+        step = np.linalg.solve(hess, grad)
+        model = Model(mean, scale, w - step, 0.0)
+        if np.abs(step).max() < SMALL_STEP:
+            break
+    k = kinds[0]  # the quantile at the share of bad rows, half-way between its neighbours
+    return Model(mean, scale, model.weights, (_ranked(rows, model, k - 1) + _ranked(rows, model, k)) / 2)
 
 
 def _featured(df: DataFrame, rest: list[str], schema: str) -> DataFrame:
@@ -118,13 +220,12 @@ def _featured(df: DataFrame, rest: list[str], schema: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
-    """Fit on the bounded sample of :func:`training_sample`; the driver gets
-    one short feature vector for each sampled document."""
-    rows = training_sample(docs, labels, label)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    got = _featured(rows, ["label"], f"doc_id {kind}, label int, features array<double>").toPandas().sort_values("doc_id")
-    x = np.array(got["features"].tolist(), float).reshape(len(got), len(NAMES))
-    return fit_pairs(x, got["label"].to_numpy())
+    """Fit on every labelled document outside the held-out fold.  Features
+    are written once; each pass reads some 15 numbers a document."""
+    rows = training_rows(docs, labels, label)
+    kind, at = rows.schema["doc_id"].dataType.simpleString(), scratch_path(docs.sparkSession, "ranking-features")
+    _featured(rows, ["label"], f"doc_id {kind}, label int, features array<double>").write.parquet(at)
+    return fit_pairs(docs.sparkSession.read.parquet(at))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -449,3 +449,24 @@ def test_neighbours_equal_brute_force(spark, dim, n, seed):
     assert all(abs(score[a, b] - s) < 1e-9 for a, b, s in zip(got.query_id, got["rank"], got.score))
     for _, g in got.groupby("query_id"):
         assert all(a > b or (a == b and i < j) for a, b, i, j in zip(g.score, g.score[1:], g.vec_id, g.vec_id[1:]))
+
+
+def test_ranking_is_fitted_to_every_labelled_row(spark, monkeypatch):
+    import numpy as np
+    from bundlelake.llm import labelled, ranking
+    docs = spark.createDataFrame([(i, "word " * (20 + i % 7) + ("# # # " * 9 if i % 3 == 0 else "")) for i in range(900)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(900)], "doc_id long, quality int")
+    monkeypatch.setattr(labelled, "MAX_LABELLED", 10)
+    rows = labelled.training_rows(docs, labels, "quality")
+    assert rows.count() == docs.where(~labelled.held_out()).count() > 600
+    whole = ranking.fit(docs, labels)
+    bad = rows.where("label = 0").count()
+    # moments and cut come from all rows, however they are dealt
+    monkeypatch.setattr(ranking, "BUCKET", 100)
+    monkeypatch.setattr(ranking, "LOOKED_AT", 5)
+    dealt = ranking.fit(docs, labels)
+    assert np.allclose(whole.mean, dealt.mean) and np.allclose(whole.scale, dealt.scale)
+    for model in (whole, dealt):
+        s = np.sort(np.concatenate([model.raw(ranking.features(raw, offsets)) for _, raw, offsets in ranking.text_chunks(
+            rows.select("text").toArrow().column(0).combine_chunks())]))
+        assert np.isclose(model.cut, (s[bad - 1] + s[bad]) / 2)
