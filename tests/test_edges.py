@@ -201,3 +201,24 @@ def test_vital_lookup_takes_the_most_frequent_unit(spark):
     df = spark.createDataFrame(rows, "observation_description string, value_quantity double, value_unit string")
     r = S.vital_lookup(S.vitals_summary(df), "HR").first()
     assert (r.value_unit, r.avg_value) == ("bpm", 60.0)
+
+
+def test_extraction_is_two_plain_projections(spark):
+    """No generator between them (evaluated expression by expression), and
+    each path is walked once."""
+    from bundlelake.operators.entries import bundle_entries
+    from bundlelake.operators.staging import flatten, model_types, typed_entries
+    from bundlelake.schemas import STAGING_SPECS
+    landing = spark.createDataFrame([("f", "{}")], "file_path string, data string").selectExpr("*", "timestamp'2024-01-01' as ingestion_timestamp")
+    entries = bundle_entries(landing)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        for df in (typed_entries(model_types(entries)), flatten(entries, STAGING_SPECS["stg_observations"]["columns"])):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Generate ") == 1  # of the entries
+            assert plan.count("variant_get(entry#", 0) >= 1
+            # as text: where it is first read, not again in the guard
+            walks = [x for x in plan.replace("try_variant_get", "\n").split("\n") if "$.resource.valueQuantity.unit" in x and "StringType" in x.split("$.resource.valueQuantity.unit")[1][:40]]
+            assert len(walks) == 1
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
