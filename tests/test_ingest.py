@@ -227,3 +227,23 @@ def test_stream_mode_keeps_quarantine_and_stands_an_empty_landing(spark, tmp_roo
     assert [r.stg_patients.patient_id for r in read_typed_stream(spark, typed).collect()] == ["1"]
     kept = {(r.file_path, r.reason, r.column, r.text) for r in read_quarantine(spark, os.path.join(tmp_root, "typed")).collect()}
     assert kept == {("p", "bad value", "birth_date", "never"), ("q", "not JSON", None, None), ("r", "entry is not an array", None, None)}
+
+
+def test_listing_by_tasks_is_spark_s_listing_and_bodies_are_opened_by_name(spark, tmp_root):
+    raw, lp, ck = (os.path.join(tmp_root, x) for x in ("raw files", "landing", "ckpt"))
+    for name in ("a.json", "sub/b.json", "sub/deep/c.json", "_hidden.json", ".x.json", "_dir/d.json", "k=1/e.json", "sub/n.txt", "sub/é %.json"):
+        put(raw, name, name.encode())
+    os.makedirs(os.path.join(raw, "empty"))
+    listed, of_spark = L.list_files(spark, raw), L.list_raw_files(spark, raw).drop("content")
+    assert listed.columns == of_spark.columns
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, of_spark.collect())) and listed.count() == 5
+    # the driver's plans hold the listing's files, not the raw ones
+    m = L.relative_paths(listed, raw)
+    assert not any("raw" in f for f in m.inputFiles())
+    assert L.ingest_incremental(spark, m, lp, max_files=2) == 2
+    assert L.ingest_incremental(spark, m, lp) == 3
+    assert {r.file_path: r.data for r in L.read_landing(spark, lp).collect()} == {
+        n: n for n in ("a.json", "sub/b.json", "sub/deep/c.json", "k=1/e.json", "sub/é %.json")}
+    assert run_available_now(spark, raw, lp, ck) == {"batches": 1, "rows": 0, "retried": 0}
+    log = os.listdir(os.path.join(ck, "sources", "0"))
+    assert log and not any("a.json" in open(os.path.join(ck, "sources", "0", x)).read() for x in log if not x.startswith("."))
