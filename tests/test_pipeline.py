@@ -11,7 +11,7 @@ from bundlelake.plans import versions as V
 from bundlelake.testing.build import Build
 from bundlelake.plans.pipeline import run_pipeline
 from bundlelake.testing.files import write_files
-from bundlelake.testing.fixtures import bundle_files
+from bundlelake.testing.fixtures import bundle_files, fixture_landing
 
 SF = "/root/testdata/sf0.001"
 
@@ -225,3 +225,17 @@ def test_a_broken_run_is_resumed_under_its_label(spark, tmp_root):
     assert sorted(r.patient_id for r in V.read_version(spark, tmp_root, "dim_patients").collect()) == ["b", "c"]
     with pytest.raises(V.LabelTaken):
         V.write_audit_publish(spark, first, tmp_root, "v1", DIM, resume=True)
+
+
+def test_a_part_of_the_loads_is_not_built_again(spark, monkeypatch):
+    from bundlelake.testing import build as B
+    built = []
+    write = B.write_landing_and_typed
+    monkeypatch.setattr(B, "_WRITTEN", {})
+    monkeypatch.setattr(B, "write_landing_and_typed", lambda *a: built.append(1) or write(*a))
+    found = {loads: B.written_fixture(spark, SF, loads) for loads in ((1,), (1, 2), (2,))}
+    assert len(built) == 1
+    for loads, (landing, typed) in found.items():
+        want = fixture_landing(spark, SF, loads=loads)
+        assert sorted(map(tuple, landing.collect())) == sorted(map(tuple, want.collect()))
+        assert typed.count() == B.model_types(B.bundle_entries(want)).count()
