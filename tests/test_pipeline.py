@@ -239,3 +239,11 @@ def test_a_part_of_the_loads_is_not_built_again(spark, monkeypatch):
         want = fixture_landing(spark, SF, loads=loads)
         assert sorted(map(tuple, landing.collect())) == sorted(map(tuple, want.collect()))
         assert typed.count() == B.model_types(B.bundle_entries(want)).count()
+
+
+def test_dedup_latest_parses_the_bundles_once(spark):
+    from bundlelake.testing.registry import QUERIES
+    out = QUERIES["dedup_latest"](spark, SF)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "parseJson" not in plan and "variant_get" not in plan
+    assert out.where("n_copies = 2").count() > 0
