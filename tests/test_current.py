@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from bundlelake.operators import marts as M
 from bundlelake.operators import quality as Q
 from bundlelake.plans import current as C
 from bundlelake.plans import versions as V
@@ -152,3 +153,23 @@ def test_pipeline_publishes_generations(spark, tmp_root):
     assert V.current_label(spark, root) == "v4"
     left = {r.patient_id for r in V.read_version(spark, root, "dim_patients").collect()}
     assert left and all(re.match("pat-1", x) for x in left)
+
+
+def test_nothing_is_broadcast_by_file_size(spark, tmp_root):
+    """Compressed files say little of what a broadcast would send through the
+    driver: patients and ids are moved by key, however small they look."""
+    facts = [(f"c-{i}", f"p-{i % 5}", "e", "active", "confirmed", "C1", "d", None, None, None) for i in range(40)] + [("c-x", None, *[None] * 8)]
+    columns = "condition_id string, patient_id string, encounter_id string, clinical_status string, verification_status string, condition_code string, condition_description string, onset_date date, abatement_date date, ingested_at timestamp"
+    spark.createDataFrame(facts, columns).write.parquet(f"{tmp_root}/f")
+    spark.createDataFrame([(f"p-{i}", "male", "White", None) for i in (0, 1, 1, 2)], "patient_id string, gender string, race string, birth_date date").write.parquet(f"{tmp_root}/p")
+    fact, patients = spark.read.parquet(f"{tmp_root}/f"), spark.read.parquet(f"{tmp_root}/p")
+    ids = patients.select(F.col("patient_id").alias("_id")).distinct()
+    mart = M.fct_conditions(fact, patients.hint("merge"))  # as the state gives them
+    lost = Q.relationships(fact, "patient_id", patients, "patient_id")
+    some = C.among(fact, "patient_id", ids)
+    report = Q.audit({"fct_conditions": fact, "dim_patients": patients}, [c for c in Q.MART_CHECKS if c.model == "fct_conditions" and c.to])
+    for df in (mart, lost, some, report):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    assert (mart.count(), lost.count(), some.count()) == (49, 16, 25)  # p-1 twice; p-3 and p-4 unknown; one without a patient
+    assert [r["violations"] for r in report.collect()] == [16]
