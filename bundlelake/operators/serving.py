@@ -1,13 +1,14 @@
 """Dashboard aggregates over the marts.
 
-Global totals (histogram bounds, shares, KPIs) are scalar subqueries:
-each is a global aggregate with partial aggregation, evaluated once, so
-no query funnels rows through a single task or the driver.
+Global totals (histogram bounds, KPIs) are scalar subqueries: each is a
+global aggregate with partial aggregation, evaluated once, so no query
+funnels rows through a single task or the driver.  Shares are taken of the
+sum of the groups' counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_N = 10  # fixed value: the dashboard's top-k size
@@ -74,9 +75,10 @@ def age_histogram(dim: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def race_distribution(dim: DataFrame) -> DataFrame:
-    total = dim.select(F.count(F.lit(1))).scalar()
-    return (dim.groupBy("race").agg(F.count(F.lit(1)).alias("count"))
-            .select("race", "count", (F.col("count") / total).alias("share"))
+    """The total is the sum of the races' counts: the dimension is read once,
+    and what the window gathers is one row per race."""
+    counts = dim.groupBy("race").agg(F.count(F.lit(1)).alias("count"))
+    return (counts.select("race", "count", (F.col("count") / F.sum("count").over(Window.partitionBy())).alias("share"))
             .orderBy(F.col("count").desc(), F.col("race").asc_nulls_last()))
 
 
