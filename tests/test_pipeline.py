@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from bundlelake.operators import incremental as INC
+from bundlelake.operators import marts as M
 from bundlelake.operators import quality as Q
 from bundlelake.plans import versions as V
 from bundlelake.testing.build import Build
 from bundlelake.plans.pipeline import run_pipeline
+from bundlelake.schemas import STAGING_SPECS
 from bundlelake.testing.files import write_files
 from bundlelake.testing.fixtures import bundle_files, fixture_landing
 
@@ -247,3 +249,64 @@ def test_dedup_latest_parses_the_bundles_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "parse_json" not in plan and "parseJson" not in plan and "variant_get" not in plan
     assert out.where("n_copies = 2").count() > 0
+
+
+def fresh_build(monkeypatch):
+    """The module of fixture builds, with nothing written yet; lists the models of every extraction."""
+    from bundlelake.testing import build as B
+    passes, extract = [], B.typed_entries
+    monkeypatch.setattr(B, "_WRITTEN", {})
+    monkeypatch.setattr(B, "typed_entries", lambda entries, on_malformed="fail", models=tuple(STAGING_SPECS): (
+        passes.append(set(models)) or extract(entries, on_malformed, models)))
+    return B, passes
+
+
+def plain_rows(df):
+    return sorted(df.drop("dbt_processed_at", "dbt_updated_at").collect(), key=repr)
+
+
+def test_models_asked_for_are_extracted_in_one_pass(spark, monkeypatch):
+    whole = {m: plain_rows(df) for m, df in Build.from_tables(spark, SF).layers().items()}
+    B, passes = fresh_build(monkeypatch)
+    build = B.Build.from_tables(spark, SF)
+    assert plain_rows(build.stg("stg_encounters")) == whole["stg_encounters"]
+    assert passes == [{"stg_encounters"}]
+    assert plain_rows(build.mart("fct_conditions")) == whole["fct_conditions"]
+    assert passes[1:] == [{"stg_conditions", "stg_patients"}]
+    again = B.Build.from_tables(spark, SF)
+    assert plain_rows(again.mart("fct_encounters")) == whole["fct_encounters"] and len(passes) == 2
+    assert again.typed.count() == B.written_fixture(spark, SF)[1].count() and passes[2:] == [set(STAGING_SPECS)]
+
+
+def test_a_model_without_entries_is_empty(spark, tmp_path, monkeypatch):
+    B, _ = fresh_build(monkeypatch)
+    for t in ("customer", "nation", "region", "orders", "events"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(50).write.parquet(f"{tmp_path}/{t}.parquet")
+    spark.read.parquet(f"{SF}/lineitem.parquet").limit(0).write.parquet(f"{tmp_path}/lineitem.parquet")
+    build = B.Build.from_tables(spark, str(tmp_path))
+    assert build.mart("fct_medications").count() == 0 and build.stg("stg_medication_requests").count() == 0
+    assert build.stg("stg_encounters").count() == 50
+
+
+def test_a_version_of_one_table_writes_no_other_layers(spark, monkeypatch):
+    B, passes = fresh_build(monkeypatch)
+    build = B.Build.from_tables(spark, SF)
+    dim = build.layers("dim_patients")
+    assert list(dim) == ["dim_patients"] and passes == [{"stg_patients", "stg_encounters"}]
+    there, = (v for k, v in B._WRITTEN.items() if k[0] == "layers")
+    assert set(there) == {"stg_patients", "stg_encounters", "dim_patients"}
+    assert plain_rows(build.layers()["dim_patients"]) == plain_rows(dim["dim_patients"]) and set(there) == {*STAGING_SPECS, *M.MART_KEYS}
+
+
+def test_bundles_parsed_by_a_query_are_not_extracted_before(spark, monkeypatch):
+    from bundlelake.testing.registry import QUERIES
+    _, passes = fresh_build(monkeypatch)
+    assert QUERIES["reference_strip"](spark, SF).count() > 0 and not passes
+
+
+def test_race_share_reads_the_dimension_once(spark):
+    from bundlelake.operators import serving as S
+    dim = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "race string").repartition(2)
+    out = S.race_distribution(dim)
+    assert [tuple(r) for r in out.collect()] == [("a", 2, 0.5), ("b", 1, 0.25), (None, 1, 0.25)]
+    assert "subquery" not in out._jdf.queryExecution().optimizedPlan().toString()
