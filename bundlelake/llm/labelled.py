@@ -24,12 +24,16 @@ def first_by_hash(rows: DataFrame, hashed: Column, n: int) -> DataFrame:
     return rows.where(within).orderBy(hashed, *rows.columns).limit(n)
 
 
+def labels_known(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) outside the held-out fold.  A document with several
+    label rows has their maximum."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
+            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+
+
 def known_labels(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, label) of the documents outside the held-out fold.  A document
-    with several label rows has their maximum."""
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
-    return known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    """``labels_known`` of the documents that are there."""
+    return labels_known(labels, label).join(docs.select("doc_id"), "doc_id", "left_semi")
 
 
 def _texts(docs: DataFrame, known: DataFrame) -> DataFrame:

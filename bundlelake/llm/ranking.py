@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.labelled import held_out, training_rows
+from bundlelake.llm.labelled import held_out, labels_known, training_rows
 from bundlelake.llm.repetition import SYMBOLS, _covered
 from bundlelake.llm.rows import kept
 from bundlelake.llm.textnum import Rolling, is_space, keyed, spans, text_chunks
@@ -219,13 +219,35 @@ def _featured(df: DataFrame, rest: list[str], schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _training_features(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label, features) of ``training_rows``, a repeated document once.
+
+    Features are computed where the texts lie and written once: some 15
+    numbers and a digest a document are shuffled, no text.  Only of a document
+    that is there with unlike texts are the texts looked at again, for the one
+    that ``training_rows`` takes."""
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    mine = docs.where(F.col("doc_id").isNotNull() & ~held_out())
+    text = F.coalesce("text", F.lit(""))
+    at = scratch_path(spark, "ranking-features")
+    _featured(mine.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("digest")), ["digest"],
+              f"doc_id {kind}, digest string, features array<double>").write.parquet(f"{at}/documents")
+    once = spark.read.parquet(f"{at}/documents").groupBy("doc_id").agg(
+        F.min("digest").alias("low"), F.max("digest").alias("high"), F.first("features").alias("features"))
+    once.where("low < high").select("doc_id").write.parquet(f"{at}/unlike")
+    rows = once.where("low = high").join(labels_known(labels, label), "doc_id").select("doc_id", "label", "features")
+    unlike = spark.read.parquet(f"{at}/unlike")
+    if not unlike.isEmpty():
+        texts = training_rows(docs.join(unlike, "doc_id", "left_semi"), labels, label)
+        rows = rows.unionByName(_featured(texts, ["label"], f"doc_id {kind}, label int, features array<double>"))
+    rows.write.parquet(f"{at}/labelled")
+    return spark.read.parquet(f"{at}/labelled")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     """Fit on every labelled document outside the held-out fold.  Features
     are written once; each pass reads some 15 numbers a document."""
-    rows = training_rows(docs, labels, label)
-    kind, at = rows.schema["doc_id"].dataType.simpleString(), scratch_path(docs.sparkSession, "ranking-features")
-    _featured(rows, ["label"], f"doc_id {kind}, label int, features array<double>").write.parquet(at)
-    return fit_pairs(docs.sparkSession.read.parquet(at))
+    return fit_pairs(_training_features(docs, labels, label))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -470,3 +470,22 @@ def test_ranking_is_fitted_to_every_labelled_row(spark, monkeypatch):
         s = np.sort(np.concatenate([model.raw(ranking.features(raw, offsets)) for _, raw, offsets in ranking.text_chunks(
             rows.select("text").toArrow().column(0).combine_chunks())]))
         assert np.isclose(model.cut, (s[bad - 1] + s[bad]) / 2)
+
+
+def test_ranking_shuffles_no_texts(spark, monkeypatch):
+    from bundlelake.llm import ranking
+    rows = [(i, "word " * (20 + i % 7) + ("# # # " * 9 if i % 3 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows + rows[:40] + [(None, "no number"), (301, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(400)] + [(0, 1), (7, None), (None, 1)], "doc_id long, quality int")
+    plain = ranking.fit(docs, labels)
+    again = docs.unionByName(docs.where("doc_id in (2, 3)").selectExpr("doc_id", "'another text, ' || text as text"))
+    want = labelled.training_rows(again, labels, "quality").toPandas().sort_values("doc_id")
+    got = ranking._training_features(again, labels, "quality").toPandas().sort_values("doc_id")
+    assert list(got.doc_id) == list(want.doc_id) and list(got.label) == list(want.label)
+    raw = next(ranking.text_chunks(pa.array(want.text)))
+    assert np.array_equal(np.stack(got.features), ranking.features(*raw[1:]))
+
+    def joined(*_):
+        raise AssertionError("texts are joined with labels")
+    monkeypatch.setattr(ranking, "training_rows", joined)
+    assert np.array_equal(ranking.fit(docs, labels).weights, plain.weights)
