@@ -222,3 +222,12 @@ def test_extraction_is_two_plain_projections(spark):
             assert len(walks) == 1
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_resource_type_is_walked_to_once_per_projection(spark):
+    data = ('{"entry":[{"resource":{"resourceType":"Patient"}},{"resource":{"resourceType":{"x":1}}},{"resource":{"resourceType":"{odd"}},'
+             '{"resource":{"resourceType":["Patient"]}},{"resource":{"resourceType":7}},{"resource":{}},null]}')
+    entries = bundle_entries(landing(spark, [("a.json", data, T1)]))
+    assert [r["resource_type"] for r in entries.orderBy("pos").collect()] == ["Patient", None, "{odd", None, "7", None, None]
+    plan = entries.select("pos", "resource_type", "entry")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.resource.resourceType, StringType") == 1
