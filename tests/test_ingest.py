@@ -1,11 +1,15 @@
 """File-based ingestion: listing, filters, ledger, refresh, streaming."""
 
 import os
+from zipfile import ZipFile
 
 from pyspark.sql import functions as F
 
 from bundlelake.sources import landing as L
 from bundlelake.streaming.ingest import run_available_now
+from bundlelake.testing import registry
+from bundlelake.testing.files import write_archives
+from bundlelake.testing.fixtures import bundle_files
 
 
 def put(root, rel, data: bytes):
@@ -247,3 +251,44 @@ def test_listing_by_tasks_is_spark_s_listing_and_bodies_are_opened_by_name(spark
     assert run_available_now(spark, raw, lp, ck) == {"batches": 1, "rows": 0, "retried": 0}
     log = os.listdir(os.path.join(ck, "sources", "0"))
     assert log and not any("a.json" in open(os.path.join(ck, "sources", "0", x)).read() for x in log if not x.startswith("."))
+
+
+def test_members_of_archives_are_files_of_the_folder(spark, tmp_root):
+    raw, lp = os.path.join(tmp_root, "raw!"), os.path.join(tmp_root, "landing")
+    bodies = {"p/a.json": "A", "p/é %!.json": "E", "b.json": "B", "p/_dir/x.json": "x", ".y.json": "y", "n.txt": "n"}
+    files = spark.createDataFrame(list(bodies.items()), "path string, body string")
+    assert write_archives(files, raw).count() == 6
+    put(raw, "sub/c.json", b"C")
+    assert sum(len(f) for _, _, f in os.walk(raw)) < 6
+    m = lambda: L.relative_paths(L.list_files(spark, raw, archives="*.zip"), raw)
+    assert {r.path: r.length for r in m().collect()} == dict.fromkeys(("p/a.json", "p/é %!.json", "b.json", "sub/c.json"), 1)
+    assert L.list_files(spark, raw).count() == 1  # archives are read where asked for
+    assert L.ingest_incremental(spark, m(), lp, max_files=2) == 2
+    assert L.ingest_incremental(spark, m(), lp) == 2
+    # sent again in a later archive: a known path is not read again, a full refresh takes what came last
+    write_archives(spark.createDataFrame([("p/a.json", "A2"), ("d.json", "D")], "path string, body string").coalesce(1), raw).count()
+    for name in os.listdir(raw):
+        if name.endswith(".zip") and "d.json" not in ZipFile(os.path.join(raw, name)).namelist():
+            os.utime(os.path.join(raw, name), (1.7e9, 1.7e9))
+    assert m().count() == 5 and L.ingest_incremental(spark, m(), lp) == 1
+    want = {"p/a.json": "A", "p/é %!.json": "E", "b.json": "B", "sub/c.json": "C", "d.json": "D"}
+    assert {r.file_path: r.data for r in L.read_landing(spark, lp).collect()} == want
+    assert L.ingest_full_refresh(spark, m(), lp)
+    assert {r.file_path: r.data for r in L.read_landing(spark, lp).collect()} == want | {"p/a.json": "A2"}
+
+
+def test_scheduled_runs_do_not_take_a_file_of_the_disk_per_bundle(spark, monkeypatch):
+    """15 million files of a block each do not fit a disk that holds their text many times."""
+    seen = {}
+
+    def ingest(spark, raw, root, label, archives=None, **_):
+        listed = L.relative_paths(L.list_files(spark, raw, archives=archives), raw)
+        assert listed.count() == listed.select("path").distinct().count()
+        seen[label] = listed.count(), sum(len(f) for _, _, f in os.walk(raw))
+        return listed
+
+    monkeypatch.setattr(registry, "run_pipeline", ingest)
+    sf = "/root/testdata/sf0.001"
+    rows = registry.QUERIES["pipeline_run"](spark, sf).select("path").collect()
+    assert {r.path for r in rows} == {r.file_path for load in (1, 2) for r in bundle_files(spark, sf, load).select("file_path").collect()}
+    assert all(10 * stored < files for files, stored in seen.values())
