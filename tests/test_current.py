@@ -13,6 +13,7 @@ from bundlelake.plans import current as C
 from bundlelake.plans import versions as V
 from bundlelake.plans.pipeline import run_pipeline
 from bundlelake.schemas import STAGING_SPECS
+from bundlelake.testing import registry
 from bundlelake.testing.build import Build
 from bundlelake.testing.files import write_files
 from bundlelake.testing.fixtures import bundle_files, fixture_landing
@@ -173,3 +174,30 @@ def test_nothing_is_broadcast_by_file_size(spark, tmp_root):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
     assert (mart.count(), lost.count(), some.count()) == (49, 16, 25)  # p-1 twice; p-3 and p-4 unknown; one without a patient
     assert [r["violations"] for r in report.collect()] == [16]
+
+
+def test_a_state_of_one_mart_keeps_that_mart_and_what_it_reads(spark, fixture, tmp_root):
+    build, _ = fixture
+    for mart in ("fct_vitals", "dim_patients"):
+        root, typed = os.path.join(tmp_root, mart), build.typed_for(mart)
+        C.apply(spark, root, typed.where(f"ingestion_timestamp < {MARCH}"), [("1", 1)], "2023-06-30", buckets=2, marts=[mart])
+        state = C.apply(spark, root, typed.where(f"ingestion_timestamp > {MARCH}"), [("2", 1)], AS_OF)
+        assert set(state.tables()) == {mart} | M.sources(mart)
+        for s in (state, C.at_generation(spark, root), C.compact(spark, root)):
+            same(s, build.layers())
+        # no other table was written
+        helper = C.LINKS if mart == "fct_vitals" else C.DAYS
+        assert set(os.listdir(os.path.join(root, "state", "era-1"))) == {mart, helper} | M.sources(mart)
+        with pytest.raises(ValueError):
+            C.apply(spark, root, typed.limit(0), marts=["fct_conditions"])
+
+
+def test_a_query_of_one_mart_builds_the_state_of_no_other(spark, monkeypatch):
+    kept = []
+    apply = C.apply
+    monkeypatch.setattr(registry.CUR, "apply", lambda *a, **kw: kept.append(apply(*a, **kw)) or kept[-1])
+    monkeypatch.setattr(registry, "_STATES", {})
+    for query, mart in (("incremental_fct_procedures", "fct_procedures"), ("rollup_top_conditions", "fct_conditions")):
+        kept.clear()
+        assert registry.QUERIES[query](spark, SF).count()
+        assert [s.marts for s in kept] == [[mart]] * 2
