@@ -1,8 +1,8 @@
 """Dashboard rollups over the current-state tables.
 
 The panels that count whole facts (conditions, medications, encounters per
-month, vitals) are kept as partial states per group.  ``update`` brings them
-up to the newest generation in one pass over the facts that changed since
+month, vitals) are kept as partial states per group, those of the marts that
+the current-state tables keep.  ``update`` brings them up to the newest generation in one pass over the facts that changed since
 the generation they stand at: as they were with a minus, as they are with a
 plus.  Readers add the states up; what they read grows with the number of
 groups and updates, not with the facts.
@@ -82,7 +82,7 @@ def update(spark: SparkSession, root: str, gen: int | None = None) -> int:
         was = before.merged(mart, current.among(before.rows(mart), key, ids))
         return change(mart, was, state.merged(mart, current.among(rows, key, ids)))
 
-    rows = reduce(DataFrame.unionByName, [one(m) for m in PANELS])
+    rows = reduce(DataFrame.unionByName, [one(m) for m in PANELS if m in state.marts])
     rows.hint("rebalance").write.mode("overwrite").parquet(_at(state, f"rollups/{state.gen}"))
     spark.range(1).select(F.lit(state.gen).cast("long").alias("gen")).write.mode("append").parquet(_at(state, "_rollups"))
     return state.gen
@@ -94,6 +94,8 @@ def panel(spark: SparkSession, root: str, mart: str, gen: int | None = None) ->
     done = _updates(state) if state is not None else []
     if not done or done[-1] != state.gen:
         raise LookupError(f"the rollups under {root} do not stand at generation {state.gen if state else gen}")
+    if mart not in state.marts:
+        raise LookupError(f"the state under {root} does not keep {mart}")
     rows = spark.read.schema(STATE_SCHEMA).parquet(*[_at(state, f"rollups/{g}") for g in done])
     return partials.merged(rows.where(F.col("panel") == mart), GROUPS).where("n > 0")
 

@@ -126,3 +126,15 @@ def test_sweep_takes_what_nobody_reads(spark, tmp_root):
     assert L.read_landing(spark, f"{tmp_root}/landing").count() == 1
     with pytest.raises(V.LabelTaken):
         V.claim_label(spark, tmp_root, "v1", resume=True)
+
+
+def test_rollups_of_a_state_of_one_mart(spark, tmp_root):
+    build = Build.from_tables(spark, SF)
+    typed = build.typed_for("fct_medications")
+    for cond in ("<", ">"):
+        state = C.apply(spark, tmp_root, typed.where(f"ingestion_timestamp {cond} {MARCH}"), buckets=2, marts=["fct_medications"])
+        R.update(spark, tmp_root)
+    got = R.top(R.panel(spark, tmp_root, "fct_medications"), "medication_description", 1000).collect()
+    assert got == S.top_medications(build.mart("fct_medications"), 1000).collect() and state.marts == ["fct_medications"]
+    with pytest.raises(LookupError):
+        R.panel(spark, tmp_root, "fct_conditions")
