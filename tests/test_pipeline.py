@@ -9,6 +9,7 @@ from bundlelake.operators import incremental as INC
 from bundlelake.operators import marts as M
 from bundlelake.operators import quality as Q
 from bundlelake.plans import versions as V
+from bundlelake.testing import registry
 from bundlelake.testing.build import Build
 from bundlelake.plans.pipeline import run_pipeline
 from bundlelake.schemas import STAGING_SPECS
@@ -310,3 +311,20 @@ def test_race_share_reads_the_dimension_once(spark):
     out = S.race_distribution(dim)
     assert [tuple(r) for r in out.collect()] == [("a", 2, 0.5), ("b", 1, 0.25), (None, 1, 0.25)]
     assert "subquery" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_version_is_built_under_its_label_and_marts_read_what_was_written(spark, tmp_root, monkeypatch):
+    V.claim_label(spark, tmp_root, "v1")
+    read = []
+
+    def mart(written):
+        read.append(written["s"].inputFiles()[0])
+        return written["s"].where("x > 0")
+
+    out = V.write_tables({"m": mart, "s": spark.createDataFrame([(0,), (1,)], "x int")}, tmp_root, "v1")
+    assert list(out) == ["m", "s"] and [r.x for r in out["m"].collect()] == [1]
+    assert "/versions/v1/s/" in read[0]
+    # the queries write no second copy of their tables
+    monkeypatch.setattr(Build, "layers", lambda *a: pytest.fail("written twice"))
+    assert registry.QUERIES["wap_publish"](spark, SF).where("violations > 0").count() == 2
+    assert registry.QUERIES["wap_publish_clean"](spark, SF).where("published").count() == 61
