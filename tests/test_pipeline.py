@@ -328,3 +328,10 @@ def test_a_version_is_built_under_its_label_and_marts_read_what_was_written(spar
     monkeypatch.setattr(Build, "layers", lambda *a: pytest.fail("written twice"))
     assert registry.QUERIES["wap_publish"](spark, SF).where("violations > 0").count() == 2
     assert registry.QUERIES["wap_publish_clean"](spark, SF).where("published").count() == 61
+
+
+def test_bundles_of_several_loads_come_from_one_scan(spark):
+    both, apart = bundle_files(spark, SF, 1, 2), bundle_files(spark, SF, 1).unionByName(bundle_files(spark, SF, 2))
+    assert both.exceptAll(apart).isEmpty() and apart.exceptAll(both).isEmpty()
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [l_orderkey")
+    assert scans(both) == 1 and scans(apart) == 2
